@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, exact_dedup, line_dedup, token_count, token_files, url_filter
+from brightwire.llm import byte_bpe, exact_dedup, line_dedup, merkle, token_count, token_files, toxicity, url_filter
 from brightwire.llm.common import id_text, read_table, scratch_path
 
 #: Where the public vocabularies are; every executor has them there.
@@ -47,6 +47,22 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_study(documents(spark, sf_dir))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted to labelled rows of ``docs`` outside the held-out fifth."""
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").filter(~toxicity.held_out())
+    return toxicity.fit(id_text(docs), labels)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = exact_dedup.exact_dedup(docs)
@@ -60,5 +76,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op9_exact_dedup, op10_byte_bpe)
+    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe)
     return {f.__name__: f for f in found}

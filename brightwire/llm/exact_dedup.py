@@ -33,11 +33,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """One row per input row: doc_id, n_bytes, prefix_hash, full_hash (null where not needed), keep_id, group_size, kept."""
     docs = id_text(docs, id_col, text_col)
     rows = cut(narrow(docs).drop("text"), "exact-narrow")
-    lengths = rows.groupBy("n_bytes").count().filter("count > 1").select("n_bytes")
-    groups = cut(
-        rows.join(lengths, "n_bytes", "left_semi").groupBy("n_bytes", "prefix_hash").count().filter("count > 1").drop("count"),
-        "exact-groups",
-    )
+    sizes = rows.groupBy("n_bytes", "prefix_hash").agg(F.count("*").alias("n"))
+    lengths = sizes.groupBy("n_bytes").agg(F.sum("n").alias("n")).filter("n > 1").select("n_bytes")
+    groups = cut(sizes.filter("n > 1").join(lengths, "n_bytes", "left_semi").drop("n"), "exact-groups")
     few = groups.count() <= BROADCAST_GROUPS
     groups = F.broadcast(groups) if few else groups
     same = ["n_bytes", "prefix_hash"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, exact_dedup, line_dedup, merkle, token_count, token_files, toxicity, url_filter
+from brightwire.llm import byte_bpe, exact_dedup, line_dedup, merkle, near_dup, token_count, token_files, toxicity, url_filter
 from brightwire.llm.common import id_text, read_table, scratch_path
 
 #: Where the public vocabularies are; every executor has them there.
@@ -47,6 +47,10 @@ def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_dup(documents(spark, sf_dir))
+
+
 def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_study(documents(spark, sf_dir))
 
@@ -76,5 +80,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe)
+    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op5_near_dup, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe)
     return {f.__name__: f for f in found}

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, exact_dedup, line_dedup, merkle, near_dup, token_count, token_files, toxicity, url_filter
+from brightwire.llm import byte_bpe, exact_dedup, line_dedup, merkle, near_dup, packing, token_count, token_files, toxicity, url_filter
 from brightwire.llm.common import id_text, read_table, scratch_path
 
 #: Where the public vocabularies are; every executor has them there.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("allow", "example.net/de/8"), ("block", "org/es/"))
 TOKEN_LIMIT = 1024
 END_ID = 1
+SEQUENCE, PAD_ID = 2048, 0
 
 
 def vocabulary(name: str) -> str:
@@ -51,6 +52,14 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_dup(documents(spark, sf_dir))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    return packing.pack(packing.cut_up(docs, vocabulary("word_bpe_49k.json"), SEQUENCE, PAD_ID), SEQUENCE)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(documents(spark, sf_dir))
+
+
 def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_study(documents(spark, sf_dir))
 
@@ -80,5 +89,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op5_near_dup, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe)
+    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op5_near_dup, op6_best_fit_packing, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe)
     return {f.__name__: f for f in found}

@@ -39,8 +39,9 @@ SYMBOLS, CHUNKS, CHUNK = 64, 8, 3
 #: Places of two signatures that must agree: 31 or fewer of 64 have a chance of 3e-6 at similarity 0.75.
 AGREE = 32
 BLOCK, SHINGLES, PIVOTS = 512, 1_500_000, 32
-#: Classes of equal sets up to this number (24 bytes each) are broadcast; more are joined by a shuffle.
-BROADCAST_CLASSES = 250_000
+#: Tables of up to this number of rows (24 bytes each at most) are broadcast, so that the large side isn't shuffled; larger
+#: ones are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 _rng = np.random.default_rng(20240201)
 _ODD = _rng.integers(1, 1 << 63, SYMBOLS, np.uint64) << np.uint64(1) | np.uint64(1)
@@ -260,13 +261,19 @@ def _blocks(limit) -> tuple:
     return count.alias("blocks"), F.pmod(F.xxhash64("doc"), count).cast("int").alias("block")
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, marked for a broadcast where its checked size allows it."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def cells(nodes: DataFrame) -> DataFrame:
     """(doc, cell) of the nodes (doc, n_shingles, sig, keys) that may have links: components of near signatures."""
     keyed = nodes.select("doc", F.explode("keys").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x1"), F.sum(F.hash("doc").cast("long")).alias("x2")).filter("n > 1")
-    once = buckets.groupBy("n", "x1", "x2").agg(F.min("key").alias("key"))
-    members = cut(keyed.join(once, "key").select("key", "doc", "n"), "bucket-members")
-    wide = members.select("key", "doc", *_blocks(F.ceil(F.col("n") / (2 * BLOCK)))).join(nodes.select("doc", "n_shingles", "sig"), "doc")
+    once = cut(buckets.groupBy("n", "x1", "x2").agg(F.min("key").alias("key")).select("key", "n"), "buckets")
+    members = cut(keyed.join(_small(once), "key").select("key", "doc", "n"), "bucket-members")
+    near = nodes.select("doc", "n_shingles", "sig").join(_small(cut(members.select("doc").distinct(), "bucket-docs")), "doc", "left_semi")
+    wide = members.select("key", "doc", *_blocks(F.ceil(F.col("n") / (2 * BLOCK)))).join(near, "doc")
     forest = _by_group(_block_pairs(wide).select("key", "a", "b", "doc", "n_shingles", "sig"), ["key", "a", "b"], _signature_forest)
     return _with_roots(connected_components(forest)).select(F.col("node").alias("doc"), F.col("component").alias("cell"))
 
@@ -277,14 +284,14 @@ def _with_roots(found: DataFrame) -> DataFrame:
 
 def links(nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes (doc, n_shingles, sig, keys, payload) that have links, without components' smallest."""
-    own = cut(cells(nodes), "cells")
-    rows = own.join(nodes.select("doc", "n_shingles", "payload"), "doc")
-    sizes = own.join(nodes.select("doc", "n_shingles"), "doc").groupBy("cell").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
+    rows = nodes.select("doc", "n_shingles", "payload").join(_small(cut(cells(nodes), "cells")), "doc")
+    rows = cut(rows, "cell-payloads")
+    sizes = rows.groupBy("cell").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
     limit = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("s") / SHINGLES))
     sizes = cut(sizes.select("cell", F.greatest(limit, F.lit(1)).cast("int").alias("blocks")), "cell-sizes")
     large = sizes.filter("blocks > 1")
     block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block")
-    placed = cut(rows.join(sizes, "cell").select("cell", "blocks", block, "doc", "payload"), "cell-rows")
+    placed = rows.join(_small(sizes), "cell").select("cell", "blocks", block, "doc", "payload")
     first = _by_group(placed.select("cell", "block", "doc", "payload").unionByName(_pivots(placed)), ["cell", "block"], _confirmed)
     first = cut(first, "links")
     if large.isEmpty():
@@ -322,9 +329,7 @@ def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     prepared = cut(id_text(docs, id_col, text_col).mapInArrow(_prepare, _PREPARED), "shingled")
     usable = prepared.filter("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    classes = cut(classes, "classes")
-    if classes.count() <= BROADCAST_CLASSES:
-        classes = F.broadcast(classes)
+    classes = _small(cut(classes, "classes"))
     nodes = usable.join(classes, ["d1", "d2"], "left").filter("doc is null or doc = doc_id").select(F.col("doc_id").alias("doc"), "n_shingles", "sig", "keys", "payload")
     found = links(nodes)
     rows = prepared.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left").withColumn("doc", F.coalesce("doc", "doc_id"))

@@ -12,6 +12,7 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from brightwire.functions.text import filled, strip
 from brightwire.sources.archive import WIDTH
@@ -52,7 +53,7 @@ def domain(url: Column, source_name: Column) -> Column:
     return F.coalesce(by_url, by_name)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

@@ -37,7 +37,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): each node of an edge (u, v) but the smallest of its component, and that smallest node."""
-    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct()
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v")
     edges, before = cut(edges, "edges"), None
     while (now := _mark(edges)) != before:
         before = now

@@ -174,20 +174,36 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    u, v = zip(*found, strict=True) if found else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+def _stars(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    """Links (u, v, tag) contracted: every document with the smallest one that they join it with."""
+    place: dict[int, int] = {}
+    tags: dict[int, int] = {}
+    for u, v, tag in found:
+        for x in (u, v):
+            place.setdefault(x, 0)
+            tags[x] = tag
+    docs = sorted(place)
+    place.update((x, i) for i, x in enumerate(docs))
+    sets = Union(len(docs))
+    for u, v, _ in found:
+        sets.join(place[u], place[v])
+    stars = [(x, docs[r], tags[x]) for i, x in enumerate(docs) if (r := sets.find(i)) != i]
+    u, v, t = zip(*stars, strict=True) if stars else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64()), pa.array(t, pa.int64())], ["u", "v", "tag"])
 
 
 def _edges_of(per_group: Callable[[pa.Table], list[tuple[int, int]]], keys: int):
+    """A group's links get its ``tag`` column's value, 0 without one; no group's links are split over two batches."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int]] = []
+        out: list[tuple[int, int, int]] = []
         for group in _groups(batches, keys):
-            out.extend(per_group(group))
-            if len(out) >= 20_000:
-                yield _pairs(out)
+            tag = group.column("tag")[0].as_py() if "tag" in group.column_names else 0
+            out.extend((u, v, tag) for u, v in per_group(group))
+            if len(out) >= 200_000:
+                yield _stars(out)
                 out = []
-        yield _pairs(out)
+        yield _stars(out)
 
     return run
 
@@ -246,7 +262,7 @@ def _confirmed(group: pa.Table) -> list[tuple[int, int]]:
 
 def _by_group(rows: DataFrame, keys: list[str], work: Callable[[pa.Table], list[tuple[int, int]]]) -> DataFrame:
     dealt = rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, "doc")
-    return dealt.mapInArrow(_edges_of(work, len(keys)), "u long, v long")
+    return dealt.mapInArrow(_edges_of(work, len(keys)), "u long, v long, tag long")
 
 
 def _block_pairs(rows: DataFrame) -> DataFrame:
@@ -292,10 +308,14 @@ def links(nodes: DataFrame) -> DataFrame:
     large = sizes.filter("blocks > 1")
     block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block")
     placed = rows.join(_small(sizes), "cell").select("cell", "blocks", block, "doc", "payload")
-    first = _by_group(placed.select("cell", "block", "doc", "payload").unionByName(_pivots(placed)), ["cell", "block"], _confirmed)
+    tag = F.col("blocks").cast("long").alias("tag")
+    first = _by_group(placed.select("cell", "block", "doc", "payload", tag).unionByName(_pivots(placed).select("cell", "block", "doc", "payload", tag)), ["cell", "block"], _confirmed)
     first = cut(first, "links")
+    # a cell that was one group is settled: its links are stars already
+    settled = first.filter("tag = 1").select(F.col("u").alias("node"), F.col("v").alias("component"))
+    first = first.filter("tag > 1").select("u", "v")
     if large.isEmpty():
-        return connected_components(first)
+        return settled
     found = _with_roots(connected_components(first))
     rest = placed.filter("blocks > 1").join(found, placed.doc == found.node, "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
     rest = cut(rest, "cell-rest")
@@ -303,7 +323,7 @@ def links(nodes: DataFrame) -> DataFrame:
     main = counts.groupBy("cell").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
     rest = rest.join(main, "cell")
     late = cut(_by_group(_outside(rest), ["cell", "a", "b"], _confirmed), "late-links")
-    return connected_components(first.unionByName(late))
+    return settled.unionByName(connected_components(first.unionByName(late.select("u", "v"))))
 
 
 def _pivots(placed: DataFrame) -> DataFrame:
@@ -311,7 +331,7 @@ def _pivots(placed: DataFrame) -> DataFrame:
     large = placed.filter("blocks > 1").withColumn("rank", F.xxhash64("doc"))
     each, order = F.greatest(F.lit(1), F.ceil(F.lit(PIVOTS) / F.col("blocks"))), Window.partitionBy("cell", "block").orderBy("rank", "doc")
     near = large.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= each)
-    return near.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != block").select("cell", F.col("other").alias("block"), "doc", "payload")
+    return near.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != block").select("cell", F.col("other").alias("block"), "blocks", "doc", "payload")
 
 
 def _outside(rest: DataFrame) -> DataFrame:

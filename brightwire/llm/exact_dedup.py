@@ -21,7 +21,7 @@ from brightwire.llm.common import cut, id_text
 
 #: Characters of a text that the second refinement hashes.
 PREFIX = 256
-#: Surviving (length, prefix) groups up to this number (24 bytes each) are broadcast; more are joined by a shuffle.
+#: Tables of groups or rows to drop up to this number (112 bytes each at most) are broadcast; more are joined by a shuffle.
 BROADCAST_GROUPS = 250_000
 
 
@@ -53,7 +53,8 @@ def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     found = exact_dedup(docs, id_col, text_col)
     key = ["doc_id", "n_bytes", "prefix_hash", "full_hash"]
     repeated = cut(found.filter("kept").groupBy(*key).count().filter("count > 1").drop("count"), "exact-repeated")
-    leave = found.filter("not kept").select(*key).distinct().unionByName(repeated)
+    leave = cut(found.filter("not kept").select(*key).distinct().unionByName(repeated), "exact-leave")
+    leave = F.broadcast(leave) if leave.count() <= BROADCAST_GROUPS else leave
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("k_id"), F.coalesce(F.col(text_col), F.lit("")).alias("k_text"))
     own = own.withColumn("k_bytes", F.octet_length("k_text")).withColumn("k_prefix", F.xxhash64(F.substring("k_text", 1, PREFIX)))
     match = (

@@ -8,12 +8,14 @@
    chance that it shares no key is 4e-7.
 3. Within each bucket of a key, signatures (16 bits a symbol) that agree in ``AGREE`` of ``SYMBOLS`` places are joined, a
    spanning forest at most: no pairs of a group are written. (A pair at 0.75 agrees in fewer with a chance of 3e-6.)
-   Buckets with equal members are done once. Buckets over ``BLOCK`` documents are dealt by pairs of blocks.
-   The connected components of the forests are cells; a link never leaves its cell.
-4. Each cell's full sets are compared exactly. A cell of up to ``BLOCK`` documents and ``SHINGLES`` shingles is one group.
-   A larger one is first compared block by block, every block beside the same ``PIVOTS`` documents, which joins most of
-   a large group of near copies in linear work; only the documents that stay outside a cell's largest component are then
-   compared with all other components' documents of that cell, again by blocks.
+   Buckets with equal members are done once. The forests' connected components are cells; a link never leaves its cell.
+4. Each cell's full sets are compared exactly.
+
+A bucket of up to ``BUCKET`` documents, and a cell of up to ``BLOCK`` documents and ``SHINGLES`` shingles, is compared
+whole. A larger one is first compared block by block, every block beside the same ``PIVOTS`` documents, which joins most
+of a large group of near copies in linear work; only documents that stay outside the group's largest component are then
+compared with all its blocks.
+
 5. The confirmed links' connected components are the result.
 
 Defined results: null and empty texts and texts without words have an empty set and are linked with nothing; a document
@@ -38,7 +40,7 @@ WORDS = 5
 SYMBOLS, CHUNKS, CHUNK = 64, 8, 3
 #: Places of two signatures that must agree: 31 or fewer of 64 have a chance of 3e-6 at similarity 0.75.
 AGREE = 32
-BLOCK, SHINGLES, PIVOTS = 512, 1_500_000, 32
+BUCKET, BLOCK, SHINGLES, PIVOTS = 4096, 512, 1_500_000, 32
 #: Tables of up to this number of rows (24 bytes each at most) are broadcast, so that the large side isn't shuffled; larger
 #: ones are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -208,6 +210,13 @@ def _edges_of(per_group: Callable[[pa.Table], list[tuple[int, int]]], keys: int)
     return run
 
 
+def _known(sets: Union, own: list[int]) -> None:
+    """Join the places of equal components."""
+    first: dict[int, int] = {}
+    for i, c in enumerate(own):
+        sets.join(first.setdefault(c, i), i)
+
+
 def _signature_forest(group: pa.Table) -> list[tuple[int, int]]:
     """A spanning forest of the documents of a bucket whose signatures are near."""
     doc, n = group.column("doc").to_pylist(), group.column("n_shingles").to_numpy()
@@ -216,6 +225,7 @@ def _signature_forest(group: pa.Table) -> list[tuple[int, int]]:
         return []
     sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(m, SYMBOLS)
     sets, out = Union(m), []
+    _known(sets, group.column("component").to_pylist() if "component" in group.column_names else doc)
     for i in range(m - 1):
         near = (sig[i + 1 :] == sig[i]).sum(1) >= AGREE
         near &= 4 * np.minimum(n[i + 1 :], n[i]) >= 3 * np.maximum(n[i + 1 :], n[i])
@@ -223,12 +233,11 @@ def _signature_forest(group: pa.Table) -> list[tuple[int, int]]:
     return out
 
 
-def exact_forest(sets: list[np.ndarray], own: list[int], skip: Callable[[int, int], bool] | None = None) -> list[tuple[int, int]]:
+def exact_forest(sets: list[np.ndarray], own: list[int]) -> list[tuple[int, int]]:
     """Links (places i, j) that span all links of the documents: 100 * intersection >= 75 * union. ``own``: known components."""
     m = len(sets)
-    joined, first = Union(m), {}
-    for i, c in enumerate(own):
-        joined.join(first.setdefault(c, i), i)
+    joined = Union(m)
+    _known(joined, own)
     sizes = np.array([len(s) for s in sets])
     every, at = np.unique(np.concatenate(sets), return_inverse=True)
     doc = np.repeat(np.arange(m), sizes)
@@ -265,83 +274,88 @@ def _by_group(rows: DataFrame, keys: list[str], work: Callable[[pa.Table], list[
     return dealt.mapInArrow(_edges_of(work, len(keys)), "u long, v long, tag long")
 
 
-def _block_pairs(rows: DataFrame) -> DataFrame:
-    """Rows with ``blocks`` and ``block``: one copy for each pair of blocks (a, b), a <= b, that the row's block is in."""
-    with_each = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("a"), F.greatest("block", k).alias("b")))
-    return rows.withColumn("pair", F.explode(with_each)).select("*", "pair.a", "pair.b").drop("pair")
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, marked for a broadcast where its checked size allows it."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
 
+def _with_roots(found: DataFrame) -> DataFrame:
+    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
 
-def _blocks(limit) -> tuple:
-    """Columns: the number of blocks, and a row's block."""
-    count = F.greatest(limit, F.lit(1)).cast("int")
-    return count.alias("blocks"), F.pmod(F.xxhash64("doc"), count).cast("int").alias("block")
 
+def _placed(rows: DataFrame, blocks) -> DataFrame:
+    """Rows (group, doc, ...) with ``blocks``, the number of their group's blocks, and the block that a hash deals them to."""
+    return rows.withColumn("blocks", F.greatest(blocks, F.lit(1)).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
 
-def _small(rows: DataFrame) -> DataFrame:
-    """``rows``, marked for a broadcast where its checked size allows it."""
-    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+def _linked(rows: DataFrame, data: list[str], work: Callable[[pa.Table], list[tuple[int, int]]]) -> tuple[DataFrame, DataFrame | None]:
+    """Stars (u, v, tag) that join all documents of each group which ``work`` links.
+
+    A group of one block is done at once (tag 1). Of larger ones every block is done beside the group's pivots, and then
+    the documents outside the group's largest component beside all its blocks. The second table is that pass's stars,
+    None where no group is large.
+    """
+    tag = F.col("blocks").cast("long").alias("tag")
+    plain = ["group", "block", "doc", *data, tag]
+    large = cut(rows.filter("blocks > 1"), "large-groups")
+    any_large = not large.isEmpty()
+    once = rows.select(*plain)
+    if any_large:
+        once = once.unionByName(_pivots(large, data).select(*plain))
+    first = cut(_by_group(once, ["group", "block"], work), "links")
+    if not any_large:
+        return first, None
+    found = _with_roots(connected_components(first.select("u", "v")))
+    rest = large.join(found, large.doc == found.node, "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
+    rest = cut(rest, "large-rest")
+    counts = rest.groupBy("group", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
+    return first, cut(_by_group(_outside(rest.join(main, "group"), data), ["group", "a", "b"], work), "late-links")
+
+
+def _pivots(large: DataFrame, data: list[str]) -> DataFrame:
+    """The pivots of each group beside its other blocks: from each block the documents with the lowest hashes, ``PIVOTS`` a group or one a block."""
+    each, order = F.greatest(F.lit(1), F.ceil(F.lit(PIVOTS) / F.col("blocks"))), Window.partitionBy("group", "block").orderBy(F.xxhash64("doc", F.lit(1)), "doc")
+    near = large.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= each)
+    others = near.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != block")
+    return others.select("group", F.col("other").alias("block"), "blocks", "doc", *data)
+
+
+def _outside(rest: DataFrame, data: list[str]) -> DataFrame:
+    """Pairs of blocks: those outside the largest component (block a) beside all of each block b."""
+    out = F.col("component") != F.col("main")
+    columns = ["group", "a", "b", "doc", *data, "component"]
+    others = rest.filter(out).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("a", F.col("block")).select(*columns)
+    homes = rest.filter(out).select("group", F.col("block").alias("a")).distinct()
+    every = rest.join(homes, "group").withColumn("b", F.col("block")).filter((F.col("a") != F.col("b")) | ~out).select(*columns)
+    return others.unionByName(every)
 
 
 def cells(nodes: DataFrame) -> DataFrame:
     """(doc, cell) of the nodes (doc, n_shingles, sig, keys) that may have links: components of near signatures."""
-    keyed = nodes.select("doc", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x1"), F.sum(F.hash("doc").cast("long")).alias("x2")).filter("n > 1")
-    once = cut(buckets.groupBy("n", "x1", "x2").agg(F.min("key").alias("key")).select("key", "n"), "buckets")
-    members = cut(keyed.join(_small(once), "key").select("key", "doc", "n"), "bucket-members")
+    keyed = nodes.select("doc", F.explode("keys").alias("group"))
+    buckets = keyed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x1"), F.sum(F.hash("doc").cast("long")).alias("x2")).filter("n > 1")
+    once = cut(buckets.groupBy("n", "x1", "x2").agg(F.min("group").alias("group")).select("group", "n"), "buckets")
+    members = cut(keyed.join(_small(once), "group").select("group", "doc", "n"), "bucket-members")
     near = nodes.select("doc", "n_shingles", "sig").join(_small(cut(members.select("doc").distinct(), "bucket-docs")), "doc", "left_semi")
-    wide = members.select("key", "doc", *_blocks(F.ceil(F.col("n") / (2 * BLOCK)))).join(near, "doc")
-    forest = _by_group(_block_pairs(wide).select("key", "a", "b", "doc", "n_shingles", "sig"), ["key", "a", "b"], _signature_forest)
+    rows = _placed(members, F.ceil(F.col("n") / BUCKET)).drop("n").join(near, "doc")
+    first, late = _linked(rows, ["n_shingles", "sig"], _signature_forest)
+    forest = first if late is None else first.unionByName(late)
     return _with_roots(connected_components(forest)).select(F.col("node").alias("doc"), F.col("component").alias("cell"))
 
 
-def _with_roots(found: DataFrame) -> DataFrame:
-    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
-
-
 def links(nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes (doc, n_shingles, sig, keys, payload) that have links, without components' smallest."""
-    rows = nodes.select("doc", "n_shingles", "payload").join(_small(cut(cells(nodes), "cells")), "doc")
+    rows = nodes.select("doc", "n_shingles", "payload").join(_small(cut(cells(nodes), "cells")), "doc").withColumnRenamed("cell", "group")
     rows = cut(rows, "cell-payloads")
-    sizes = rows.groupBy("cell").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
-    limit = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("s") / SHINGLES))
-    sizes = cut(sizes.select("cell", F.greatest(limit, F.lit(1)).cast("int").alias("blocks")), "cell-sizes")
-    large = sizes.filter("blocks > 1")
-    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block")
-    placed = rows.join(_small(sizes), "cell").select("cell", "blocks", block, "doc", "payload")
-    tag = F.col("blocks").cast("long").alias("tag")
-    first = _by_group(placed.select("cell", "block", "doc", "payload", tag).unionByName(_pivots(placed).select("cell", "block", "doc", "payload", tag)), ["cell", "block"], _confirmed)
-    first = cut(first, "links")
-    # a cell that was one group is settled: its links are stars already
+    sizes = rows.groupBy("group").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
+    rows = _placed(rows.join(_small(cut(sizes, "cell-sizes")), "group"), F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("s") / SHINGLES))).drop("m", "s")
+    first, late = _linked(rows, ["payload"], _confirmed)
+    # a cell that was one group is settled: its stars lead to its components' smallest documents
     settled = first.filter("tag = 1").select(F.col("u").alias("node"), F.col("v").alias("component"))
-    first = first.filter("tag > 1").select("u", "v")
-    if large.isEmpty():
+    if late is None:
         return settled
-    found = _with_roots(connected_components(first))
-    rest = placed.filter("blocks > 1").join(found, placed.doc == found.node, "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
-    rest = cut(rest, "cell-rest")
-    counts = rest.groupBy("cell", "component").agg(F.count("*").alias("n"))
-    main = counts.groupBy("cell").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
-    rest = rest.join(main, "cell")
-    late = cut(_by_group(_outside(rest), ["cell", "a", "b"], _confirmed), "late-links")
-    return settled.unionByName(connected_components(first.unionByName(late.select("u", "v"))))
-
-
-def _pivots(placed: DataFrame) -> DataFrame:
-    """The pivots of each cell of several blocks, beside every other block: from each block the documents with the lowest hashes."""
-    large = placed.filter("blocks > 1").withColumn("rank", F.xxhash64("doc"))
-    each, order = F.greatest(F.lit(1), F.ceil(F.lit(PIVOTS) / F.col("blocks"))), Window.partitionBy("cell", "block").orderBy("rank", "doc")
-    near = large.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= each)
-    return near.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other != block").select("cell", F.col("other").alias("block"), "blocks", "doc", "payload")
-
-
-def _outside(rest: DataFrame) -> DataFrame:
-    """Pairs of blocks of cells in several components: documents outside the largest one (blocks a) beside all (blocks b)."""
-    out = F.col("component") != F.col("main")
-    others = rest.filter(out).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cell", F.col("block").alias("a"), "b", "doc", "payload", "component")
-    # a block of outsiders meets each block once; the block's own rows stand there under every a that has outsiders
-    homes = rest.filter(out).select("cell", F.col("block").alias("a")).distinct()
-    every = rest.join(homes, "cell").select("cell", "a", F.col("block").alias("b"), "doc", "payload", "component")
-    return others.unionByName(every).dropDuplicates(["cell", "a", "b", "doc"])
+    return settled.unionByName(connected_components(first.filter("tag > 1").unionByName(late)))
 
 
 def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -360,5 +374,5 @@ def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one document of each group, with all their columns."""
-    leave = near_dup(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_leave")).distinct()
+    leave = _small(cut(near_dup(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_leave")).distinct(), "near-copies"))
     return docs.join(leave, F.col(id_col).cast("long") == F.col("_leave"), "left_anti")

@@ -247,8 +247,9 @@ def test_near_dup(spark):
 
 
 def test_near_dup_by_blocks_and_shuffles(spark, monkeypatch):
-    """Cells of several blocks, and no broadcasts."""
+    """Buckets and cells of several blocks, and no broadcasts."""
     monkeypatch.setattr(near_dup, "BLOCK", 4)
+    monkeypatch.setattr(near_dup, "BUCKET", 5)
     monkeypatch.setattr(near_dup, "PIVOTS", 2)
     monkeypatch.setattr(near_dup, "BROADCAST_ROWS", 0)
     rows = families(11, 6, 25)

@@ -1,37 +1,77 @@
 """Token ids by the tokenizers library, encoded once per distinct white-space-bounded piece.
 
 Splitting at ASCII white space is exact for vocabularies whose pre-tokenizer drops white space: no match, composition or
-special token reaches over it. Pieces that a batch needs are encoded together; frequent ones stay in a bounded cache.
+special token reaches over it. Plain words (Latin letters, perhaps one full stop or comma after them) are one pre-token
+and its punctuation; the plain words that a block lacks are encoded by one call, as one text, and cut where a token ends
+a word. Other pieces are encoded one by one. Frequent pieces stay in bounded caches.
 """
 
 from __future__ import annotations
 
 import os
-from itertools import chain
+import re
+from itertools import chain, pairwise
 
 import numpy as np
 
+#: A line's plain word (ASCII letters and those of Latin-1 in UTF-8) and the full stop or comma after it, or the whole line.
+PLAIN = re.compile(rb"^(?:((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,]?)|([^\n]+))$", re.MULTILINE).findall
+END_OF_WORD = "</w>"
+
 
 class WordEncoder:
     """Texts (UTF-8) to ids as little-endian 32-bit integers."""
 
-    def __init__(self, path: str, cap: int = 400_000):
+    def __init__(self, path: str, pieces: int = 450_000, words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cap, self.known = Tokenizer.from_file(path), cap, {}
+        self.tokenizer, self.caps, self.known, self.words = Tokenizer.from_file(path), (pieces, words), {}, {}
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith(END_OF_WORD)
+        self.marks = {m: self._each([m])[0] if m else b"" for m in (b"", b".", b",")}
+
+    def _each(self, pieces: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are one pre-token each."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
+        cuts = (np.flatnonzero(self.ends[ids]) * 4 + 4).tolist()
+        if len(cuts) != len(words):  # a vocabulary without word ends
+            return self._each(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in pairwise([0, *cuts])]
+
+    def _learn(self, need: list[bytes]) -> list[bytes]:
+        """Pieces to ``known``; the words that had to be encoded for them."""
+        plain, other = [], []
+        for word, mark, line in PLAIN(b"\n".join(need)):
+            if line:
+                other.append(line)
+            else:
+                plain.append((word, mark))
+        words = self.words
+        lack = list({w for w, _ in plain}.difference(words))
+        if lack:
+            words.update(zip(lack, self._plain(lack), strict=True))
+        self.known.update([(w + mark, words[w] + self.marks[mark]) for w, mark in plain])
+        if other:
+            self.known.update(zip(other, self._each(other), strict=True))
+        return lack
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         parts = [t.split() for t in texts]
         known = self.known
-        need = [p for p in set(chain.from_iterable(parts)) if p not in known]
-        if need:
-            found = self.tokenizer.encode_batch_fast([p.decode() for p in need], add_special_tokens=False)
-            known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(need, found, strict=True))
+        need = list(set(chain.from_iterable(parts)).difference(known))
+        lack = self._learn(need) if need else []
         out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        if len(known) > self.cap:
-            for p in need[-(len(known) - self.cap) :]:
-                del known[p]
+        for cache, cap, new in ((known, self.caps[0], need), (self.words, self.caps[1], lack)):
+            if len(cache) > cap:
+                for p in new[-(len(cache) - cap) :]:
+                    del cache[p]
         return out
 
 

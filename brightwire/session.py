@@ -2,8 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once a Spark application, wherever the driver found it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="brightwire-")) / "brightwire.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for path in sorted(here.rglob("*.py")):
+            z.write(path, path.relative_to(here.parent))
+    context.addPyFile(str(target))
+
 
 def build_session(app: str = "brightwire", **conf: str) -> SparkSession:
     """Shuffle partitions, memory and master are left to the cluster's own settings; ``conf`` adds to them."""

@@ -120,6 +120,7 @@ def train(found: list[np.ndarray], toxic: np.ndarray, n_terms: int, k: int = 4,
     bias, w, v = float(np.log(prior / (1 - prior))), np.zeros(n_terms), rng.normal(0, 0.02, (n_terms, k))
     if not len(y) or y.min() == y.max() or not n_terms:
         return bias, w, np.zeros_like(v)
+    share = np.where(toxic == 1, np.sqrt((y == 0).sum() / y.sum()), 1.0)  # the rarer class weighs more
     gb, gw, gv = 1e-6, np.full(n_terms, 1e-6), np.full((n_terms, k), 1e-6)
     for _ in range(epochs):
         order = rng.permutation(len(y))
@@ -130,7 +131,7 @@ def train(found: list[np.ndarray], toxic: np.ndarray, n_terms: int, k: int = 4,
             sums = np.stack([np.bincount(doc, c, len(own)) for c in v[at].T], 1)
             squares = np.bincount(doc, (v[at] ** 2).sum(1), len(own))
             raw = bias + np.bincount(doc, w[at], len(own)) + 0.5 * ((sums**2).sum(1) - squares)
-            err = (probability(raw) - y[own]) / len(own)
+            err = share[own] * (probability(raw) - y[own]) / len(own)
             db, dw = err.sum(), np.bincount(at, err[doc], n_terms) + decay * w
             each = err[doc, None] * (sums[doc] - v[at])
             dv = np.stack([np.bincount(at, c, n_terms) for c in each.T], 1) + decay * v

@@ -112,17 +112,18 @@ def with_next(docs: DataFrame) -> DataFrame:
     order = cut(order, "bucket-order")
     first = order.agg(F.min("key").alias("first"))
     order = order.crossJoin(F.broadcast(first)).select(F.col("key").alias("bucket"), F.coalesce("next", "first").alias("next_bucket"))  # first: one row
-    dealt = docs.repartitionByRange(partitions(docs.sparkSession), "bucket")
-    window = Window.partitionBy("bucket").orderBy(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
+    # under another name, so that no branch drops the alias as redundant: equal exchanges are made once
+    dealt = docs.select(F.col("doc_id").alias("id"), "text", "bucket").repartitionByRange(partitions(docs.sparkSession), "bucket")
+    window = Window.partitionBy("bucket").orderBy(F.asc_nulls_first("id"), F.xxhash64("text"))
     onward = with_fingerprint(dealt, "text", "fingerprint")
     onward = onward.withColumn("next_text", F.lead("text").over(window)).withColumn("next_fingerprint", F.lead("fingerprint").over(window))
     inner = onward.filter("next_text is not null").drop("bucket")
     # the ends of buckets: found by place, so that only their fingerprints are made again
     placed = dealt.withColumn("n", F.row_number().over(window)).withColumn("more", F.lead(F.lit(1)).over(window))
     heads = with_fingerprint(placed.filter("n = 1").select(F.col("bucket").alias("next_bucket"), F.col("text").alias("next_text")), "next_text", "next_fingerprint")
-    last = with_fingerprint(placed.filter("more is null").select("doc_id", "text", "bucket"), "text", "fingerprint")
+    last = with_fingerprint(placed.filter("more is null").select("id", "text", "bucket"), "text", "fingerprint")
     last = last.join(order, "bucket").join(heads, "next_bucket")
-    return inner.unionByName(last.drop("bucket", "next_bucket"))
+    return inner.unionByName(last.drop("bucket", "next_bucket")).withColumnRenamed("id", "doc_id")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

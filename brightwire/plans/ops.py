@@ -122,7 +122,7 @@ def review_sample(feed: DataFrame, silver: DataFrame, *, as_of: datetime, days:
     rows = sample_buckets(feed, silver, as_of=as_of, days=days).withColumn("_order", order)
     rows = rows.withColumn("bucket_rank", F.row_number().over(Window.partitionBy("benchmark_bucket").orderBy("_order"))).filter(F.col("bucket_rank") <= bucket_size)
     return rows.select(
-        "benchmark_bucket", "bucket_rank", "article_id", "source_record_id", "source_name", "source_domain", "serving_date", "happy_factor", "is_positive_feed_eligible", "exclusion_reason", "title", "url"
+        "benchmark_bucket", F.col("bucket_rank").cast("long").alias("bucket_rank"), "article_id", "source_record_id", "source_name", "source_domain", "serving_date", "happy_factor", "is_positive_feed_eligible", "exclusion_reason", "title", "url"
     )
 
 

@@ -9,7 +9,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,27 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Successive rows with equal first ``keys`` columns, of sorted batches."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        cols = [batch.column(k).to_numpy() for k in range(keys)]
+        starts = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in cols], axis=0)))).tolist()
+        for s, e in zip(starts, [*starts[1:], n], strict=True):
+            key = tuple(int(c[s]) for c in cols)
+            if held and key != now:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = key
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 class Bounded(dict):
     """A cache that stops growing at ``cap`` entries: frequent keys come first, so they are the ones it holds."""
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightwire.llm.common import Bounded, cut, id_text, partitions
+from brightwire.llm.common import Bounded, cut, id_text, partitions, sorted_groups
 from brightwire.llm.components import connected_components
 
 WORDS = 5
@@ -155,27 +155,6 @@ class Union:
         return i != j
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Successive rows with equal first ``keys`` columns, of sorted batches."""
-    held: list[pa.RecordBatch] = []
-    now = None
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        cols = [batch.column(k).to_numpy() for k in range(keys)]
-        starts = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in cols], axis=0)))).tolist()
-        for s, e in zip(starts, [*starts[1:], n], strict=True):
-            key = tuple(int(c[s]) for c in cols)
-            if held and key != now:
-                yield pa.Table.from_batches(held)
-                held = []
-            now = key
-            held.append(batch.slice(s, e - s))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _stars(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
     """Links (u, v, tag) contracted: every document with the smallest one that they join it with."""
     place: dict[int, int] = {}
@@ -199,7 +178,7 @@ def _edges_of(per_group: Callable[[pa.Table], list[tuple[int, int]]], keys: int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int, int]] = []
-        for group in _groups(batches, keys):
+        for group in sorted_groups(batches, keys):
             tag = group.column("tag")[0].as_py() if "tag" in group.column_names else 0
             out.extend((u, v, tag) for u, v in per_group(group))
             if len(out) >= 200_000:

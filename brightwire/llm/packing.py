@@ -29,8 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightwire.llm.common import cut, id_text, partitions
-from brightwire.llm.near_dup import _groups
+from brightwire.llm.common import cut, id_text, partitions, sorted_groups
 from brightwire.llm.word_ids import encoder, in_blocks
 
 ISLAND, POPULATION, GENERATIONS, ELITES, LEVELS = 8192, 6, 10, 256, 3
@@ -163,7 +162,7 @@ def _evolve(size: int, islands: int, level: int):
     """Islands' rows to their best packing and the elites that leave for the next island."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 1):
+        for table in sorted_groups(batches, 1):
             rows = table.to_pylist()
             island = rows[0]["island"]
             pieces = sorted((r for r in rows if r["kind"] == 0), key=lambda r: (-r["length"], r["doc_id"] or 0, r["piece"]))

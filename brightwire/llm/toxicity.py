@@ -68,7 +68,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             seen[toxic].update({t for c in set(text.split()) for t in made[c]})
-            if len(seen[0]) + len(seen[1]) > 500_000:
+            if len(seen[0]) + len(seen[1]) > 300_000:
                 yield rows()
     yield rows()
 
@@ -76,7 +76,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Finder:
     """The model's rows of a text."""
 
-    def __init__(self, terms: dict[int, int], cap: int = 300_000):
+    def __init__(self, terms: dict[int, int], cap: int = 200_000):
         self.terms = terms
         self.known = Bounded(self.rows, cap)
 

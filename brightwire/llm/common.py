@@ -7,6 +7,8 @@ Scratch tables are Parquet in the shared folder that the session names in ``spar
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -91,6 +93,20 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def tidied(run):
+    """A worker's function over batches, after which what it has freed goes back to the system: workers outlive their tasks."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # where the C library isn't glibc
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return go
+
+
 class Bounded(dict):
     """A cache that stops growing at ``cap`` entries: frequent keys come first, so they are the ones it holds."""
 

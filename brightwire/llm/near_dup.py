@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brightwire.llm.common import Bounded, cut, id_text, partitions, sorted_groups
+from brightwire.llm.common import Bounded, cut, id_text, partitions, sorted_groups, tidied
 from brightwire.llm.components import connected_components
 
 WORDS = 5
@@ -250,7 +250,7 @@ def _confirmed(group: pa.Table) -> list[tuple[int, int]]:
 
 def _by_group(rows: DataFrame, keys: list[str], work: Callable[[pa.Table], list[tuple[int, int]]]) -> DataFrame:
     dealt = rows.repartition(partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys, "doc")
-    return dealt.mapInArrow(_edges_of(work, len(keys)), "u long, v long, tag long")
+    return dealt.mapInArrow(tidied(_edges_of(work, len(keys))), "u long, v long, tag long")
 
 
 def _small(rows: DataFrame) -> DataFrame:
@@ -339,7 +339,7 @@ def links(nodes: DataFrame) -> DataFrame:
 
 def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id it is linked with, directly or not), kept of every row."""
-    prepared = cut(id_text(docs, id_col, text_col).mapInArrow(_prepare, _PREPARED), "shingled")
+    prepared = cut(id_text(docs, id_col, text_col).mapInArrow(tidied(_prepare), _PREPARED), "shingled")
     usable = prepared.filter("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.count("*").alias("n")).filter("n > 1").drop("n")
     classes = _small(cut(classes, "classes"))

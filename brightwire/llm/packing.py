@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightwire.llm.common import cut, id_text, partitions, sorted_groups
+from brightwire.llm.common import cut, id_text, partitions, sorted_groups, tidied
 from brightwire.llm.word_ids import encoder, in_blocks
 
 ISLAND, POPULATION, GENERATIONS, ELITES, LEVELS = 8192, 6, 10, 256, 3
@@ -193,7 +193,7 @@ def _evolve(size: int, islands: int, level: int):
 
 def _islands(rows: DataFrame, islands: int, size: int, level: int, name: str) -> DataFrame:
     dealt = rows.repartition(partitions(rows.sparkSession), "island").sortWithinPartitions("island", "kind", "doc")
-    return cut(dealt.mapInArrow(_evolve(size, islands, level), _ISLAND_SCHEMA), name)
+    return cut(dealt.mapInArrow(tidied(_evolve(size, islands, level)), _ISLAND_SCHEMA), name)
 
 
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +211,7 @@ def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cut_up(docs: DataFrame, path: str, size: int = 2048, end: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece; ids by the tokenizers file ``path``, then ``end``."""
-    return id_text(docs, id_col, text_col).mapInArrow(_cut_up(path, size, end), _PIECE_SCHEMA)
+    return id_text(docs, id_col, text_col).mapInArrow(tidied(_cut_up(path, size, end)), _PIECE_SCHEMA)
 
 
 def pack(pieces: DataFrame, size: int = 2048, island: int = ISLAND) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brightwire.llm.common import cut, id_text, partitions
+from brightwire.llm.common import cut, id_text, partitions, tidied
 from brightwire.llm.word_ids import encoder, in_blocks
 
 MAGIC = b"BWTOKEN1"
@@ -140,7 +140,7 @@ def write_token_files(docs: DataFrame, path: str, target: str, end: int | None =
     """Encode every text with the tokenizers file ``path``, append ``end``, write the files under ``target``."""
     docs = id_text(docs, id_col, text_col)
     dealt = docs.repartitionByRange(partitions(docs.sparkSession), F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    frames = dealt.mapInArrow(_encode(path, end, block, planes), "frame binary")
+    frames = dealt.mapInArrow(tidied(_encode(path, end, block, planes)), "frame binary")
     frames.select(F.col("frame").cast("string").alias("value")).write.text(target, lineSep="\n")
 
 

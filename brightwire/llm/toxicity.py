@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brightwire.llm.common import Bounded, cut, id_text
+from brightwire.llm.common import Bounded, cut, id_text, tidied
 
 #: Lengths of the beginnings and ends of words that are terms.
 HEADS, TAILS = (3, 4, 5, 6), (4, 5)
@@ -150,14 +150,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
     clean, toxic = n.get(0, 0), n.get(1, 0)
     terms: dict[int, int] = {}
     if clean and toxic:
-        seen = rows.select("text", "toxic").mapInArrow(_terms, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("a"), F.sum("toxic").alias("b"))
+        seen = rows.select("text", "toxic").mapInArrow(tidied(_terms), "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("a"), F.sum("toxic").alias("b"))
         part = lambda x, n: F.when(x > 0, x * F.log(x / n)).otherwise(0.0)
         a, b, share = F.col("a"), F.col("b"), (F.col("a") + F.col("b")) / (clean + toxic)
         ratio = part(a, clean * share) + part(b, toxic * share) + part(clean - a, clean * (1 - share)) + part(toxic - b, toxic * (1 - share))
         best = seen.filter("a + b >= 3").withColumn("gain", ratio).orderBy(F.desc("gain"), "term").limit(max_terms).collect()
         terms = {r.term: i for i, r in enumerate(best)}
     shared = spark.sparkContext.broadcast(terms)
-    found = rows.select("doc_id", "text", "toxic").mapInArrow(_found(shared), "doc_id long, toxic int, found array<long>").collect()
+    found = rows.select("doc_id", "text", "toxic").mapInArrow(tidied(_found(shared)), "doc_id long, toxic int, found array<long>").collect()
     found.sort(key=lambda r: (r.doc_id, r.found))
     fitted = train([np.array(r.found, np.int64) for r in found], np.array([r.toxic for r in found]), len(terms))
     return Model(fitted[0], terms, fitted[1], fitted[2])
@@ -182,7 +182,7 @@ def held_out(id_col: str = "doc_id"):
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score of every row."""
     docs = id_text(docs, id_col, text_col)
-    return docs.mapInArrow(_scored(docs.sparkSession.sparkContext.broadcast(model)), "doc_id long, score double")
+    return docs.mapInArrow(tidied(_scored(docs.sparkSession.sparkContext.broadcast(model))), "doc_id long, score double")
 
 
 def _clean(shared, text_col: str, limit: float):
@@ -199,4 +199,4 @@ def _clean(shared, text_col: str, limit: float):
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is below ``limit``, with all their columns."""
-    return docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(model), text_col, limit), docs.schema)
+    return docs.mapInArrow(tidied(_clean(docs.sparkSession.sparkContext.broadcast(model), text_col, limit)), docs.schema)

@@ -1,9 +1,10 @@
 """Token ids by the tokenizers library, encoded once per distinct white-space-bounded piece.
 
-Splitting at ASCII white space is exact for vocabularies whose pre-tokenizer drops white space: no match, composition or
-special token reaches over it. Plain words (Latin letters, perhaps one full stop or comma after them) are one pre-token
-and its punctuation; the plain words that a block lacks are encoded by one call, as one text, and cut where a token ends
-a word. Other pieces are encoded one by one. Frequent pieces stay in bounded caches.
+Splitting at ASCII white space is exact for vocabularies whose pre-tokenizer drops white space and whose normalizer lower-
+cases: no match, composition or special token reaches over it. Plain words (Latin letters, perhaps a run of ASCII
+punctuation without apostrophes after them) are two pre-tokens at most; those that a block lacks are encoded by one call,
+as one text, and cut where a token ends a word. Other pieces are encoded one by one. Frequent pieces stay in bounded
+caches.
 """
 
 from __future__ import annotations
@@ -14,8 +15,11 @@ from itertools import chain, pairwise
 
 import numpy as np
 
-#: A line's plain word (ASCII letters and those of Latin-1 in UTF-8) and the full stop or comma after it, or the whole line.
-PLAIN = re.compile(rb"^(?:((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,]?)|([^\n]+))$", re.MULTILINE).findall
+from brightwire.llm.common import Bounded
+
+#: A line's plain word and the punctuation after it; both empty where the line is something else. The only lead byte of the
+#: class is C3, so its letters are ASCII's and those of Latin-1 in UTF-8, without the signs for times and divided by.
+PLAIN = re.compile(rb"^(?:([a-z\xc3\x80-\x96\x98-\xb6\xb8-\xbf]+)([!-&(-/:-@\[-`{-~]*)|[^\n]+)$", re.MULTILINE).findall
 END_OF_WORD = "</w>"
 
 
@@ -30,7 +34,8 @@ class WordEncoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith(END_OF_WORD)
-        self.marks = {m: self._each([m])[0] if m else b"" for m in (b"", b".", b",")}
+        self.marks = Bounded(lambda mark: self._each([mark])[0], 10_000)
+        self.marks[b""] = b""
 
     def _each(self, pieces: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
@@ -48,16 +53,17 @@ class WordEncoder:
     def _learn(self, need: list[bytes]) -> list[bytes]:
         """Pieces to ``known``; the words that had to be encoded for them."""
         plain, other = [], []
-        for word, mark, line in PLAIN(b"\n".join(need)):
-            if line:
-                other.append(line)
+        for piece, (word, mark) in zip(need, PLAIN(b"\n".join(need).lower()), strict=True):
+            if word:
+                plain.append((piece, word, mark))
             else:
-                plain.append((word, mark))
+                other.append(piece)
         words = self.words
-        lack = list({w for w, _ in plain}.difference(words))
+        lack = list({w for _, w, _ in plain}.difference(words))
         if lack:
             words.update(zip(lack, self._plain(lack), strict=True))
-        self.known.update([(w + mark, words[w] + self.marks[mark]) for w, mark in plain])
+        marks = self.marks
+        self.known.update([(p, words[w] + marks[mark] if mark else words[w]) for p, w, mark in plain])
         if other:
             self.known.update(zip(other, self._each(other), strict=True))
         return lack
@@ -83,7 +89,7 @@ def encoder(path: str) -> WordEncoder:
     return _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
 
 
-def in_blocks(column, block: int = 2_000_000):
+def in_blocks(column, block: int = 4_000_000):
     """(first row, texts as bytes) of a string column, in blocks of about ``block`` bytes."""
     first, texts, size = 0, [], 0
     for i in range(len(column)):

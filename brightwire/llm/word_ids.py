@@ -26,7 +26,7 @@ END_OF_WORD = "</w>"
 class WordEncoder:
     """Texts (UTF-8) to ids as little-endian 32-bit integers."""
 
-    def __init__(self, path: str, pieces: int = 400_000, words: int = 500_000):
+    def __init__(self, path: str, pieces: int = 300_000, words: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

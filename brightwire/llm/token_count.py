@@ -27,7 +27,8 @@ from brightwire.llm.common import Bounded, id_text
 WHITE_SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The split of byte-level BPE before the merges (a fixed value).
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_SHIFT = 20
+#: Bits of a token id, and of a byte's position in a word: a text has fewer than 2^31 bytes.
+_SHIFT = 32
 
 
 def byte_symbols() -> dict[int, str]:

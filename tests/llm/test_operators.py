@@ -163,6 +163,15 @@ def test_token_count(spark):
     assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_count.count_tokens(docs(spark, *rows), path).collect()} == want
 
 
+@pytest.mark.parametrize("letters", ["abcdefghij", "the", "7", "!?-", " \n"])
+def test_token_count_of_a_word_beyond_a_mebibyte(letters):
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary("byte_bpe_50k.json")
+    text = "".join(random.Random(3).choices(letters, k=(1 << 20) + 5_000))
+    assert token_count.MergeCounter(path).count(text) == len(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
+
+
 def random_text(rng, n):
     return "".join(rng.choices(list("ab 's'tr'reve'll \n\t  12.,!?é日本\x1c\x85\xa0İΣßＡ\u0301\r\x0b\x00"), k=n))
 

@@ -155,6 +155,14 @@ def _sorts(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, tops)
 
 
+def _all_sorts(t: Tables) -> DataFrame:
+    """Every row of the feed in each display order, with its place there."""
+    names = (serving.MOST_OPTIMISTIC, serving.MOST_RECENT, serving.OLDEST)
+    rows = store.cut(t.feed.select("article_id", "happy_factor", "published_at", "ingested_at"), "feed")
+    ranked = [serving.ranked_rows(rows, o).select(F.lit(o).alias("sort_order"), "sort_rank", "article_id", "happy_factor") for o in names]
+    return reduce(DataFrame.unionByName, ranked)
+
+
 def _declared(t: Tables) -> DataFrame:
     tables = {"silver": t.silver, "terms": t.terms, "feed": t.feed, "source_quality": t.quality}
     return reduce(DataFrame.unionByName, (checks.column_checks(df, checks.DECLARED[n]).select(F.lit(n).alias("table_name"), "*") for n, df in tables.items()))
@@ -299,6 +307,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "row_story_dedup": lambda t: serving.dedupe_stories(t.feed, F.desc("happy_factor"), F.desc(seen_at()), F.desc("article_id")).select("article_id"),
     "row_story_key": lambda t: t.feed.select("article_id", serving.story_key()["kind"].alias("kind"), serving.story_key()["key"].alias("key")),
     "row_sorts": _sorts,
+    "row_sorts_all": _all_sorts,
     "row_timeline": lambda t: serving.timeline(t.feed),
     "row_source_rank": lambda t: serving.source_rankings(t.feed),
     "row_score_dist": lambda t: serving.score_distribution(t.feed),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from brightwire.functions.text import filled, strip
 from brightwire.functions.times import day, seen_at
+from brightwire.sources.store import cut
 
 # Columns, sort orders, buckets and labels of the serving layer.
 OPTIONAL = ("language", "language_resolution_status", "mentioned_country_code", "mentioned_country_name", "mentioned_country_resolution_status")
@@ -246,6 +247,24 @@ def sort_rows(rows: DataFrame, order: str) -> DataFrame:
     return rows.orderBy(*display_order(order))
 
 
+def ranked_rows(rows: DataFrame, order: str) -> DataFrame:
+    """Every row with its place in a display order, ``sort_rank``, from 1.
+
+    Rows are dealt by ranges of the order and numbered within their range; a range begins after the rows of those before it,
+    so no task sees all rows. The ranges are written once, since dealing the same rows again may set other bounds.
+    """
+    by, bits = display_order(order), 33  # the lower bits of Spark's increasing number count within a partition
+    dealt = cut(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    dealt = dealt.withColumn("_range", F.shiftright("_at", bits))
+    starts, n = [], 0
+    for r in sorted(dealt.groupBy("_range").count().collect()):  # a row for each range
+        starts.append((r[0], n))
+        n += r[1]
+    starts = rows.sparkSession.createDataFrame(starts, "_range long, _start long")
+    within = F.col("_at").bitwiseAND((1 << bits) - 1)
+    return dealt.join(F.broadcast(starts), "_range").withColumn("sort_rank", F.col("_start") + within + 1).drop("_at", "_range", "_start")
+
+
 def visible_stories(rows: DataFrame, order: str, *keep_first: Column) -> DataFrame:
     """Eligible stories once each, in display order."""
     return sort_rows(dedupe_stories(rows, *keep_first).filter("is_positive_feed_eligible"), order)

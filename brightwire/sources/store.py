@@ -6,11 +6,42 @@ the pointer moves, so a plan may read the table that it replaces, and a failed w
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the executors share; removed when the driver's interpreter ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:  # a session without one is local, as in tests
+        shared = "file://" + tempfile.mkdtemp(prefix="brightwire-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    _scratch.append((spark, f"{shared}/brightwire/{name}-{uuid.uuid4().hex}"))
+    return _scratch[-1][1]
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as written to a scratch folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _scratch:
+        with contextlib.suppress(Exception):  # the session may have ended
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
 
 class Table:
     def __init__(self, spark: SparkSession, path: str, schema, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), keep: int = 2):

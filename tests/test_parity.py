@@ -5,6 +5,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from brightwire.plans import oracles, queries
 
@@ -48,3 +49,14 @@ def test_same_rows(spark, duck, name):
     names = [c[0] for c in cursor.description]
     assert sorted(names) == sorted(df.columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, cursor.fetchall())
+
+
+@pytest.mark.parametrize("name", ["row_sorts_all"])
+def test_same_rows_of_whole_results(spark, duck, name):
+    test_same_rows(spark, duck, name)
+
+
+def test_every_row_comes_out_in_each_display_order(spark):
+    per_order = {r.sort_order: r.n for r in queries.queries()["row_sorts_all"](spark, str(SF)).groupBy("sort_order").agg(F.count("*").alias("n")).collect()}
+    feed = queries.queries()["gld_feed"](spark, str(SF)).count()
+    assert feed > 50 and len(per_order) == 3 and set(per_order.values()) == {feed}

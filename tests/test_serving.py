@@ -116,3 +116,12 @@ def test_report(spark):
     assert ops.daily_report(metrics, df, as_of=datetime(2026, 4, 3)).first().action_needed == "gold_stale"
     assert ops.daily_report(metrics, df.filter("not is_positive_feed_eligible"), as_of=datetime(2026, 4, 1, 12)).first().action_needed == "eligible_feed_empty"
     assert ops.daily_report(metrics.withColumn("gold_row_count", F.lit(0)), df, as_of=datetime(2026, 4, 1, 12)).first().action_needed == "gold_empty"
+
+
+def test_ranked_rows(spark):
+    scores = [None, *(float(k % 17) for k in range(400))]
+    df = rows(spark, *(story(f"a{k:03}", score=v, day=k % 28 + 1) for k, v in enumerate(scores))).repartition(7)
+    for order in (serving.MOST_OPTIMISTIC, serving.LEAST_OPTIMISTIC, serving.MOST_RECENT, serving.OLDEST):
+        want = [(k, r.article_id) for k, r in enumerate(serving.sort_rows(df, order).collect(), 1)]
+        assert sorted((r.sort_rank, r.article_id) for r in serving.ranked_rows(df, order).collect()) == want
+    assert serving.ranked_rows(df.limit(0), serving.OLDEST).count() == 0

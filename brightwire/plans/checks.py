@@ -32,6 +32,16 @@ DECLARED: dict[str, dict[str, dict[str, float | bool]]] = {
         **dict.fromkeys(("allow_hit_count", "soft_deny_hit_count", "hard_deny_hit_count"), {"not_null": True, "min": 0}),
     },
     "source_quality": {"source_domain": {"not_null": True, "unique": True}, **dict.fromkeys(("sample_row_count", "source_quality_tier", "source_quality_adjustment", "snapshot_window_start", "snapshot_window_end", "computed_at"), {"not_null": True})},
+    "shadow": {
+        **dict.fromkeys(("source_record_id", "serving_date", "language", "language_resolution_status", "mentioned_country_code", "mentioned_country_name", "mentioned_country_resolution_status"), {"not_null": True}),
+        "article_id": {"unique": True, "not_null": True},
+        **dict.fromkeys(("base_happy_factor", "positivity_score", "suitability_score", "happy_factor"), {"not_null": True, "min": 0, "max": 100}),
+        **dict.fromkeys(("happy_factor_version", "is_positive_feed_eligible", "positive_guardrail_version", "allow_hit_count", "soft_deny_hit_count", "hard_deny_hit_count"), {"not_null": True}),
+        **dict.fromkeys(("url_quality_status", "url_quality_penalty", "headline_shape_penalty", "source_quality_adjustment", "ingested_at"), {"not_null": True}),
+    },
+    "metrics": dict.fromkeys(
+        ("audit_run_at", "bronze_row_count", "silver_row_count", "silver_canonical_row_count", "silver_duplicate_row_count", "latest_bronze_ingestion_accepted_row_count", "latest_bronze_ingestion_malformed_ratio", "gold_row_count"), {"not_null": True}
+    ),
     "labels": {"article_id": {"not_null": True, "unique": True}},
 }
 

@@ -22,10 +22,10 @@ LAYOUT = {
 }
 
 
-def build(spark: SparkSession, bronze: DataFrame, warehouse: str, *, as_of: datetime, opener: url_health.Opener | None = None, check: bool = True) -> dict[str, DataFrame]:
+def build(spark: SparkSession, bronze: DataFrame, warehouse: str, *, as_of: datetime, opener: url_health.Opener | None = None, check: bool = True, labels: DataFrame | None = None) -> dict[str, DataFrame]:
     """Silver, terms, feed, URL results, source quality, the dual-score feed and the run's metrics; then the checks.
 
-    URL results read silver, so they come after it.
+    URL results read silver, so they come after it. ``labels``, made elsewhere, are checked too if given.
     """
     made: dict[str, DataFrame] = {}
 
@@ -53,6 +53,7 @@ def build(spark: SparkSession, bronze: DataFrame, warehouse: str, *, as_of: date
     made["metrics"] = metrics.read()
     if check:
         checks.gate(checks.report(checks.custom_checks(bronze, refined, current, shadow, snapshot, made["metrics"], as_of=as_of)))
-        for name in ("silver", "terms", "feed", "source_quality"):
-            checks.gate(checks.column_checks(made[name], checks.DECLARED[name]))
+        for name, declared in checks.DECLARED.items():
+            if (rows := labels if name == "labels" else made[name]) is not None:
+                checks.gate(checks.column_checks(rows, declared))
     return made

@@ -168,6 +168,15 @@ def _declared(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, (checks.column_checks(df, checks.DECLARED[n]).select(F.lit(n).alias("table_name"), "*") for n, df in tables.items()))
 
 
+def _all_declared(t: Tables) -> DataFrame:
+    """The checks of all seven tables that declare some; metrics as one run's row, which has all of its columns."""
+    for name in ("silver", "feed", "quality"):  # written once each, as in a run of the models
+        setattr(t, name, store.cut(getattr(t, name), name))
+    metrics = quality.run_metrics(t.bronze, t.silver, t.feed, as_of=AS_OF)
+    tables = {"silver": t.silver, "terms": t.terms, "feed": t.feed, "source_quality": t.quality, "shadow": t.shadow, "metrics": metrics, "labels": t.labels}
+    return reduce(DataFrame.unionByName, (checks.column_checks(tables[n], declared).select(F.lit(n).alias("table_name"), "*") for n, declared in checks.DECLARED.items()))
+
+
 def _custom(t: Tables) -> DataFrame:
     return checks.report(checks.custom_checks(t.bronze, t.silver, t.feed, t.shadow, t.quality, t.metrics, as_of=AS_OF))
 
@@ -317,6 +326,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "ops_sample": lambda t: ops.review_sample(t.feed, t.silver, as_of=AS_OF),
     "ops_compare": _compared,
     "chk_column": _declared,
+    "chk_column_all": _all_declared,
     "chk_custom": _custom,
 }
 

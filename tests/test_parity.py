@@ -7,7 +7,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from brightwire.plans import oracles, queries
+from brightwire.plans import checks, oracles, pipeline, queries
+from brightwire.sources import fixtures
 
 SF = Path("/root/testdata/sf0.001")
 NAMES = (
@@ -51,7 +52,7 @@ def test_same_rows(spark, duck, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", ["row_sorts_all"])
+@pytest.mark.parametrize("name", ["row_sorts_all", "chk_column_all"])
 def test_same_rows_of_whole_results(spark, duck, name):
     test_same_rows(spark, duck, name)
 
@@ -60,3 +61,23 @@ def test_every_row_comes_out_in_each_display_order(spark):
     per_order = {r.sort_order: r.n for r in queries.queries()["row_sorts_all"](spark, str(SF)).groupBy("sort_order").agg(F.count("*").alias("n")).collect()}
     feed = queries.queries()["gld_feed"](spark, str(SF)).count()
     assert feed > 50 and len(per_order) == 3 and set(per_order.values()) == {feed}
+
+
+def test_every_declared_table_is_checked(spark):
+    found = queries.queries()["chk_column_all"](spark, str(SF)).groupBy("table_name").agg(F.count("*").alias("n")).collect()
+    counts = {r.table_name: r.n for r in found}
+    assert set(counts) == {"silver", "terms", "feed", "source_quality", "shadow", "metrics", "labels"}
+    assert (counts["shadow"], counts["metrics"], counts["labels"]) == (32, 8, 2)
+
+
+def test_gate_covers_all_declared_tables(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(checks, "gate", lambda results: None)
+    monkeypatch.setattr(checks, "column_checks", lambda df, declared: seen.append((set(declared) <= set(df.columns), declared)))
+    labels = spark.createDataFrame([("a", "include")], "article_id string, default_feed_label string")
+    bronze = fixtures.bronze(spark, str(SF))
+    pipeline.build(spark, bronze, str(tmp_path), as_of=fixtures.AS_OF, labels=labels)
+    assert all(known for known, _ in seen) and [d for _, d in seen] == list(checks.DECLARED.values())
+    seen.clear()
+    pipeline.build(spark, bronze, str(tmp_path / "two"), as_of=fixtures.AS_OF)
+    assert [d for _, d in seen] == [d for n, d in checks.DECLARED.items() if n != "labels"]

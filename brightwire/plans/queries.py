@@ -148,6 +148,21 @@ def _compared(t: Tables) -> DataFrame:
     return ops.overlap(t.feed, t.shadow).crossJoin(a).crossJoin(b)  # one row each
 
 
+def _fields(part: str, df: DataFrame, keyed: bool) -> DataFrame:
+    """(part, key, field, value) of every cell; the first column is the key, or the part is one row."""
+    fields = df.columns[keyed:]
+    cells = [F.struct(F.lit(part).alias("part"), (F.col(df.columns[0]) if keyed else F.lit("all")).alias("key"), F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in fields]
+    return df.select(F.inline(F.array(*cells)))
+
+
+def _all_compared(t: Tables) -> DataFrame:
+    """The ten parts of the comparison, cell by cell."""
+    for name in ("silver", "feed", "quality", "shadow"):  # written once each, since every part reads them
+        setattr(t, name, store.cut(getattr(t, name), name))
+    single = ("overlap", "current_precision", "shadow_precision")
+    return reduce(DataFrame.unionByName, (_fields(n, df, n not in single) for n, df in ops.compare(t.feed, t.shadow, t.silver, t.labels).items()))
+
+
 def _sorts(t: Tables) -> DataFrame:
     """The first fifty rows of each display order: a top-k."""
     names = (serving.MOST_OPTIMISTIC, serving.MOST_RECENT, serving.OLDEST)
@@ -325,6 +340,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "ops_report": lambda t: ops.daily_report(t.metrics, t.feed, as_of=AS_OF),
     "ops_sample": lambda t: ops.review_sample(t.feed, t.silver, as_of=AS_OF),
     "ops_compare": _compared,
+    "ops_compare_all": _all_compared,
     "chk_column": _declared,
     "chk_column_all": _all_declared,
     "chk_custom": _custom,

@@ -52,7 +52,7 @@ def test_same_rows(spark, duck, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", ["row_sorts_all", "chk_column_all"])
+@pytest.mark.parametrize("name", ["row_sorts_all", "chk_column_all", "ops_compare_all"])
 def test_same_rows_of_whole_results(spark, duck, name):
     test_same_rows(spark, duck, name)
 
@@ -81,3 +81,8 @@ def test_gate_covers_all_declared_tables(spark, tmp_path, monkeypatch):
     seen.clear()
     pipeline.build(spark, bronze, str(tmp_path / "two"), as_of=fixtures.AS_OF)
     assert [d for _, d in seen] == [d for n, d in checks.DECLARED.items() if n != "labels"]
+
+
+def test_every_part_of_the_comparison(spark):
+    parts = {r.part for r in queries.queries()["ops_compare_all"](spark, str(SF)).select("part").distinct().collect()}
+    assert {"overlap", "shadow_exclusions", "shadow_domains", "current_precision", "shadow_precision"} <= parts

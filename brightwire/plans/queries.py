@@ -115,6 +115,25 @@ def _merge(t: Tables) -> DataFrame:
     return store.merged(old, new, ["source_record_id"], ["ingested_at"])
 
 
+def _exported(t: Tables) -> DataFrame:
+    """Rows older than the cutoff, exported and read back."""
+    path = store.scratch_path(t.spark, "export")
+    store.export(store.older_than(t.bronze, CUTOFF), path)
+    return t.spark.read.parquet(path).select("source_record_id", "ingestion_id", "ingested_at", "title")
+
+
+def _deleted(t: Tables) -> DataFrame:
+    """What a table holds after the rows older than the cutoff were deleted from it."""
+    table = store.Table(t.spark, store.scratch_path(t.spark, "delete"), t.bronze.schema)
+    table.replace(t.bronze)
+    before = table.read().count()
+    gone = table.delete(f"ingested_at < cast('{CUTOFF}' as {t.bronze.schema['ingested_at'].dataType.simpleString()})")
+    left = table.read()
+    if left.count() != before - gone:
+        raise RuntimeError(f"{gone} rows were to go of {before}")
+    return left.select("source_record_id", "ingested_at")
+
+
 def _url_merge(t: Tables) -> DataFrame:
     cols = ["normalized_url", "status", "redirect_count"]
     fresh = t.urls.filter("status = 'broken'").select("normalized_url", F.lit("valid").alias("status"), (F.col("redirect_count") + 10).alias("redirect_count"))
@@ -226,8 +245,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "src_run_guard": _guard,
     "src_recent_runs": lambda t: guard.recent_runs(t.bronze),
     "sink_merge": _merge,
-    "sink_export": lambda t: store.older_than(t.bronze, CUTOFF).select("source_record_id", "ingestion_id", "ingested_at", "title"),
-    "sink_delete": lambda t: t.bronze.filter(~(F.col("ingested_at") < F.lit(CUTOFF).cast("timestamp_ntz"))).select("source_record_id", "ingested_at"),
+    "sink_export": _exported,
+    "sink_delete": _deleted,
     "src_columns": _cached_columns,
     "src_literal": lambda t: t.terms,
     # extraction

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brightwire.plans import checks, oracles, pipeline, queries
-from brightwire.sources import fixtures
+from brightwire.sources import fixtures, store
 
 SF = Path("/root/testdata/sf0.001")
 NAMES = (
@@ -52,7 +52,7 @@ def test_same_rows(spark, duck, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", ["row_sorts_all", "chk_column_all", "ops_compare_all"])
+@pytest.mark.parametrize("name", ["row_sorts_all", "chk_column_all", "ops_compare_all", "sink_export", "sink_delete"])
 def test_same_rows_of_whole_results(spark, duck, name):
     test_same_rows(spark, duck, name)
 
@@ -86,3 +86,15 @@ def test_gate_covers_all_declared_tables(spark, tmp_path, monkeypatch):
 def test_every_part_of_the_comparison(spark):
     parts = {r.part for r in queries.queries()["ops_compare_all"](spark, str(SF)).select("part").distinct().collect()}
     assert {"overlap", "shadow_exclusions", "shadow_domains", "current_precision", "shadow_precision"} <= parts
+
+
+def test_sinks_go_through_their_operators(spark, monkeypatch):
+    exported, deleted = [], []
+    export, delete = store.export, store.Table.delete
+    monkeypatch.setattr(store, "export", lambda df, path: (export(df, path), exported.append(path)))
+    monkeypatch.setattr(store.Table, "delete", lambda self, condition: (deleted.append(delete(self, condition)), deleted[-1])[1])
+    bronze = fixtures.bronze(spark, str(SF)).count()
+    out = queries.queries()["sink_export"](spark, str(SF)).count()
+    left = queries.queries()["sink_delete"](spark, str(SF)).count()
+    assert out == spark.read.parquet(*exported).count() > 0
+    assert deleted == [out] and left == bronze - out

@@ -345,6 +345,17 @@ def test_crossover_keeps_every_piece():
     assert len(breeder.evolve([a, b])) <= min(len(a), len(b))
 
 
+def test_crossover_improves_the_seed(monkeypatch):
+    rng = random.Random(10)
+    lengths = [rng.randint(250, 500) for _ in range(120)]
+    monkeypatch.setattr(packing.Breeder, "mutate", lambda self, own: [list(s) for s in own])  # crossover alone
+    made = lambda: packing.Breeder(lengths, 1000, 1)
+    greedy = made().best_fit([], made().descending(list(range(120))))
+    first, bred = made().evolve([], 0), made().evolve([])
+    assert sorted(p for s in bred for p in s) == list(range(120)) and all(made().fill(s) <= 1000 for s in bred)
+    assert made().bound <= len(bred) < len(first) <= len(greedy)
+
+
 def test_merkle(spark):
     rows = [(d, t) for d, t in sample(n=25) if len(t or "") < 100_000] + [(20_000, "a\n\nb\nc"), (40_000, "x"), (40_001, "é" * 70)]
     got = {r.doc_id: r for r in merkle.edit_study(docs(spark, *rows)).collect()}

@@ -7,7 +7,6 @@ the pointer moves, so a plan may read the table that it replaces, and a failed w
 from __future__ import annotations
 
 import atexit
-import contextlib
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -18,29 +17,44 @@ from pyspark.sql import functions as F
 _scratch: list[tuple[SparkSession, str]] = []
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the executors share, as the session names it; made only for a local session that names none, as in tests."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that the executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="brightwire-")
+        spark.conf.set("spark.checkpoint.dir", found)
+        _scratch.append((spark, found))
+    return found
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the executors share; removed when the driver's interpreter ends."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:  # a session without one is local, as in tests
-        shared = "file://" + tempfile.mkdtemp(prefix="brightwire-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    _scratch.append((spark, f"{shared}/brightwire/{name}-{uuid.uuid4().hex}"))
+    """A new path in the shared folder, under the application's name, so that a driver that died leaves one folder to delete; removed when the driver's interpreter ends."""
+    _scratch.append((spark, f"{shared_dir(spark)}/brightwire/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"))
     return _scratch[-1][1]
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` as written to a scratch folder and read back."""
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _scratch[:] = [made for made in _scratch if made[1] != path]
+
+
 @atexit.register
 def _clean() -> None:
-    for spark, path in _scratch:
-        with contextlib.suppress(Exception):  # the session may have ended
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    for spark, path in reversed(list(_scratch)):
+        try:
+            remove(spark, path)
+        except Exception:  # the session has ended: nothing can be reached any more
+            return
 
 
 class Table:

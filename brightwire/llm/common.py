@@ -1,16 +1,13 @@
 """What the operators of this subpackage share: input normalisation, scratch tables, word hashing.
 
-Scratch tables are Parquet in the shared folder that the session names in ``spark.checkpoint.dir``; they cut lineage
-(a lost executor costs a reread, not a recomputation) and are removed when the driver's interpreter ends.
+Scratch tables are Parquet in the shared folder that the session names in ``spark.checkpoint.dir`` (see
+``sources.store``); they cut lineage: a lost executor costs a reread, not a recomputation.
 """
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_made: list[tuple[SparkSession, str]] = []
+from brightwire.sources.store import cut, remove, scratch_path
+
+__all__ = ["Bounded", "Scratch", "cut", "id_text", "partitions", "read_table", "scratch_path", "sorted_groups", "tidied"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,42 +29,21 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder. A local one is made only where the session names none, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found is None:
-        found = "file://" + tempfile.mkdtemp(prefix="brightwire-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        _made.append((spark, found))
-    return found
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/brightwire/{name}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    return path
-
+class Scratch:
+    """Scratch tables that can be removed before the session ends."""
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that later stages start from the files."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
 
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, name))
+        return cut(df, name, self.paths[-1])
 
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in reversed(_made):
-        try:
-            remove(spark, path)
-        except Exception:  # the session has ended: nothing can be reached any more
-            return
+    def remove(self, but: int = 0) -> None:
+        """All tables but the last ``but`` of them."""
+        gone, self.paths = self.paths[: len(self.paths) - but], self.paths[len(self.paths) - but :]
+        for path in gone:
+            remove(self.spark, path)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -108,14 +86,17 @@ def tidied(run):
 
 
 class Bounded(dict):
-    """A cache that stops growing at ``cap`` entries: frequent keys come first, so they are the ones it holds."""
+    """A cache of at most ``cap`` entries with keys of at most ``longest`` characters or bytes, so its memory is bounded too.
+
+    Frequent keys come first, so they are the ones that it holds; a longer key's value is made anew each time.
+    """
 
-    def __init__(self, make, cap: int = 400_000):
+    def __init__(self, make, cap: int = 400_000, longest: int = 64):
         super().__init__()
-        self.make, self.cap = make, cap
+        self.make, self.cap, self.longest = make, cap, longest
 
     def __missing__(self, key):
         value = self.make(key)
-        if len(self) < self.cap:
+        if len(self) < self.cap and len(key) <= self.longest:
             self[key] = value
         return value

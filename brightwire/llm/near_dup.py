@@ -1,27 +1,28 @@
 """MinHash near-dedup by a multi-index Hamming join, every link confirmed on full shingle sets.
 
 1. A document's set is its distinct shingles of five words, as 64-bit hashes. Documents with equal sets form a class,
-   which goes on as one node, its smallest doc_id.
-2. ``SYMBOLS`` minhashes make a signature. Its first ``CHUNKS * CHUNK`` symbols (32 bits each) are split into chunks;
-   of each chunk every way to leave one symbol out is a key. By the pigeonhole principle two signatures that differ in at
-   most ``2 * CHUNKS - 1`` of those symbols share a key. A pair at similarity 0.75 differs in a quarter of them; the
-   chance that it shares no key is 4e-7.
-3. Within each bucket of a key, signatures (16 bits a symbol) that agree in ``AGREE`` of ``SYMBOLS`` places are joined, a
-   spanning forest at most: no pairs of a group are written. (A pair at 0.75 agrees in fewer with a chance of 3e-6.)
-   Buckets with equal members are done once. The forests' connected components are cells; a link never leaves its cell.
-4. Each cell's full sets are compared exactly.
+   which goes on as one node under its smallest doc_id.
+2. ``SYMBOLS`` minhashes of 32 bits make a signature. The join finds signatures that differ in at most ``DISTANCE`` symbols.
+   Two documents at a similarity of 0.75 differ in more with a chance of 1.4e-6; this is all that may be missed.
+3. The symbols are split into ``CHUNKS`` chunks; of each chunk every way to leave one symbol out is a key. Were at most one
+   chunk of a pair to differ in fewer than two symbols, the pair would differ in ``2 * (CHUNKS - 1)`` symbols or more, which
+   is beyond ``DISTANCE``: so all pairs within the distance share keys of at least two chunks.
+4. Within each bucket of a key, signatures (compared by 16 bits a symbol, which never adds to a distance) within the
+   distance are joined, a spanning forest at most: no pairs of a group are written. Buckets with equal members are done
+   once. The forests' connected components are cells; a link never leaves its cell.
+5. Each cell's full sets are compared exactly. The confirmed links' connected components are the result.
 
 A bucket of up to ``BUCKET`` documents, and a cell of up to ``BLOCK`` documents and ``SHINGLES`` shingles, is compared
-whole. A larger one is first compared block by block, every block beside the same ``PIVOTS`` documents, which joins most
-of a large group of near copies in linear work; only documents that stay outside the group's largest component are then
-compared with all its blocks.
-
-5. The confirmed links' connected components are the result.
+whole. A larger one is first compared block by block, every block beside the same ``PIVOTS`` documents, which joins most of
+a large group of near copies in linear work. Where documents stay outside a bucket's largest component (a passage that
+many unlike documents share), the bucket is split by the keys of its members' other chunks: by 3. its pairs meet again in
+one of those smaller buckets, so the rows are linear in its members. Only what is large and unlinked even there, and cells
+of that kind, are compared block against block.
 
 Defined results: null and empty texts and texts without words have an empty set and are linked with nothing; a document
 with fewer than five words has one shingle, all its words; rows with a null doc_id are linked with nothing (component
-null, kept); rows with equal doc_ids are one document, and each is kept where that doc_id is; an empty table gives no
-rows; other columns are ignored.
+null, kept); rows with equal doc_ids are one document, linked with what any of its texts is linked with, each row with the
+size of its own text's set, and each is kept where that doc_id is; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,12 +38,14 @@ from brightwire.llm.common import Bounded, cut, id_text, partitions, sorted_grou
 from brightwire.llm.components import connected_components
 
 WORDS = 5
-SYMBOLS, CHUNKS, CHUNK = 64, 8, 3
-#: Places of two signatures that must agree: 31 or fewer of 64 have a chance of 3e-6 at similarity 0.75.
-AGREE = 32
+SYMBOLS, CHUNKS = 64, 18
+#: Most symbols in which two signatures of the join may differ.
+DISTANCE = 2 * (CHUNKS - 1) - 1
+#: The chunk of each symbol; chunks have three or four.
+CHUNK_OF = np.arange(SYMBOLS) * CHUNKS // SYMBOLS
 BUCKET, BLOCK, SHINGLES, PIVOTS = 4096, 512, 1_500_000, 32
-#: Tables of up to this number of rows (24 bytes each at most) are broadcast, so that the large side isn't shuffled; larger
-#: ones are joined by a shuffle.
+#: Tables of up to this number of rows (40 bytes each at most) are broadcast, so that the large side isn't shuffled; larger
+#: ones are joined by a shuffle, whose hot partitions adaptive execution can split, since both sides are read from tables.
 BROADCAST_ROWS = 1_000_000
 
 _rng = np.random.default_rng(20240201)
@@ -50,6 +53,7 @@ _ODD = _rng.integers(1, 1 << 63, SYMBOLS, np.uint64) << np.uint64(1) | np.uint64
 _XOR = _rng.integers(0, 1 << 63, SYMBOLS, np.uint64)
 _STEP = _rng.integers(1, 1 << 63, WORDS, np.uint64) << np.uint64(1) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_KEY = _rng.integers(1, 1 << 63, (2, SYMBOLS), np.uint64) << np.uint64(1) | np.uint64(1)
 
 
 def normal_words(text: bytes) -> list[bytes]:
@@ -84,56 +88,59 @@ def shingles(words: list[bytes], hashes: Bounded) -> np.ndarray:
 
 
 def signature(own: np.ndarray) -> np.ndarray:
-    """``SYMBOLS`` minhashes, mixed so that all their bits differ where the minima do."""
+    """``SYMBOLS`` minhashes of 32 bits, mixed so that all their bits differ where the minima do."""
     best = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for s in range(0, len(own), 4096):
         best = np.minimum(best, ((own[s : s + 4096, None] ^ _XOR) * _ODD).min(0))
     best ^= best >> np.uint64(33)
     best *= _MIX
-    return best
+    return (best >> np.uint64(32)).astype(np.uint32)
 
 
-def chunk_keys(symbols: np.ndarray) -> np.ndarray:
-    """A key for each chunk and each symbol of it that may differ."""
-    part = (symbols[: CHUNKS * CHUNK] >> np.uint64(32)).reshape(CHUNKS, CHUNK)
-    out = np.empty((CHUNKS, CHUNK), np.uint64)
-    for k in range(CHUNK):
-        key = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(CHUNK) + np.uint64(k + 1)
-        for j in range(CHUNK):
-            if j != k:
-                key = (key ^ part[:, j]) * _MIX
-                key ^= key >> np.uint64(29)
-        out[:, k] = key
-    return out.ravel()
+def chunk_keys(signatures: np.ndarray) -> np.ndarray:
+    """For each signature and each symbol a key of the other symbols of its chunk."""
+    parts = signatures.astype(np.uint64) * _KEY[0]
+    whole = np.add.reduceat(parts, np.searchsorted(CHUNK_OF, np.arange(CHUNKS)), axis=1)
+    key = whole[:, CHUNK_OF] - parts + _KEY[1]
+    key ^= key >> np.uint64(31)
+    key *= _MIX
+    return key ^ key >> np.uint64(29)
 
 
-_PREPARED = "doc_id long, n_shingles long, d1 long, d2 long, sig binary, keys array<long>, payload binary"
+_PREPARED = "doc_id long, row long, n_shingles long, d1 long, d2 long, sig binary, keys array<long>, payload binary"
 
 
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, row, text) to sets' digests, signatures, keys, and the words for the exact comparison."""
     import xxhash
     import zstandard
 
     hashes, pack = word_hashes(), zstandard.ZstdCompressor(level=1).compress
-    names = ["doc_id", "n_shingles", "d1", "d2", "sig", "keys", "payload"]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+    names = ["doc_id", "row", "n_shingles", "d1", "d2", "sig", "keys", "payload"]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+
+    def made(out: list[tuple], signs: list[np.ndarray]) -> pa.RecordBatch:
+        cols = [pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+        many = np.cumsum([0, *(SYMBOLS * (row[2] > 0) for row in out)]).astype(np.int32)
+        flat = chunk_keys(np.stack(signs)).view(np.int64).ravel() if signs else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([*cols[:6], pa.ListArray.from_arrays(pa.array(many), pa.array(flat)), cols[6]], names)
+
     for batch in batches:
-        out = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        out, signs = [], []
+        for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             words = normal_words(text.as_buffer().to_pybytes())
             own = shingles(words, hashes)
             if len(own):
+                signs.append(signature(own))
                 d = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), np.int64).tolist()
-                symbols = signature(own)
-                short = (symbols >> np.uint64(16)).astype(np.uint16).tobytes()
-                out.append((doc, len(own), *d, short, chunk_keys(symbols).view(np.int64), pack(b" ".join(words))))
+                out.append((doc, row, len(own), *d, signs[-1].astype(np.uint16).tobytes(), pack(b" ".join(words))))
             else:
-                out.append((doc, 0, None, None, None, None, None))
+                out.append((doc, row, 0, None, None, None, None))
             if len(out) == 2000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-                out = []
+                yield made(out, signs)
+                out, signs = [], []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+            yield made(out, signs)
 
 
 class Union:
@@ -206,7 +213,7 @@ def _signature_forest(group: pa.Table) -> list[tuple[int, int]]:
     sets, out = Union(m), []
     _known(sets, group.column("component").to_pylist() if "component" in group.column_names else doc)
     for i in range(m - 1):
-        near = (sig[i + 1 :] == sig[i]).sum(1) >= AGREE
+        near = (sig[i + 1 :] != sig[i]).sum(1) <= DISTANCE
         near &= 4 * np.minimum(n[i + 1 :], n[i]) >= 3 * np.maximum(n[i + 1 :], n[i])
         out.extend((doc[i], doc[j]) for j in (np.flatnonzero(near) + i + 1).tolist() if sets.join(i, j))
     return out
@@ -267,29 +274,33 @@ def _placed(rows: DataFrame, blocks) -> DataFrame:
     return rows.withColumn("blocks", F.greatest(blocks, F.lit(1)).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
 
 
-def _linked(rows: DataFrame, data: list[str], work: Callable[[pa.Table], list[tuple[int, int]]]) -> tuple[DataFrame, DataFrame | None]:
+def _linked(rows: DataFrame, data: list[str], work: Callable[[pa.Table], list[tuple[int, int]]], split: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame | None]:
     """Stars (u, v, tag) that join all documents of each group which ``work`` links.
 
-    A group of one block is done at once (tag 1). Of larger ones every block is done beside the group's pivots, and then
-    the documents outside the group's largest component beside all its blocks. The second table is that pass's stars,
-    None where no group is large.
+    A group of one block is done at once (tag 1). Of larger ones every block is done beside the group's pivots; then the
+    groups in which some documents are outside the largest component go through ``split``, which gives smaller ones, or
+    without it those documents are done beside all blocks. The second table is that pass's stars, None where no group is
+    large.
     """
-    tag = F.col("blocks").cast("long").alias("tag")
-    plain = ["group", "block", "doc", *data, tag]
+    plain = ["group", "block", "doc", *data]
     large = cut(rows.filter("blocks > 1"), "large-groups")
     any_large = not large.isEmpty()
-    once = rows.select(*plain)
+    once = rows.select(*plain, "blocks")
     if any_large:
-        once = once.unionByName(_pivots(large, data).select(*plain))
-    first = cut(_by_group(once, ["group", "block"], work), "links")
+        once = once.unionByName(_pivots(large, data).select(*plain, "blocks"))
+    first = cut(_by_group(once.withColumn("tag", F.col("blocks").cast("long")).drop("blocks"), ["group", "block"], work), "links")
     if not any_large:
         return first, None
-    found = _with_roots(connected_components(first.select("u", "v")))
-    rest = large.join(found, large.doc == found.node, "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
+    found = _small(cut(_with_roots(connected_components(first.select("u", "v"))), "large-found"))
+    rest = large.drop("component").join(found, large.doc == found.node, "left").withColumn("component", F.coalesce("component", "doc")).drop("node")
     rest = cut(rest, "large-rest")
     counts = rest.groupBy("group", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
-    return first, cut(_by_group(_outside(rest.join(main, "group"), data), ["group", "a", "b"], work), "late-links")
+    main = _small(cut(main, "large-main"))
+    if split is None:
+        return first, cut(_by_group(_outside(rest.join(main, "group"), data), ["group", "a", "b"], work), "late-links")
+    smaller, late = _linked(split(rest, main), [*data, "component"], work)
+    return first, smaller if late is None else smaller.unionByName(late)
 
 
 def _pivots(large: DataFrame, data: list[str]) -> DataFrame:
@@ -303,28 +314,47 @@ def _pivots(large: DataFrame, data: list[str]) -> DataFrame:
 def _outside(rest: DataFrame, data: list[str]) -> DataFrame:
     """Pairs of blocks: those outside the largest component (block a) beside all of each block b."""
     out = F.col("component") != F.col("main")
-    columns = ["group", "a", "b", "doc", *data, "component"]
+    columns = ["group", "a", "b", "doc", *(c for c in data if c != "component"), "component"]
     others = rest.filter(out).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("a", F.col("block")).select(*columns)
     homes = rest.filter(out).select("group", F.col("block").alias("a")).distinct()
     every = rest.join(homes, "group").withColumn("b", F.col("block")).filter((F.col("a") != F.col("b")) | ~out).select(*columns)
     return others.unionByName(every)
 
 
+def _once(keyed: DataFrame, *more) -> DataFrame:
+    """Rows (row, group, ...) of buckets with several members, with their number n; of buckets with equal members one stays. ``more``: further conditions of a bucket."""
+    holds = F.count("*") > 1
+    for condition in more:
+        holds = holds & condition
+    same = (F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("x1"), F.sum(F.hash("row").cast("long")).alias("x2"), holds.alias("holds"))
+    buckets = keyed.groupBy("group").agg(*same).filter("holds")
+    return _small(cut(buckets.groupBy("n", "x1", "x2").agg(F.min("group").alias("group")).select("group", "n"), "buckets"))
+
+
 def cells(nodes: DataFrame) -> DataFrame:
-    """(doc, cell) of the nodes (doc, n_shingles, sig, keys) that may have links: components of near signatures."""
-    keyed = nodes.select("doc", F.explode("keys").alias("group"))
-    buckets = keyed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x1"), F.sum(F.hash("doc").cast("long")).alias("x2")).filter("n > 1")
-    once = cut(buckets.groupBy("n", "x1", "x2").agg(F.min("group").alias("group")).select("group", "n"), "buckets")
-    members = cut(keyed.join(_small(once), "group").select("group", "doc", "n"), "bucket-members")
-    near = nodes.select("doc", "n_shingles", "sig").join(_small(cut(members.select("doc").distinct(), "bucket-docs")), "doc", "left_semi")
-    rows = _placed(members, F.ceil(F.col("n") / BUCKET)).drop("n").join(near, "doc")
-    first, late = _linked(rows, ["n_shingles", "sig"], _signature_forest)
+    """(doc, cell) of the nodes (doc, row, n_shingles, sig, keys) that may have links: components of near signatures."""
+    chunk_of = F.array(*map(F.lit, CHUNK_OF.tolist()))
+    chunk = F.get(chunk_of, F.col("at")).alias("chunk")
+    keyed = nodes.select("doc", "row", F.posexplode("keys").alias("at", "group"))
+    members = cut(keyed.join(_once(keyed), "group").select("group", "doc", "row", "n", chunk), "bucket-members")
+    near = nodes.join(_small(cut(members.select("row").distinct(), "bucket-rows")), "row", "left_semi")
+    near = cut(near.select("row", "n_shingles", "sig", "keys"), "bucket-nodes")
+
+    def split(rest: DataFrame, main: DataFrame) -> DataFrame:
+        """Smaller buckets, by the keys of other chunks; those of one component are done."""
+        own = rest.join(main.select("group"), "group", "left_semi").join(near.select("row", "keys"), "row")
+        own = own.withColumnRenamed("group", "outer").select("*", F.posexplode("keys").alias("at", "key")).filter(chunk != F.col("chunk")).drop("keys", "at", "blocks", "block")
+        own = own.withColumn("group", F.xxhash64("outer", "key")).drop("outer", "key")
+        return _placed(own.join(_once(own, F.min("component") != F.max("component")), "group"), F.ceil(F.col("n") / BUCKET)).drop("n")
+
+    rows = _placed(members, F.ceil(F.col("n") / BUCKET)).drop("n").join(near.drop("keys"), "row")
+    first, late = _linked(rows, ["row", "chunk", "n_shingles", "sig"], _signature_forest, split)
     forest = first if late is None else first.unionByName(late)
     return _with_roots(connected_components(forest)).select(F.col("node").alias("doc"), F.col("component").alias("cell"))
 
 
 def links(nodes: DataFrame) -> DataFrame:
-    """(node, component) of the nodes (doc, n_shingles, sig, keys, payload) that have links, without components' smallest."""
+    """(node, component) of the nodes (doc, row, n_shingles, sig, keys, payload) that have links, without components' smallest."""
     rows = nodes.select("doc", "n_shingles", "payload").join(_small(cut(cells(nodes), "cells")), "doc").withColumnRenamed("cell", "group")
     rows = cut(rows, "cell-payloads")
     sizes = rows.groupBy("group").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
@@ -339,18 +369,30 @@ def links(nodes: DataFrame) -> DataFrame:
 
 def near_dup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id it is linked with, directly or not), kept of every row."""
-    prepared = cut(id_text(docs, id_col, text_col).mapInArrow(tidied(_prepare), _PREPARED), "shingled")
+    rows = id_text(docs, id_col, text_col).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    prepared = cut(rows.mapInArrow(tidied(_prepare), _PREPARED), "shingled")
     usable = prepared.filter("n_shingles > 0 and doc_id is not null")
-    classes = usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("doc"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    classes = _small(cut(classes, "classes"))
-    nodes = usable.join(classes, ["d1", "d2"], "left").filter("doc is null or doc = doc_id").select(F.col("doc_id").alias("doc"), "n_shingles", "sig", "keys", "payload")
+    classes = usable.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    classes = _small(cut(classes.select("d1", "d2", F.col("first.doc_id").alias("doc"), F.col("first.row").alias("first")), "classes"))
+    # one row of a class goes on, however often its document is repeated
+    nodes = usable.join(classes, ["d1", "d2"], "left").filter("first is null or first = row").select(F.col("doc_id").alias("doc"), "row", "n_shingles", "sig", "keys", "payload")
     found = links(nodes)
     rows = prepared.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left").withColumn("doc", F.coalesce("doc", "doc_id"))
-    rows = rows.join(found.withColumnRenamed("node", "doc"), "doc", "left")
+    found = _with_own(rows.filter("n_shingles > 0 and doc_id is not null").select("doc_id", "doc"), found)
+    rows = rows.join(_small(cut(found, "found")).withColumnRenamed("node", "doc"), "doc", "left")
     out = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc")).alias("component_id")
     return rows.select("doc_id", "n_shingles", out).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _with_own(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``found`` (node, component), with the nodes of each document that has several texts joined. ``rows``: doc_id and its node."""
+    several = cut(rows.groupBy("doc_id").agg(F.min("doc").alias("v"), F.max("doc").alias("last")).filter("v <> last").drop("last"), "several-texts")
+    if several.isEmpty():
+        return found
+    own = rows.join(_small(several), "doc_id").select(F.col("doc").alias("u"), "v").filter("u <> v").distinct()
+    return connected_components(own.unionByName(found.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+
+
 def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one document of each group, with all their columns."""
     leave = _small(cut(near_dup(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("_leave")).distinct(), "near-copies"))

@@ -6,7 +6,9 @@
    over many partitions. Each partition is streamed once: a run of equal hashes is settled as soon as it has
    ``min_docs`` documents, with at most that many rows in memory. Only a partition's first and last runs may go on
    elsewhere; they leave at most ``2 * min_docs`` edge rows, which one small aggregate settles.
-3. Dropped positions are gathered by document into a compressed bitmap (bit 1: keep the line).
+3. Dropped positions are gathered by document into a compressed bitmap (bit 1: keep the line); a document that loses no
+   line has none. Texts meet their bitmaps by a join that leaves the texts where they are while the bitmaps together are
+   within ``BROADCAST_BYTES``; beyond that both sides are shuffled.
 
 ``mode="all"`` drops every line whose key is in at least ``min_docs`` documents; ``mode="first"`` keeps the first
 occurrence, by document and position, of every key.
@@ -21,12 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brightwire.llm.common import cut, id_text, partitions
 
 WHITE = b" \t\n\x0b\x0c\r"
+#: Bitmaps are broadcast up to this size, 64 bytes a row beside their own bytes counted.
+BROADCAST_BYTES = 32_000_000
 _DROPPED = "doc_id long, rid long, pos binary, h1 long, h2 long, n int"
 
 
@@ -124,8 +128,12 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         maps, dropped = [], []
         for n, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            if not gone:
+                maps.append(None)
+                dropped.append(0)
+                continue
             keep = np.ones(n, bool)
-            for pos in gone or ():
+            for pos in gone:
                 keep[np.frombuffer(pos, np.uint32)] = False
             maps.append(pack(np.packbits(keep).tobytes()))
             dropped.append(int(n - keep.sum()))
@@ -134,8 +142,12 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def n_lines(text) -> Column:
+    return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
+
+
 def line_dedup(docs: DataFrame, min_docs: int = 10, mode: str = "all", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per distinct (doc_id, text): doc_id, rid (xxhash64 of the text), n_lines, n_dropped, bitmap (zstd of packed bits)."""
+    """One row per distinct (doc_id, text): doc_id, rid (xxhash64 of the text), n_lines, n_dropped, bitmap (zstd of packed bits; null where every line stays)."""
     if mode not in ("all", "first") or min_docs < 1:
         raise ValueError("mode is 'all' or 'first', min_docs at least 1")
     docs = id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("rid"), "text")
@@ -152,8 +164,8 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, mode: str = "all", id_col: s
         own = F.when(F.struct("doc_id", "rid").eqNullSafe(F.col("start")), F.expr("substring(pos, 5)")).otherwise(F.col("pos"))
         late = edge.join(start, ["h1", "h2"]).select("doc_id", "rid", own.alias("pos"))
     gone = seen.filter("h1 is null").select(*place).unionByName(late)
-    gone = gone.groupBy("doc_id", "rid").agg(F.collect_list("pos").alias("gone"))
-    lines = docs.select("doc_id", "rid", (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines")).distinct()
+    gone = gone.groupBy("doc_id", "rid").agg(F.collect_set("pos").alias("gone"))
+    lines = docs.select("doc_id", "rid", n_lines("text").alias("n_lines")).distinct()
     both = lines.alias("a").join(gone.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.rid = b.rid"), "left").select("a.doc_id", "a.rid", "n_lines", "gone")
     return both.mapInArrow(_bitmaps, "doc_id long, rid long, n_lines long, n_dropped long, bitmap binary")
 
@@ -165,13 +177,24 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for text, n, bitmap in zip(*(batch.column(k).to_pylist() for k in (3, 1, 4)), strict=True):
+            if bitmap is None:
+                out.append(text)
+                continue
             keep = np.unpackbits(np.frombuffer(unpack(bitmap), np.uint8), count=n)
-            out.append(text if keep.all() else "\n".join([line for line, k in zip(text.split("\n"), keep, strict=True) if k]))
+            out.append("\n".join([line for line, k in zip(text.split("\n"), keep, strict=True) if k]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.string())], ["doc_id", "n_lines", "n_dropped", "kept_text"])
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_text of every row of ``docs``."""
+    """doc_id, n_lines, n_dropped, kept_text of every row of ``docs``; a document without a bitmap keeps all its lines."""
     docs = id_text(docs, id_col, text_col).withColumn("rid", F.xxhash64("text"))
-    both = docs.alias("a").join(bitmaps.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.rid = b.rid"))
-    return both.select("a.doc_id", "n_lines", "n_dropped", "text", "bitmap").mapInArrow(_kept, "doc_id long, n_lines long, n_dropped long, kept_text string")
+    losing = cut(bitmaps.filter("bitmap is not null").select("doc_id", "rid", "n_dropped", "bitmap"), "bitmaps")
+    size = losing.agg(F.coalesce(F.sum(F.octet_length("bitmap") + 64), F.lit(0))).first()[0]
+    few = size <= BROADCAST_BYTES
+    both = docs.alias("a").join((F.broadcast(losing) if few else losing).alias("b"), F.expr("a.doc_id <=> b.doc_id and a.rid = b.rid"), "left")
+    both = both.select("a.doc_id", n_lines("text").alias("n_lines"), F.coalesce("n_dropped", F.lit(0).cast("long")).alias("n_dropped"), "text", "bitmap")
+    kept = lambda rows: rows.mapInArrow(_kept, "doc_id long, n_lines long, n_dropped long, kept_text string")
+    if not few:
+        return kept(both)
+    whole = both.filter("bitmap is null").select("doc_id", "n_lines", "n_dropped", F.col("text").alias("kept_text"))
+    return whole.unionByName(kept(both.filter("bitmap is not null")))  # only texts that lose lines go to the Python workers

@@ -5,18 +5,18 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 OP1 = f"""
 with lines as (
-  select doc_id, unnest(l) as line, generate_subscripts(l, 1) as pos
-  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)
+  select n, doc_id, unnest(l) as line, generate_subscripts(l, 1) as pos
+  from (select row_number() over () as n, doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)
 ), keyed as (
-  select doc_id, line, pos, translate(trim(line, {_WHITE}), {_LOWER}) as key from lines
+  select n, doc_id, line, pos, translate(trim(line, {_WHITE}), {_LOWER}) as key from lines
 ), hot as (
-  select key from keyed where key <> '' group by key having count(distinct doc_id) >= 10
+  select key from keyed where key <> '' group by key having count(distinct n) >= 10
 ), marked as (
-  select k.doc_id, k.line, k.pos, h.key is not null as gone from keyed k left join hot h on k.key = h.key
+  select k.n, k.doc_id, k.line, k.pos, h.key is not null as gone from keyed k left join hot h on k.key = h.key
 )
 select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
   sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
-from marked group by doc_id
+from marked group by n, doc_id
 """
 
 OP3 = f"""

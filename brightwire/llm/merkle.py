@@ -1,17 +1,23 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and pieces. DataFrame functions only.
 
-Sections are cut at empty lines (two line feeds), paragraphs at line feeds, paragraphs into pieces of ``PIECE``
-characters; joined again with those separators they give the text, so roots are equal exactly where texts are. A piece's
-node is its MD5, every inner node the SHA-256 of its children's nodes. A fingerprint is the root and the tree's nodes,
-shortened::
+Sections are cut at empty lines (two line feeds), paragraphs at line feeds, paragraphs into pieces; joined again with those
+separators they give the text, so roots are equal exactly where texts are. A piece ends where its content says so: after
+``LEAST`` characters or more, at a punctuation mark or at white space after an e, an s or a character that isn't a Latin
+letter, and after ``MOST`` characters at the latest. So an insertion changes the pieces that it touches and, until the next
+common end, a few after them; the rest of the paragraph keeps its nodes.
 
-    root | section node : paragraph node - piece nodes . paragraph ... / section ...
+A piece's node is its MD5, every inner node the SHA-256 of its children's nodes. A fingerprint is the root in full and the
+tree's nodes shortened, in base64: 4 characters a piece, 8 a paragraph, 8 a section, some 0.15 of the text's length::
+
+    root | section node : paragraph node - piece nodes . paragraph ... ; section ...
 
 Two fingerprints are alike by the share of their distinct pieces that both have (Dice); equal roots are 1. ``locate``
 compares branches and gives the sections and paragraphs that differ.
 
 Defined results: a null text equals an empty one, whose fingerprint is that of one empty paragraph; equal texts have
-equal fingerprints; an empty table gives no rows; other columns are ignored.
+equal fingerprints, whatever their doc_ids; in ``edit_study`` null doc_ids come first, and rows with equal doc_ids are
+ordered by a hash of their texts (rows repeated outright follow one another); an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -22,30 +28,39 @@ from pyspark.sql import functions as F
 from brightwire.llm.common import cut, id_text, partitions
 
 #: Characters of a piece, the leaf of the tree.
-PIECE = 32
-#: Documents of 2 ** BUCKET_BITS successive doc_ids are ordered together.
-BUCKET_BITS = 10
-#: Keys up to this number are ordered in one task.
-FEW = 20_000
+LEAST, MOST = 24, 96
+#: A piece. The lazy first branch takes the first end that the content gives.
+PIECE = rf"(?s).{{{LEAST - 1},{MOST - 1}}}?(?:\p{{Punct}}|\p{{P}}|(?<=[es\P{{IsLatin}}])\s)|.{{1,{MOST}}}"
+#: Characters of a shortened node: 24 bits of a piece, 48 of a paragraph or section.
+LEAF, INNER = 4, 8
+#: Steps by which buckets of successive doc_ids widen, from 2 ** 10 of them on, until a bucket has FULL documents on average.
+STEPS, FULL = range(10, 61, 10), 64
+#: A bucket of more rows is split further, by its doc_ids and hashes of texts.
+HOT = 20_000
+
+
+def _short(node: Column, characters: int) -> Column:
+    """The first characters of a hexadecimal node in base64."""
+    return F.base64(F.unhex(F.substring(node, 1, characters * 3 // 2)))
 
 
 def _tree(text: Column) -> Column:
     """array of (node, shown) of the sections."""
     pieces = F.transform(
         F.split(text, "\n\n"),
-        lambda s: F.transform(F.split(s, "\n"), lambda p: F.transform(F.regexp_extract_all(p, F.lit(rf"(?s).{{1,{PIECE}}}"), 0), F.md5)),
+        lambda s: F.transform(F.split(s, "\n"), lambda p: F.transform(F.regexp_extract_all(p, F.lit(PIECE), 0), F.md5)),
     )
     paragraphs = F.transform(
         pieces,
         lambda s: F.transform(
-            s, lambda p: F.struct(F.sha2(F.concat(F.lit("p"), F.array_join(p, "")), 256).alias("node"), F.array_join(F.transform(p, lambda x: F.substring(x, 1, 8)), "").alias("shown"))
+            s, lambda p: F.struct(F.sha2(F.concat(F.lit("p"), F.array_join(p, "")), 256).alias("node"), F.array_join(F.transform(p, lambda x: _short(x, LEAF)), "").alias("shown"))
         ),
     )
     return F.transform(
         paragraphs,
         lambda s: F.struct(
             F.sha2(F.concat(F.lit("s"), F.array_join(F.transform(s, lambda p: p["node"]), "")), 256).alias("node"),
-            F.array_join(F.transform(s, lambda p: F.concat(F.substring(p["node"], 1, 8), F.lit("-"), p["shown"])), ".").alias("shown"),
+            F.array_join(F.transform(s, lambda p: F.concat(_short(p["node"], INNER), F.lit("-"), p["shown"])), ".").alias("shown"),
         ),
     )
 
@@ -54,7 +69,7 @@ def with_fingerprint(df: DataFrame, text_col: str, out: str) -> DataFrame:
     """``df`` and the fingerprint of one of its text columns."""
     made = df.withColumn("_tree", _tree(F.coalesce(F.col(text_col), F.lit(""))))
     root = F.sha2(F.concat(F.lit("r"), F.array_join(F.transform("_tree", lambda s: s["node"]), "")), 256)
-    shown = F.array_join(F.transform("_tree", lambda s: F.concat(F.substring(s["node"], 1, 8), F.lit(":"), s["shown"])), "/")
+    shown = F.array_join(F.transform("_tree", lambda s: F.concat(_short(s["node"], INNER), F.lit(":"), s["shown"])), ";")
     return made.withColumn(out, F.concat(root, F.lit("|"), shown)).drop("_tree")
 
 
@@ -64,8 +79,8 @@ def root_of(fingerprint: Column) -> Column:
 
 def pieces_of(fingerprint: Column) -> Column:
     """The nodes of the pieces."""
-    leaves = F.regexp_replace(F.substr(fingerprint, F.lit(66)), r"[0-9a-f]{8}[:\-]|[./]", "")
-    return F.regexp_extract_all(leaves, F.lit("[0-9a-f]{8}"), 0)
+    leaves = F.regexp_replace(F.substr(fingerprint, F.lit(66)), rf"[^:.;\-]{{{INNER}}}[:\-]|[.;]", "")
+    return F.regexp_extract_all(leaves, F.lit(rf".{{{LEAF}}}"), 0)
 
 
 def likeness(a: Column, b: Column, a_pieces: Column, b_pieces: Column) -> Column:
@@ -76,7 +91,7 @@ def likeness(a: Column, b: Column, a_pieces: Column, b_pieces: Column) -> Column
 
 def locate(df: DataFrame, a: str, b: str) -> DataFrame:
     """For each row whose fingerprints ``a`` and ``b`` differ: its columns, section and paragraph (from 0) of each paragraph that differs."""
-    branches = lambda c: F.transform(F.split(F.substr(F.col(c), F.lit(66)), "/"), lambda s: F.split(F.substring_index(s, ":", -1), r"\."))
+    branches = lambda c: F.transform(F.split(F.substr(F.col(c), F.lit(66)), ";"), lambda s: F.split(F.substring_index(s, ":", -1), r"\."))
     sections = F.arrays_zip(branches(a).alias("x"), branches(b).alias("y"))
     rows = df.filter(root_of(F.col(a)) != root_of(F.col(b))).select(*df.columns, F.posexplode(sections).alias("section", "_s")).filter("not _s.x <=> _s.y")
     paragraphs = F.arrays_zip(F.coalesce("_s.x", F.array()).alias("x"), F.coalesce("_s.y", F.array()).alias("y"))
@@ -84,40 +99,51 @@ def locate(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def successors(keys: DataFrame) -> DataFrame:
-    """(key, next) of a table of distinct long keys; next is null for the largest.
+    """(key, next) of a table of distinct keys; next is null for the largest.
 
-    Keys are ordered within groups that share all but their last 10 bits; the groups' order comes the same way, one
-    level up, so no task orders more than 1024 keys or ``FEW`` groups.
+    Keys are dealt by ranges and ordered within them; the ranges' first keys, one a partition, give the rest.
     """
-    keys = cut(keys.select("key"), "keys")
-    if keys.count() <= FEW:
-        return keys.select("key", F.lead("key").over(Window.orderBy("key")).alias("next"))
-    keys = keys.withColumn("group", F.shiftright("key", 10))
-    inner = keys.select("key", "group", F.lead("key").over(Window.partitionBy("group").orderBy("key")).alias("next"))
-    heads = keys.groupBy("group").agg(F.min("key").alias("head"))
-    after = successors(heads.select(F.col("group").alias("key"))).select(F.col("key").alias("group"), F.col("next").alias("next_group"))
-    after = after.join(heads.select(F.col("group").alias("next_group"), "head"), "next_group", "left").select("group", "head")
-    return inner.join(after, "group").select("key", F.coalesce("next", "head").alias("next"))
+    placed = keys.select("key").repartitionByRange(partitions(keys.sparkSession), "key").withColumn("range", F.spark_partition_id())
+    placed = cut(placed, "ranges")
+    after = F.lead("key").over(Window.partitionBy("range").orderBy("key"))
+    heads = placed.groupBy("range").agg(F.min("key").alias("head"))
+    heads = heads.select("range", F.lead("head").over(Window.orderBy("range")).alias("head"))  # a row for each partition
+    return placed.withColumn("next", after).join(F.broadcast(heads), "range").select("key", F.coalesce("next", "head").alias("next"))
+
+
+def _width(docs: DataFrame) -> int:
+    """Bits of doc_id that a bucket spans: few enough for dense ids, more where ids are far apart (hashes, for instance)."""
+    counts = docs.agg(F.count("doc_id"), *(F.approx_count_distinct(F.shiftright("doc_id", n)) for n in STEPS)).first()
+    return next((n for n, buckets in zip(STEPS, counts[1:], strict=True) if buckets * FULL <= counts[0]), STEPS[0] if counts[0] < FULL else STEPS[-1])
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, fingerprint, next_text, next_fingerprint: the next document by ascending doc_id, after the last the first.
 
-    Texts are shuffled once, by ranges of buckets of doc_ids; each bucket's last document, one in 1024, finds its next
-    one by a join. Null doc_ids come first, rows with equal doc_ids are ordered by a hash of their texts.
+    Texts are shuffled once, by ranges of buckets of doc_ids; each bucket's last document finds its next one by a join.
+    Buckets of more than ``HOT`` rows, as of null doc_ids or of one that is repeated, are split by doc_id, hash of the text
+    and, for rows repeated outright, at random.
     """
-    bucket = F.coalesce(F.shiftright("doc_id", BUCKET_BITS), F.lit(-(1 << 60)))
-    docs = docs.withColumn("bucket", bucket)
-    order = successors(docs.select(F.col("bucket").alias("key")).distinct())
-    order = cut(order, "bucket-order")
+    width = _width(docs)
+    docs = docs.withColumn("bucket", F.coalesce(F.shiftright("doc_id", width), F.lit(-(1 << 62)))).withColumn("h", F.xxhash64("text"))
+    hot = cut(docs.groupBy("bucket").count().filter(F.col("count") > HOT).select("bucket"), "hot-buckets")
+    none = F.lit(None).cast("long")
+    key = F.struct("bucket", none.alias("id"), none.alias("h"), none.alias("tie"))
+    if not hot.isEmpty():  # at most a bucket for each HOT rows
+        docs = docs.join(hot.withColumn("hot", F.lit(True)), "bucket", "left")
+        key = F.when(F.col("hot"), F.struct("bucket", F.col("doc_id").alias("id"), F.shiftright("h", 52).alias("h"), F.pmod(F.monotonically_increasing_id(), F.lit(16)).alias("tie"))).otherwise(key)
+        rows = cut(docs.select("doc_id", "text", "h", key.alias("bucket")), "hot-dealt")  # ties are drawn once
+    else:
+        rows = docs.select("doc_id", "text", "h", key.alias("bucket"))
+    order = cut(successors(rows.select(F.col("bucket").alias("key")).distinct()), "bucket-order")
     first = order.agg(F.min("key").alias("first"))
     order = order.crossJoin(F.broadcast(first)).select(F.col("key").alias("bucket"), F.coalesce("next", "first").alias("next_bucket"))  # first: one row
     # under another name, so that no branch drops the alias as redundant: equal exchanges are made once
-    dealt = docs.select(F.col("doc_id").alias("id"), "text", "bucket").repartitionByRange(partitions(docs.sparkSession), "bucket")
-    window = Window.partitionBy("bucket").orderBy(F.asc_nulls_first("id"), F.xxhash64("text"))
+    dealt = rows.select(F.col("doc_id").alias("id"), "text", "h", "bucket").repartitionByRange(partitions(docs.sparkSession), "bucket")
+    window = Window.partitionBy("bucket").orderBy(F.asc_nulls_first("id"), "h")
     onward = with_fingerprint(dealt, "text", "fingerprint")
     onward = onward.withColumn("next_text", F.lead("text").over(window)).withColumn("next_fingerprint", F.lead("fingerprint").over(window))
-    inner = onward.filter("next_text is not null").drop("bucket")
+    inner = onward.filter("next_text is not null").drop("bucket", "h")
     # the ends of buckets: found by place, so that only their fingerprints are made again
     placed = dealt.withColumn("n", F.row_number().over(window)).withColumn("more", F.lead(F.lit(1)).over(window))
     heads = with_fingerprint(placed.filter("n = 1").select(F.col("bucket").alias("next_bucket"), F.col("text").alias("next_text")), "next_text", "next_fingerprint")

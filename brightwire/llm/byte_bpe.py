@@ -10,8 +10,8 @@ mapped back to the text.
 The automaton is the usual byte-level split: contractions, an optional single space before a run of letters, numbers or
 other characters, and runs of white space that leave their last character to what follows.
 
-Defined results: a null or empty text has no ids; repeated rows are encoded alike; an empty table gives no rows; other
-columns are ignored.
+Defined results: a null or empty text has no ids; repeated rows are encoded alike, with null doc_ids too; an empty table
+gives no rows; other columns are ignored. Memory is bounded by the text and its ids: long texts are scanned in segments.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ S_END, S_LETTER, S_NUMBER, S_OTHER, S_PREFIX, S_RUN, S_ONE, S_TWO = range(8)
 WHITE_POINTS = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: Columns of a row of the scan.
 WIDTH = 64
+#: Characters of a text, about, that are scanned at once: the arrays take some 100 bytes a character.
+SEGMENT = 1_000_000
 
 
 def _automaton() -> tuple[np.ndarray, np.ndarray]:
@@ -133,6 +135,17 @@ def token_slices(texts: list[str]) -> list[tuple[list[str], np.ndarray]]:
     return out
 
 
+def segments(text: str) -> list[str]:
+    """A long text in parts of about ``SEGMENT`` characters, cut where white space follows something else: a token always begins there, and what precedes it doesn't look further."""
+    import re
+
+    out, at, cut = [], 0, re.compile("(?<=[^{0}])[{0}]".format("".join(map(chr, WHITE_POINTS)))).search
+    while len(text) - at > SEGMENT and (found := cut(text, at + SEGMENT)):
+        out.append(text[at : found.start()])
+        at = found.start()
+    return [*out, text[at:]]
+
+
 class RankCoder:
     """Ids by merge ranks, as a rank file (base64 token, rank) gives them."""
 
@@ -173,13 +186,21 @@ class RankCoder:
             i = ends[i]
         return np.array(out, "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each text: ids, the character offsets of its pre-tokens, the number of ids of each pre-token."""
-        out = []
+        for block in _blocks(texts):
+            if len(block) > 1 or len(block[0]) <= SEGMENT:
+                yield from self._encode(block)
+                continue
+            parts = segments(block[0])
+            made = [next(self._encode([p])) for p in parts]
+            base = np.cumsum([0, *map(len, parts)])
+            yield np.concatenate([m[0] for m in made]), np.concatenate([m[1] + b for m, b in zip(made, base, strict=False)]), np.concatenate([m[2] for m in made])
+
+    def _encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for pieces, offsets in token_slices(texts):
             parts = list(map(self.words.__getitem__, pieces))
-            out.append((np.frombuffer(b"".join(parts), "<u4"), offsets, np.fromiter(map(len, parts), np.int64, len(parts)) >> 2))
-        return out
+            yield np.frombuffer(b"".join(parts), "<u4"), offsets, np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -192,14 +213,15 @@ def coder(path: str) -> RankCoder:
     return _coders.get(path) or _coders.setdefault(path, RankCoder(path))
 
 
-def _blocks(texts: list[str], size: int = 1_000_000) -> Iterator[list[str]]:
+def _blocks(texts: list[str]) -> Iterator[list[str]]:
+    """Successive texts of about ``SEGMENT`` characters together; a longer one is alone."""
     own, n = [], 0
     for t in texts:
-        own.append(t)
-        n += len(t)
-        if n >= size:
+        if own and n + len(t) > SEGMENT:
             yield own
             own, n = [], 0
+        own.append(t)
+        n += len(t)
     if own:
         yield own
 
@@ -208,11 +230,10 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, offsets, counts = [], [], []
-            for block in _blocks(batch.column(1).to_pylist()):
-                for own, at, n in coder(path).encode(block):
-                    ids.append(own.astype(np.int32))
-                    offsets.append(at.astype(np.int32))
-                    counts.append(n.astype(np.int32))
+            for own, at, n in coder(path).encode(batch.column(1).to_pylist()):
+                ids.append(own.astype(np.int32))
+                offsets.append(at.astype(np.int32))
+                counts.append(n.astype(np.int32))
             lists = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, lists) for c in (ids, offsets, counts))], ["doc_id", "ids", "offsets", "piece_ids"])
 
@@ -243,12 +264,11 @@ def _digested(path: str):
         own = coder(path)
         for batch in batches:
             n, shown, back = [], [], []
-            for block in _blocks(batch.column(1).to_pylist()):
-                for ids, _, _ in own.encode(block):
-                    ids = ids.tolist()
-                    n.append(len(ids))
-                    shown.append(hashlib.sha256(b" ".join(map(own.shown.__getitem__, ids))).hexdigest())
-                    back.append(hashlib.sha256(own.decode(ids)).hexdigest())
+            for ids, _, _ in own.encode(batch.column(1).to_pylist()):
+                ids = ids.tolist()
+                n.append(len(ids))
+                shown.append(hashlib.sha256(b" ".join(map(own.shown.__getitem__, ids))).hexdigest())
+                back.append(hashlib.sha256(own.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(shown), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run

@@ -4,7 +4,7 @@ Splitting at ASCII white space is exact for vocabularies whose pre-tokenizer dro
 cases: no match, composition or special token reaches over it. Plain words (Latin letters, perhaps a run of ASCII
 punctuation without apostrophes after them) are two pre-tokens at most; those that a block lacks are encoded by one call,
 as one text, and cut where a token ends a word. Other pieces are encoded one by one. Frequent pieces stay in bounded
-caches.
+caches, pieces of more than ``LONGEST`` bytes only while their block lasts.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from brightwire.llm.common import Bounded
 #: class is C3, so its letters are ASCII's and those of Latin-1 in UTF-8, without the signs for times and divided by.
 PLAIN = re.compile(rb"^(?:([a-z\xc3\x80-\x96\x98-\xb6\xb8-\xbf]+)([!-&(-/:-@\[-`{-~]*)|[^\n]+)$", re.MULTILINE).findall
 END_OF_WORD = "</w>"
+#: Bytes of the longest piece that stays in a cache, so that the caches' memory is bounded with their entries.
+LONGEST = 64
 
 
 class WordEncoder:
@@ -75,8 +77,11 @@ class WordEncoder:
         lack = self._learn(need) if need else []
         out = [b"".join(map(known.__getitem__, p)) for p in parts]
         for cache, cap, new in ((known, self.caps[0], need), (self.words, self.caps[1], lack)):
+            for p in new:
+                if len(p) > LONGEST:
+                    del cache[p]
             if len(cache) > cap:
-                for p in new[-(len(cache) - cap) :]:
+                for p in [p for p in new if len(p) <= LONGEST][-(len(cache) - cap) :]:
                     del cache[p]
         return out
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import io
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, components, exact_dedup, line_dedup, merkle, near_dup, packing, queries, token_count, token_files, toxicity, url_filter
+from brightwire.llm import byte_bpe, common, components, exact_dedup, line_dedup, merkle, near_dup, oracles, packing, queries, token_count, token_files, toxicity, url_filter, word_ids
 from brightwire.llm.common import scratch_path
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -85,6 +86,26 @@ def test_line_dedup_repeated_and_null_ids(spark):
     assert len(got) == 11 and {r.n_dropped for r in got} == {1} and {r.kept_text for r in got} == {"a", "b"}
 
 
+def test_line_dedup_by_shuffled_bitmaps(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+    test_line_dedup_all(spark)
+
+
+def test_line_dedup_sql_counts_rows_too(spark):
+    """Rows with one doc_id, and rows without one, are documents each, here and in the SQL."""
+    import duckdb
+    import pandas as pd
+
+    rows = [(1, "same\na")] * 4 + [(None, "same\nb\nthird")] * 3 + [(k, f"same\nTHIRD \n{k}") for k in range(2, 5)] + [(9, None)]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": pd.array([d for d, _ in rows], "Int64"), "text": [t for _, t in rows]}))
+    want = Counter(con.execute(oracles.oracle_sql()["op1_line_dedup"]).fetchall())
+    df = docs(spark, *rows)
+    got = line_dedup.apply_bitmaps(df, line_dedup.line_dedup(df, 10)).collect()
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, sha(r.kept_text)) for r in got) == want and len(got) == len(rows)
+    assert {r.n_dropped for r in got if r.doc_id == 1} == {1} and {r.n_dropped for r in got if r.doc_id == 2} == {1}
+
+
 @pytest.fixture(scope="module")
 def word_tokenizer():
     from tokenizers import Tokenizer
@@ -107,6 +128,43 @@ def test_token_files(spark, word_tokenizer, planes):
     assert sums == {d: zlib.crc32(np.array(i, "<u4").tobytes()) for d, (_, i) in want.items()}
 
 
+def test_token_files_roll_over(spark, word_tokenizer, monkeypatch):
+    """Files of few blocks: documents go on in the next one; null and repeated doc_ids have their places."""
+    monkeypatch.setattr(token_files, "FILE_BLOCKS", 3)
+    monkeypatch.setattr(token_files, "FILE_DOCS", 12)
+    rows = [*sample(n=30), (None, "no id at all"), (None, None), (3, "again the same id"), *[(13, "one row over and over")] * 40]
+    encoded = {t: [*word_tokenizer.encode(t, add_special_tokens=False).ids, 1] for _, t in texts(rows)}
+    want = Counter((d, len(encoded[t]), zlib.crc32(np.array(encoded[t], "<u4").tobytes())) for d, t in texts(rows))
+    target = scratch_path(spark, "test-rolls")
+    token_files.write_token_files(docs(spark, *rows), queries.vocabulary("word_bpe_49k.json"), target, block=64)
+    got = token_files.read_digests(spark, target).orderBy("start").collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    ids = [-(2**63) if r.doc_id is None else r.doc_id for r in got]
+    assert ids == sorted(ids)
+    whole = token_files.read_token_files(spark, target).collect()
+    assert Counter((r.doc_id, r.n_tokens, zlib.crc32(r.ids)) for r in whole) == want
+    files = [bytes(r.content) for r in token_files._files(spark, target).collect()]
+    assert all(token_files.TokenFile(io.BytesIO(f)).index.size <= 3 for f in files if f) and len(files) > 20
+
+
+def test_ranges_of_a_file():
+    writer, rng = token_files.FileWriter(block=10, planes=4, file_blocks=100), np.random.default_rng(5)
+    ids = rng.integers(0, 50_000, 333).astype("<u4")
+    frames = [*writer.add(1, ids[:40].tobytes()), *writer.add(None, b""), *writer.add(3, ids[40:].tobytes()), *writer.close()]
+    file = token_files.TokenFile(io.BytesIO(b"".join(f + b"\n" for f in frames)))
+    assert file.docs == [(1, False, 40, 0), (None, False, 0, 0), (3, False, 293, 0)]
+    opened = []
+    file.block = lambda k, own=file.block: (opened.append(k), own(k))[1]
+    for first, n in ((0, 333), (0, 1), (95, 10), (100, 10), (332, 1), (5, 0)):
+        opened.clear()
+        assert file.ids(first, n).tolist() == ids[first : first + n].tolist()
+        assert opened == (list(range(first // 10, -(-(first + n) // 10))) if n else [])
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(1)
     for n in (1, 7, 8, 1000, 4099):
@@ -143,6 +201,16 @@ def test_url_filter(spark, monkeypatch, limit):
     assert got == {n: brute_url(u, rules) for n, u in enumerate(URLS)}
 
 
+def test_url_filter_repeated_rows_and_long_urls(spark):
+    """Rows that repeat, null page_ids, and a segment of a million characters, which is looked up once a rule's length."""
+    long = "http://h.net/de/8" + "x" * 1_000_000
+    rows = [(1, URLS[0])] * 30 + [(None, long)] * 2 + [(None, None)] * 2 + [(7, "http://" + "a." * 100_000 + "example.com/en/7")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    rules = [url_filter.parse_rule(*r) for r in RULES]
+    got = Counter((r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.filter_urls(df, rules).collect())
+    assert got == Counter((n, *brute_url(u, rules)) for n, u in rows)
+
+
 def test_rule_syntax():
     with pytest.raises(ValueError):
         url_filter.parse_rule("deny", "a.com")
@@ -202,6 +270,38 @@ def test_byte_bpe(spark):
     assert sums == {d: (len(i), sha(" ".join(map(str, i))), sha(t)) for d, t in texts(rows) for i in [library.encode_ordinary(t)]}
 
 
+def test_byte_bpe_segments_null_and_repeated_ids(spark, monkeypatch):
+    """Long texts are scanned in segments, cut where no token reaches over."""
+    import public_tokenizers
+    import tiktoken
+
+    path = queries.vocabulary("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(byte_bpe, "SEGMENT", 40)
+    rng = random.Random(6)
+    coder = byte_bpe.coder(path)
+    for _ in range(300):
+        text = random_text(rng, rng.randint(0, 400))
+        assert "".join(byte_bpe.segments(text)) == text
+        ((ids, offsets, counts),) = coder.encode([text])
+        assert ids.tolist() == library.encode_ordinary(text) and counts.sum() == len(ids)
+        assert offsets.tolist() == sorted(set(offsets.tolist())) and (not text or offsets[0] == 0)
+    rows = [(None, "no id"), (None, "no id"), (None, None), (4, "twice"), (4, "twice"), (4, "another text")]
+    got = Counter((r.doc_id, r.n_tokens, r.decoded_sha256) for r in byte_bpe.round_trip(docs(spark, *rows), path).collect())
+    assert got == Counter((d, len(library.encode_ordinary(t)), sha(t)) for d, t in texts(rows))
+
+
+def test_caches_are_bounded():
+    cache = common.Bounded(len, cap=3, longest=5)
+    assert [cache[k] for k in ("a", "bb", "toolong", "bb", "ccc", "dddd")] == [1, 2, 7, 2, 3, 4] and set(cache) == {"a", "bb", "ccc"}
+    encoder = word_ids.WordEncoder(queries.vocabulary("word_bpe_49k.json"), pieces=50, words=50)
+    for k in range(4):
+        encoder.encode([b" ".join(b"w%d" % (100 * k + i) + b"x" * i for i in range(90))])
+        assert len(encoder.known) <= 50 and len(encoder.words) <= 50 and all(len(p) <= word_ids.LONGEST for p in [*encoder.known, *encoder.words])
+
+
 def test_scan_equals_one_step_at_a_time():
     rng = np.random.default_rng(2)
     for n in (1, 63, 64, 65, 1000, 64 * 40):
@@ -272,15 +372,51 @@ def test_near_dup_null_and_repeated_ids(spark):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [(-1, -1, True), (-1, -1, True), (4, 4, True), (4, 4, True), (9, 4, False)]
 
 
+def test_near_dup_thousands_of_repeats(spark):
+    """One row 5,000 times, and another document with many texts: linear work."""
+    text, other = "a b c d e f g h", "k l m n o p q r s"
+    rows = [(4, text)] * 5000 + [(7, text)] + [(9, f"{other} {k} t u v w {k}") for k in range(300)]
+    got = near_dup.near_dup(docs(spark, *rows)).groupBy("doc_id", "n_shingles", "component_id", "kept").count().collect()
+    assert sorted(tuple(r) for r in got) == [(4, 4, 4, True, 5000), (7, 4, 4, False, 1), (9, 11, 9, True, 300)]
+
+
+def test_near_dup_joins_the_texts_of_a_document(spark):
+    a, b, c = ("one two three four five six", "seven eight nine ten eleven twelve", "some other words that stand alone here")
+    got = near_dup.near_dup(docs(spark, (1, a), (2, b), (5, a), (5, b), (6, c), (5, c), (8, "apart from all of that"))).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (5, 1), (6, 1), (8, 8)}
+
+
+def test_near_dup_splits_buckets_of_unlike_documents(spark, monkeypatch):
+    """A passage that unlike documents share fills large buckets, whose near copies are found in the split ones."""
+    monkeypatch.setattr(near_dup, "BUCKET", 8)
+    monkeypatch.setattr(near_dup, "PIVOTS", 1)
+    rng = random.Random(12)
+    passage = ["p%d" % k for k in range(60)]
+    rows = []
+    for k in range(90):
+        own = passage + ["x%d" % rng.randint(0, 10**6) for _ in range(40)]
+        rows += [(3 * k, " ".join(own))]
+        if k % 9 == 0:
+            own[70] = "changed"
+            rows += [(3 * k + 1, " ".join(own))]
+    split = []
+    monkeypatch.setattr(near_dup, "_outside", lambda *a, own=near_dup._outside: (split.append(1), own(*a))[1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_dup(docs(spark, *rows)).collect()}
+    assert got == near_brute(rows) and any(d != c for d, (_, c) in got.items())
+
+
 def test_keys_meet_within_the_distance():
-    """The pigeonhole guarantee: signatures that differ in up to 2 * CHUNKS - 1 of the indexed symbols share a key."""
+    """The pigeonhole guarantee: signatures that differ in up to DISTANCE symbols share keys of two chunks."""
     rng = np.random.default_rng(4)
-    n = near_dup.CHUNKS * near_dup.CHUNK
-    for _ in range(300):
-        a = rng.integers(0, 1 << 63, near_dup.SYMBOLS, np.uint64) << np.uint64(1)
+    for k in range(300):
+        a = rng.integers(0, 1 << 32, near_dup.SYMBOLS, np.uint64).astype(np.uint32)
         b = a.copy()
-        b[rng.choice(n, 2 * near_dup.CHUNKS - 1, replace=False)] = rng.integers(0, 1 << 63, 2 * near_dup.CHUNKS - 1, np.uint64)
-        assert set(near_dup.chunk_keys(a).tolist()) & set(near_dup.chunk_keys(b).tolist())
+        gone = rng.choice(near_dup.SYMBOLS, near_dup.DISTANCE, replace=False)
+        if k % 2:  # the worst case: two symbols of every chunk but one
+            gone = [np.flatnonzero(near_dup.CHUNK_OF == c)[j] for c in rng.permutation(near_dup.CHUNKS)[1:] for j in range(2)][: near_dup.DISTANCE]
+        b[gone] ^= 1
+        x, y = near_dup.chunk_keys(np.stack([a, b]))
+        assert len(set(near_dup.CHUNK_OF[x == y].tolist())) >= 2
 
 
 def test_components(spark):
@@ -356,25 +492,91 @@ def test_crossover_improves_the_seed(monkeypatch):
     assert made().bound <= len(bred) < len(first) <= len(greedy)
 
 
-def test_merkle(spark):
-    rows = [(d, t) for d, t in sample(n=25) if len(t or "") < 100_000] + [(20_000, "a\n\nb\nc"), (40_000, "x"), (40_001, "é" * 70)]
-    got = {r.doc_id: r for r in merkle.edit_study(docs(spark, *rows)).collect()}
-    order = sorted(texts(rows))
+def brute_tree(text):
+    """Sections, paragraphs and pieces, cut by walking over the text."""
+    import regex
+
+    ends = regex.compile(r"\p{P}|[!-/:-@\[-`{-~]")
+    latin = regex.compile(r"\p{Script=Latin}")
+
+    def pieces(p):
+        out, at = [], 0
+        while at < len(p):
+            for k in range(at + merkle.LEAST - 1, min(at + merkle.MOST, len(p))):
+                if ends.match(p[k]) or (p[k] in " \t\x0b\x0c\r" and (p[k - 1] in "es" or not latin.match(p[k - 1]))):
+                    out.append(p[at : k + 1])
+                    break
+            else:
+                out.append(p[at : at + merkle.MOST])
+            at += len(out[-1])
+        return out
+
+    return [[pieces(p) for p in s.split("\n")] for s in text.split("\n\n")]
+
+
+def brute_fingerprint(text):
+    short = lambda node, n: base64.b64encode(bytes.fromhex(node[: n * 3 // 2])).decode()
+    sections, nodes = [], []
+    for s in brute_tree(text):
+        paragraphs = []
+        for p in s:
+            leaves = [hashlib.md5(x.encode()).hexdigest() for x in p]
+            paragraphs.append((sha("p" + "".join(leaves)), "".join(short(x, 4) for x in leaves)))
+        nodes.append(sha("s" + "".join(n for n, _ in paragraphs)))
+        sections.append(f"{short(nodes[-1], 8)}:" + ".".join(f"{short(n, 8)}-{x}" for n, x in paragraphs))
+    return sha("r" + "".join(nodes)) + "|" + ";".join(sections)
+
+
+def brute_likeness(a, b):
+    x, y = ({hashlib.md5(p.encode()).hexdigest()[:6] for s in brute_tree(t) for q in s for p in q} for t in (a, b))
+    return 1.0 if a == b else 2 * len(x & y) / max(1, len(x) + len(y))
+
+
+def check_edit_study(got, order, ties=False):
     by_text = {}
     for n, (d, t) in enumerate(order):
         onward, half = order[(n + 1) % len(order)][1], len(t) // 2
         edited = t[: len(t) - half] + onward[:half]
-        r = got[d]
-        assert (r.n_chars, r.edited_sha256) == (len(t), sha(edited))
-        by_text.setdefault(t, set()).add(r.fingerprint)
-        by_text.setdefault(edited, set()).add(r.edited_fingerprint)
-        assert 0 <= r.near_edited <= 1 and (r.near_edited == 1) == (edited == t) and (r.near_next == 1) == (onward == t)
-    assert all(len(f) == 1 for f in by_text.values())
-    assert len({next(iter(f))[:64] for f in by_text.values()}) == len(by_text)
+        want = (d, len(t), sha(edited), brute_fingerprint(t), brute_fingerprint(edited), round(brute_likeness(t, edited), 9), round(brute_likeness(t, onward), 9))
+        assert got[want] > 0, want
+        got[want] -= 1
+        by_text.setdefault(t, set()).add(want[3])
+    assert not +got and len({f[:64] for s in by_text.values() for f in s}) == len(by_text)
+
+
+def studied(df):
+    return Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in merkle.edit_study(df).collect())
+
+
+def test_merkle(spark):
+    long = " ".join("word%d is here, and more" % (k % 700) for k in range(6000))
+    rows = [*sample(n=25), (20_000, "a\n\nb\nc"), (40_000, "x"), (40_001, "é" * 700), (40_002, "日本語の文。" * 60), (50_000, long), (50_001, long[:50_000] + "inserted " + long[50_000:])]
+    check_edit_study(studied(docs(spark, *rows)), sorted(texts(rows)))
+
 
+@pytest.mark.parametrize("hot", [20_000, 3])
+def test_merkle_null_repeated_and_sparse_ids(spark, monkeypatch, hot):
+    """Buckets split by doc_id, hash and tie give the same order; rows with equal ids follow a hash of their texts."""
+    monkeypatch.setattr(merkle, "HOT", hot)
+    rows = [*sample(n=20), *[(None, f"no id {k}") for k in range(8)], *[(33, f"many texts of one id {k}") for k in range(9)], *[(70, "the same row again")] * 7, *[(k * 2**44 + 5, f"far apart {k}") for k in range(1, 30)]]
+    df = docs(spark, *rows)
+    keyed = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()
+    order = [(r.doc_id, r.text) for r in sorted(keyed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))]
+    check_edit_study(studied(df), order)
+
+
+def test_merkle_insertion_changes_a_few_pieces(spark):
+    """One inserted character: without cuts by content no piece after it would be left."""
+    rng = random.Random(3)
+    a = " ".join(rng.choice(["houses", "the", "river", "one", "under", "lines", "a"]) + str(k) for k in range(400))
+    df = spark.createDataFrame([(a, a[:300] + "!" + a[300:])], "x string, y string")
+    for c in ("x", "y"):
+        df = merkle.with_fingerprint(df, c, f"f{c}").withColumn(f"p{c}", F.array_distinct(merkle.pieces_of(F.col(f"f{c}"))))
+    got = df.select(merkle.likeness(F.col("fx"), F.col("fy"), F.col("px"), F.col("py")).alias("near"), F.length("fx").alias("n")).first()
+    assert 0.8 < got.near < 1 and got.n < 65 + 0.25 * len(a)
 
-def test_merkle_successors(spark, monkeypatch):
-    monkeypatch.setattr(merkle, "FEW", 3)
+
+def test_merkle_successors(spark):
     keys = sorted({-(2**50), -1, 0, 1, 5, 1023, 1024, 5000, 2**33, 2**33 + 1, 2**60})
     got = dict(map(tuple, merkle.successors(spark.createDataFrame([(k,) for k in keys], "key long")).collect()))
     assert got == dict(zip(keys, [*keys[1:], None], strict=True))
@@ -433,6 +635,48 @@ def test_toxicity_learns_pairs(spark):
     assert {r.doc_id for r in toxicity.keep_clean(df, model).collect()} == {d for d, s in got.items() if s < 0.5}
 
 
+def test_toxicity_scores_are_plain_sums(spark):
+    """Every score against the machine written out: the bias, each term, each pair of terms."""
+    rng = np.random.default_rng(7)
+    words = ["insulto", "grupo", "calm", "word", "Été", "another-one", "x"]
+    rows = sorted({r for w in words for r in toxicity.word_terms(w)})[::2]
+    model = toxicity.Model(-0.3, {r: i for i, r in enumerate(rows)}, rng.normal(0, 1, len(rows)), rng.normal(0, 0.7, (len(rows), 3)))
+    table = [(k, " ".join(rng.choice(words, rng.integers(0, 9))) + "," * (k % 2)) for k in range(60)] + [(None, None), (70, "calm insulto " * 40_000), (70, "GRUPO! grupo"), (70, "GRUPO! grupo")]
+    got = Counter((r.doc_id, round(r.score, 9)) for r in toxicity.score(docs(spark, *table), model).collect())
+    want = []
+    for d, t in texts(table):
+        own = sorted({model.terms[r] for w in t.split() for r in toxicity.word_terms(w) if r in model.terms})
+        raw = model.bias + sum(model.weights[i] for i in own) + sum(model.factors[i] @ model.factors[j] for n, i in enumerate(own) for j in own[:n])
+        want.append((d, round(1 / (1 + np.exp(-raw)), 9)))
+    assert got == Counter(want)
+
+
+def test_toxicity_keeps_pairs_that_say_nothing_alone():
+    """Toxic: exactly one of two words that are as common in clean documents. A marginal choice of terms would drop both."""
+    rng = np.random.default_rng(9)
+    found, toxic = [], []
+    for k in range(2400):
+        own = set(rng.integers(10, 70, 12).tolist()) | ({1} if k % 4 in (0, 1) else set()) | ({2} if k % 4 in (0, 2) else set())
+        found.append(np.array(sorted(own), np.int32))
+        toxic.append(int(k % 4 in (1, 2)))
+    counts = np.array([len(f) for f in found])
+    model = toxicity.fit_rows(np.concatenate(found), counts, np.array(toxic))
+    raw = toxicity.raw_scores(model, [np.array([model.terms[r] for r in f.tolist() if r in model.terms], np.int64) for f in found])
+    linear = toxicity.fit_rows(np.concatenate(found), counts, np.array(toxic), k=0)
+    plain = toxicity.raw_scores(linear, [np.array([linear.terms[r] for r in f.tolist() if r in linear.terms], np.int64) for f in found])
+    share = lambda x: ((x > 0) == np.array(toxic)).mean()
+    assert {1, 2} <= set(model.terms) and share(raw) > 0.97 > 0.7 > share(plain)
+
+
+def test_toxicity_of_repeated_and_null_ids(spark):
+    rows = toxic_world(400)
+    labels = [(d, y) for d, _, y in rows] + [(0, 1), (None, 1), (8, None)]
+    df = docs(spark, *[(d, t) for d, t, _ in rows], *[(rows[2][0], rows[2][1])] * 3, (None, "insulto grupo"))
+    model = toxicity.fit(common.id_text(df), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    scores = [r.score for r in toxicity.score(df, model).filter(F.col("doc_id") == rows[2][0]).collect()]
+    assert len(scores) == 4 and len(set(scores)) == 1
+
+
 def test_toxicity_without_labels(spark):
     df = docs(spark, (1, "a b"), (2, None)).select("doc_id", "text")
     none = spark.createDataFrame([(1, None)], "doc_id long, toxic int")

@@ -1,12 +1,17 @@
 """The pipeline's stages on a small corpus, against brute force; and the queries over the smallest tables."""
 
+import sys
 from pathlib import Path
 
 import duckdb
 import pytest
 
 import corpus_pipeline
-from brightwire.llm import oracles, queries
+from brightwire.llm import oracles, queries, toxicity
+from brightwire.llm.common import cut
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+from test_operators import check_packing, near_brute  # noqa: E402
 
 SF = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not SF.exists(), reason="needs the driver's tables")
@@ -37,6 +42,67 @@ def test_stages(spark):
     assert {r.doc_id for r in found["near_dedup"]} < {r.doc_id for r in found["exact_dedup"]}
 
 
+def kept_near(rows):
+    """Of (doc_id, text), the smallest doc_id of each group of near copies."""
+    return {d for d, (_, c) in near_brute(rows).items() if d == c}
+
+
+def test_run_against_brute_force(spark):
+    """The whole pipeline: scores by the model's plain sums, last of equal texts, all pairs of sets, pieces of all that is left."""
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = queries.toxicity_model(spark, docs, str(SF))
+    left = []
+    for r in docs.collect():
+        own = sorted({model.terms[t] for w in (r.text or "").split() for t in toxicity.word_terms(w) if t in model.terms})
+        raw = model.bias + sum(model.weights[i] for i in own) + sum(model.factors[i] @ model.factors[j] for n, i in enumerate(own) for j in own[:n])
+        if raw < 0:
+            left.append((r.doc_id, r.text or ""))
+    last = {t: d for d, t in sorted(left)}
+    kept = kept_near([(d, t) for t, d in last.items()])
+    library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    lengths = {d: len(library.encode(t, add_special_tokens=False).ids) + 1 for t, d in last.items() if d in kept}
+    rows = corpus_pipeline.run(spark, str(SF)).collect()
+    want = {(d, k, at, min(2048, n - at)) for d, n in lengths.items() for k, at in enumerate(range(0, n, 2048))}
+    assert {(r.doc_id, r.piece, r.start, r.length) for r in rows} == want and len(rows) == len(want)
+    assert check_packing(None, 2048, rows, lengths) == -(-sum(lengths.values()) // 2048)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, component string, k_id long, tie long, group string, h long"
+
+
+def table(spark, *rows):
+    """Documents with further columns whose names the stages use themselves."""
+    return spark.createDataFrame([(d, t, "en", "s", len(t or ""), "x", "y", 1, 2, "z", 3) for d, t in rows], SCHEMA)
+
+
+HARD = [(None, "without an id at all, this one"), (None, "without an id at all, this one"), (None, None), (3, None), (4, ""), (5, "same text here"), (6, "same text here"), (7, "one row twice"), (7, "one row twice"),
+        (8, "very " * 60_000 + "long"), (9, "very " * 60_000 + "long"), (10, "a b c d e f g h"), (11, "A  b c d e f g\th")]
+
+
+@pytest.mark.parametrize("rows", [HARD, []])
+def test_stages_on_hard_rows(spark, tmp_path, rows):
+    """Nulls, empty and very long texts, repeated rows, clashing names, an empty table; labels are missing, so nobody is toxic."""
+    spark.createDataFrame([(1, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    now, found = table(spark, *rows), {}
+    columns = now.columns
+    for name, stage in corpus_pipeline.STAGES:
+        now = cut(stage(spark, now, str(tmp_path)), name)
+        found[name] = now.collect()
+        assert name == "packing" or now.columns == columns
+    if not rows:
+        assert not any(found.values())
+        return
+    ids = lambda name: sorted((r.doc_id is not None, r.doc_id or 0) for r in found[name])
+    no = (False, 0)
+    assert sorted(r.doc_id or 0 for r in found["toxicity"]) == sorted(d or 0 for d, _ in rows)
+    assert ids("exact_dedup") == [no, *((True, d) for d in (4, 6, 7, 9, 10, 11))]  # null and empty texts are equal: the largest doc_id of them stays
+    assert ids("near_dedup") == [no, *((True, d) for d in (4, 6, 7, 9, 10))]
+    assert {(r.doc_id, r.length) for r in found["packing"] if r.piece == 0 and r.doc_id == 4} == {(4, 1)}
+    assert sum(r.length for r in found["packing"] if r.doc_id == 9) > 60_000
+
+
 @pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()

@@ -326,9 +326,8 @@ def _once(keyed: DataFrame, *more) -> DataFrame:
     holds = F.count("*") > 1
     for condition in more:
         holds = holds & condition
-    same = (F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("x1"), F.sum(F.hash("row").cast("long")).alias("x2"), holds.alias("holds"))
-    buckets = keyed.groupBy("group").agg(*same).filter("holds")
-    return _small(cut(buckets.groupBy("n", "x1", "x2").agg(F.min("group").alias("group")).select("group", "n"), "buckets"))
+    buckets = keyed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("rows"), holds.alias("holds")).filter("holds")
+    return _small(cut(buckets.groupBy("n", "rows").agg(F.min("group").alias("group")).select("group", "n"), "buckets"))
 
 
 def cells(nodes: DataFrame) -> DataFrame:
@@ -342,7 +341,9 @@ def cells(nodes: DataFrame) -> DataFrame:
 
     def split(rest: DataFrame, main: DataFrame) -> DataFrame:
         """Smaller buckets, by the keys of other chunks; those of one component are done."""
-        own = rest.join(main.select("group"), "group", "left_semi").join(near.select("row", "keys"), "row")
+        own = cut(rest.join(main.select("group"), "group", "left_semi"), "split-rows")
+        keys = near.select("row", "keys").join(_small(cut(own.select("row").distinct(), "split-nodes")), "row", "left_semi")
+        own = own.join(keys, "row")
         own = own.withColumnRenamed("group", "outer").select("*", F.posexplode("keys").alias("at", "key")).filter(chunk != F.col("chunk")).drop("keys", "at", "blocks", "block")
         own = own.withColumn("group", F.xxhash64("outer", "key")).drop("outer", "key")
         return _placed(own.join(_once(own, F.min("component") != F.max("component")), "group"), F.ceil(F.col("n") / BUCKET)).drop("n")

@@ -64,8 +64,10 @@ def raw_title(extras: Column) -> Column:
 
 
 def page_title(extras: Column) -> Column:
-    """Only titles that hold an entity go to the Python worker's unescaping."""
-    return filled(unescape(raw_title(extras)))
+    """Only titles that hold an entity are sent to the Python worker's unescaping; it gets null for the others."""
+    title = raw_title(extras)
+    escaped = title.contains("&")
+    return filled(F.when(escaped, unescape(F.when(escaped, title))).otherwise(title))
 
 
 def language_raw(translation: Column) -> Column:
@@ -93,16 +95,28 @@ def is_no_time(c: Column) -> Column:
     return strip(c).isin("", "0")
 
 
+#: The third field of each entry, where it is two letters.
+PLACE_CODE = r"(?:^|;)[^;#]*#[^;#]*#\s*([A-Z]{2})\s*(?=[#;]|\z)"
+
+
+def _bound(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def country(locations: Column) -> Column:
     """struct(code, name, status): the most frequent two-letter code, of equals the first seen; without a name, unknown."""
-    parts = F.transform(F.split(locations, ";"), lambda e: F.upper(strip(F.get(F.split(e, "#"), F.lit(2)))))
-    codes = F.filter(parts, lambda p: F.coalesce(p.rlike(r"^[A-Z]{2}\z"), F.lit(False)))
-    ranked = F.transform(F.array_distinct(codes), lambda d: F.struct(F.size(F.filter(codes, lambda x: x == d)).alias("n"), (-F.array_position(codes, d)).alias("first"), d.alias("code")))
-    best = F.try_element_at(F.reverse(F.array_sort(ranked)), F.lit(1))["code"]
-    name = country_name(best)
-    known = name.isNotNull()
-    return F.struct(
-        F.when(known, best).otherwise("ZZ").alias("code"), F.when(known, name).otherwise("Unknown").alias("name"), F.when(known, "v2_locations").otherwise("undetermined").alias("status")
+
+    def most_frequent(codes: Column) -> Column:
+        ranked = F.transform(F.array_distinct(codes), lambda d: F.struct(F.size(F.filter(codes, lambda x: x == d)).alias("n"), (-F.array_position(codes, d)).alias("first"), d.alias("code")))
+        return F.array_max(ranked)["code"]
+
+    best = _bound(F.regexp_extract_all(F.upper(locations), F.lit(PLACE_CODE), 1), most_frequent)
+    named = _bound(best, lambda code: F.struct(code.alias("code"), country_name(code).alias("name")))
+    known = lambda p: p["name"].isNotNull()
+    return _bound(
+        named,
+        lambda p: F.struct(F.when(known(p), p["code"]).otherwise("ZZ").alias("code"), F.when(known(p), p["name"]).otherwise("Unknown").alias("name"), F.when(known(p), "v2_locations").otherwise("undetermined").alias("status")),
     )
 
 

@@ -1,4 +1,8 @@
-"""Data-quality checks: declared column checks, and the fifteen custom ones. A check gives 0 where it passes."""
+"""Data-quality checks: declared column checks, and the fifteen custom ones. A check gives 0 where it passes.
+
+Every table is read once for its declared checks and once for its custom ones: a check is an aggregate column, and all of a
+table's checks are one row, turned into rows afterwards.
+"""
 
 from __future__ import annotations
 
@@ -18,6 +22,11 @@ BAD_REASONS = ("missing_url", "malformed_url", "url_broken", "url_redirect_loop"
 
 #: table: column: its checks. "unique" and "not_null" stand alone, bounds with their value.
 DECLARED: dict[str, dict[str, dict[str, float | bool]]] = {
+    "bronze": {
+        **dict.fromkeys(("ingestion_id", "ingested_at", "language", "language_resolution_status", "mentioned_country_code", "mentioned_country_name", "mentioned_country_resolution_status"), {"not_null": True}),
+        "source_record_id": {"not_null": True, "unique": True},
+    },
+    "url_results": {"normalized_url": {"not_null": True, "unique": True}, **dict.fromkeys(("checked_at", "redirect_count", "status"), {"not_null": True})},
     "silver": {
         **dict.fromkeys(("source_record_id", "ingestion_id", "ingested_at", "language_resolution_status", "mentioned_country_code", "mentioned_country_name", "mentioned_country_resolution_status", "dedup_key", "is_duplicate", "is_near_duplicate_candidate"), {"not_null": True}),
         "article_id": {"unique": True, "not_null": True},
@@ -64,43 +73,40 @@ def column_checks(df: DataFrame, declared: dict[str, dict]) -> DataFrame:
     return wide.select(F.inline(F.array(*long)))
 
 
-def _verdict(failures: Column) -> Column:
-    return failures.cast("long").alias("failures")
+def _fails_unless(holds: Column) -> Column:
+    """0 or 1; an unknown condition fails."""
+    return F.when(holds, 0).otherwise(1)
 
 
-def _count(df: DataFrame, holds: Column) -> DataFrame:
-    return df.agg(_verdict(F.count_if(holds)))
+def _one(df: DataFrame, failures: Column) -> DataFrame:
+    return df.agg(failures.cast("long").alias("failures"))
 
 
-def _fails_unless(df: DataFrame, holds: Column) -> DataFrame:
-    """One row of aggregates to 0 or 1; an unknown condition fails."""
-    return df.select(_verdict(F.when(holds, 0).otherwise(1)))
+def _fresh(df: DataFrame, as_of: datetime, empty_passes: bool, column: str = "ingested_at") -> Column:
+    fresh = F.max(column) >= instant(as_of - timedelta(hours=FRESH_HOURS), df, column)
+    return _fails_unless((F.count("*") == 0) | fresh if empty_passes else fresh)
 
 
-def url_shape(silver: DataFrame) -> DataFrame:
-    return _count(silver, F.col("normalized_url").isNotNull() & ~F.col("normalized_url").rlike(VALID_URL))
+def freshness(df: DataFrame, as_of: datetime, empty_passes: bool, column: str = "ingested_at") -> DataFrame:
+    return _one(df, _fresh(df, as_of, empty_passes, column))
 
 
-def freshness(df: DataFrame, as_of: datetime, empty_passes: bool, column: str = "ingested_at") -> DataFrame:
-    limit = instant(as_of - timedelta(hours=FRESH_HOURS), df, column)
-    one = df.agg(F.count("*").alias("n"), F.max(column).alias("latest"))
-    fresh = F.col("latest") >= limit
-    return _fails_unless(one, (F.col("n") == 0) | fresh if empty_passes else fresh)
+def _eligible_with(holds: Column) -> Column:
+    return F.count_if(F.col("is_positive_feed_eligible") & holds)
 
 
-def eligible_with(df: DataFrame, holds: Column) -> DataFrame:
-    return _count(df, F.col("is_positive_feed_eligible") & holds)
+def _out_of_bounds(column: str, low: float, high: float) -> Column:
+    return F.count_if((F.col(column) < low) | (F.col(column) > high))
 
 
-def out_of_bounds(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
-    return _count(df, (F.col(column) < low) | (F.col(column) > high))
+def _newest(value) -> Column:
+    return F.max(F.when(F.col("run_rank") == 1, F.col(value) if isinstance(value, str) else value))
 
 
-def _against_history(newest: DataFrame, value: str, holds) -> DataFrame:
-    """``newest``: the last runs with their rank; 0 while there is no history."""
-    now, before = F.max(F.when(F.col("run_rank") == 1, F.col(value))), F.avg(F.when(F.col("run_rank").between(2, HISTORY_RUNS), F.col(value)))
-    one = newest.agg(now.alias("now"), before.alias("before"))
-    return _fails_unless(one, F.col("before").isNull() | holds(F.col("now"), F.col("before")))
+def _against_history(value, holds) -> Column:
+    """Over the last runs with their rank; 0 while there is no history."""
+    before = F.avg(F.when(F.col("run_rank").between(2, HISTORY_RUNS), F.col(value) if isinstance(value, str) else value))
+    return _fails_unless(before.isNull() | holds(_newest(value), before))
 
 
 def ranked(df: DataFrame, *order: Column, n: int = HISTORY_RUNS) -> DataFrame:
@@ -108,58 +114,64 @@ def ranked(df: DataFrame, *order: Column, n: int = HISTORY_RUNS) -> DataFrame:
     return df.orderBy(*order).limit(n).withColumn("run_rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def row_drop(metrics: DataFrame) -> DataFrame:
-    return _against_history(ranked(metrics, F.desc("audit_run_at")), "gold_row_count", lambda now, before: now >= ROW_DROP * before)
+def _row_drop() -> Column:
+    return _against_history("gold_row_count", lambda now, before: now >= ROW_DROP * before)
 
 
-def duplicate_drift(metrics: DataFrame) -> DataFrame:
+def _duplicate_drift() -> Column:
     ratio = F.try_divide(F.col("silver_duplicate_row_count").cast("double"), F.col("silver_row_count"))
-    rows = ranked(metrics, F.desc("audit_run_at")).withColumn("ratio", ratio)
-    return _against_history(rows, "ratio", lambda now, before: F.abs(now - before) <= DUPLICATE_DRIFT)
+    return _against_history(ratio, lambda now, before: F.abs(now - before) <= DUPLICATE_DRIFT)
 
 
-def accepted_drop(bronze: DataFrame) -> DataFrame:
-    runs = ranked(latest_runs(bronze, HISTORY_RUNS), F.desc("latest_ingested_at"), F.desc("ingestion_id"))
-    return _against_history(runs, "accepted_row_count", lambda now, before: now >= ROW_DROP * before)
+def _metrics_fresh(metrics: DataFrame, as_of: datetime) -> Column:
+    limit = instant(as_of - timedelta(hours=FRESH_HOURS), metrics, "latest_gold_ingested_at")
+    return _fails_unless((_newest("gold_row_count") == 0) | (_newest("latest_gold_ingested_at") >= limit))
+
 
+def row_drop(metrics: DataFrame) -> DataFrame:
+    return _one(ranked(metrics, F.desc("audit_run_at")), _row_drop())
 
-def malformed_ratio(bronze: DataFrame) -> DataFrame:
-    """By the payload alone, of the newest run."""
-    return _fails_unless(latest_runs(bronze, 1), F.col("payload_malformed_ratio") <= MALFORMED)
+
+def duplicate_drift(metrics: DataFrame) -> DataFrame:
+    return _one(ranked(metrics, F.desc("audit_run_at")), _duplicate_drift())
 
 
 def metrics_freshness(metrics: DataFrame, as_of: datetime) -> DataFrame:
-    newest = metrics.orderBy(F.desc("audit_run_at")).limit(1).agg(F.max("gold_row_count").alias("n"), F.max("latest_gold_ingested_at").alias("latest"))
-    limit = instant(as_of - timedelta(hours=FRESH_HOURS), metrics, "latest_gold_ingested_at")
-    return _fails_unless(newest, (F.col("n") == 0) | (F.col("latest") >= limit))
+    return _one(ranked(metrics, F.desc("audit_run_at")), _metrics_fresh(metrics, as_of))
 
 
-def custom_checks(bronze: DataFrame, silver: DataFrame, feed: DataFrame, shadow: DataFrame, source_quality: DataFrame, metrics: DataFrame, *, as_of: datetime) -> dict[str, DataFrame]:
-    """The fifteen checks by name, each one row of ``failures``."""
+def custom_checks(bronze: DataFrame, silver: DataFrame, feed: DataFrame, shadow: DataFrame, source_quality: DataFrame, metrics: DataFrame, *, as_of: datetime) -> list[tuple[DataFrame, dict[str, Column]]]:
+    """The fifteen checks: each table (or its newest runs) with its checks by name, as aggregates over it."""
     c = F.col
     hard = c("hard_deny_hit_count") > 0
-    return {
-        "silver_url_shape": url_shape(silver),
-        "silver_fresh": freshness(silver, as_of, empty_passes=False),
-        "feed_fresh": freshness(feed, as_of, empty_passes=True),
-        "feed_no_hard_deny": eligible_with(feed, hard),
-        "feed_no_soft_deny": eligible_with(feed, (c("soft_deny_hit_count") > 0) & (c("allow_hit_count") == 0)),
-        "shadow_positivity_bounds": out_of_bounds(shadow, "positivity_score", 0, 100),
-        "shadow_suitability_bounds": out_of_bounds(shadow, "suitability_score", 0, 100),
-        "shadow_no_hard_deny": eligible_with(shadow, hard),
-        "shadow_no_bad_url": eligible_with(shadow, F.coalesce(c("exclusion_reason").isin(*BAD_REASONS), F.lit(False))),
-        "source_adjustment_bounds": out_of_bounds(source_quality, "source_quality_adjustment", -8, 8),
-        "metrics_row_drop": row_drop(metrics),
-        "metrics_duplicate_drift": duplicate_drift(metrics),
-        "metrics_accepted_drop": accepted_drop(bronze),
-        "metrics_malformed_ratio": malformed_ratio(bronze),
-        "metrics_fresh": metrics_freshness(metrics, as_of),
-    }
-
-
-def report(checks: dict[str, DataFrame]) -> DataFrame:
-    """(check_name, failures) of all checks."""
-    return reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("check_name"), "failures") for name, df in checks.items()))
+    runs = ranked(latest_runs(bronze, HISTORY_RUNS), F.desc("latest_ingested_at"), F.desc("ingestion_id"))
+    return [
+        (silver, {"silver_url_shape": F.count_if(c("normalized_url").isNotNull() & ~c("normalized_url").rlike(VALID_URL)), "silver_fresh": _fresh(silver, as_of, False)}),
+        (feed, {"feed_fresh": _fresh(feed, as_of, True), "feed_no_hard_deny": _eligible_with(hard), "feed_no_soft_deny": _eligible_with((c("soft_deny_hit_count") > 0) & (c("allow_hit_count") == 0))}),
+        (
+            shadow,
+            {
+                "shadow_positivity_bounds": _out_of_bounds("positivity_score", 0, 100),
+                "shadow_suitability_bounds": _out_of_bounds("suitability_score", 0, 100),
+                "shadow_no_hard_deny": _eligible_with(hard),
+                "shadow_no_bad_url": _eligible_with(F.coalesce(c("exclusion_reason").isin(*BAD_REASONS), F.lit(False))),
+            },
+        ),
+        (source_quality, {"source_adjustment_bounds": _out_of_bounds("source_quality_adjustment", -8, 8)}),
+        (ranked(metrics, F.desc("audit_run_at")), {"metrics_row_drop": _row_drop(), "metrics_duplicate_drift": _duplicate_drift(), "metrics_fresh": _metrics_fresh(metrics, as_of)}),
+        # by the payload alone, of the newest run
+        (runs, {"metrics_accepted_drop": _against_history("accepted_row_count", lambda now, before: now >= ROW_DROP * before), "metrics_malformed_ratio": _fails_unless(_newest("payload_malformed_ratio") <= MALFORMED)}),
+    ]
+
+
+def report(checks: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """(check_name, failures) of all checks: one aggregate a table."""
+
+    def rows(df: DataFrame, own: dict[str, Column]) -> DataFrame:
+        wide = df.agg(*(failures.cast("long").alias(name) for name, failures in own.items()))
+        return wide.select(F.inline(F.array(*(F.struct(F.lit(name).alias("check_name"), F.col(name).alias("failures")) for name in own))))
+
+    return reduce(DataFrame.unionByName, (rows(df, own) for df, own in checks))
 
 
 class ChecksFailed(RuntimeError):

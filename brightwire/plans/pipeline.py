@@ -54,6 +54,6 @@ def build(spark: SparkSession, bronze: DataFrame, warehouse: str, *, as_of: date
     if check:
         checks.gate(checks.report(checks.custom_checks(bronze, refined, current, shadow, snapshot, made["metrics"], as_of=as_of)))
         for name, declared in checks.DECLARED.items():
-            if (rows := labels if name == "labels" else made[name]) is not None:
+            if (rows := {"labels": labels, "bronze": bronze}[name] if name in ("labels", "bronze") else made[name]) is not None:
                 checks.gate(checks.column_checks(rows, declared))
     return made

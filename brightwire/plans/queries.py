@@ -23,11 +23,19 @@ CUTOFF = "2024-01-16 00:00:00"
 
 @dataclass
 class Tables:
-    """The models over one set of tables, planned when asked for."""
+    """The models over one set of tables, planned when asked for.
+
+    A model that several others read is written once (``once``), as in a run of the models, so that no plan derives it twice.
+    """
 
     spark: SparkSession
     sf_dir: str
 
+    def once(self, *names: str) -> Tables:
+        for name in names:
+            setattr(self, name, store.cut(getattr(self, name), name))
+        return self
+
     @cached_property
     def raw(self) -> DataFrame:
         return fixtures.raw(self.spark, self.sf_dir)
@@ -90,6 +98,11 @@ class Tables:
         return fixtures.metrics_history(self.silver, self.feed)
 
 
+def _shadowed(t: Tables) -> Tables:
+    """What the dual-score feed reads more than once is written: silver, the feed, URL results, source quality."""
+    return t.once("silver", "feed", "urls", "quality")
+
+
 def _batches(t: Tables) -> DataFrame:
     runs = t.bronze.groupBy("ingestion_id").agg(F.min("ingested_at").alias("a"), F.max("ingested_at").alias("b"))
     return runs.select("ingestion_id", F.explode(window.batch_times(F.col("a"), F.col("b"))).alias("batch_time"))
@@ -162,6 +175,7 @@ def _page_math(t: Tables) -> DataFrame:
 
 def _compared(t: Tables) -> DataFrame:
     """Both feeds' precisions and the overlap, side by side."""
+    t.once("shadow")
     a = ops.label_precision(t.feed, t.labels).select(F.col("include_precision").alias("current_precision"))
     b = ops.label_precision(t.shadow, t.labels).select(F.col("include_precision").alias("shadow_precision"))
     return ops.overlap(t.feed, t.shadow).crossJoin(a).crossJoin(b)  # one row each
@@ -176,8 +190,7 @@ def _fields(part: str, df: DataFrame, keyed: bool) -> DataFrame:
 
 def _all_compared(t: Tables) -> DataFrame:
     """The ten parts of the comparison, cell by cell."""
-    for name in ("silver", "feed", "quality", "shadow"):  # written once each, since every part reads them
-        setattr(t, name, store.cut(getattr(t, name), name))
+    t.once("shadow")  # every part reads it
     single = ("overlap", "current_precision", "shadow_precision")
     return reduce(DataFrame.unionByName, (_fields(n, df, n not in single) for n, df in ops.compare(t.feed, t.shadow, t.silver, t.labels).items()))
 
@@ -203,15 +216,14 @@ def _declared(t: Tables) -> DataFrame:
 
 
 def _all_declared(t: Tables) -> DataFrame:
-    """The checks of all seven tables that declare some; metrics as one run's row, which has all of its columns."""
-    for name in ("silver", "feed", "quality"):  # written once each, as in a run of the models
-        setattr(t, name, store.cut(getattr(t, name), name))
+    """The checks of all nine tables that declare some; metrics as one run's row, which has all of its columns."""
     metrics = quality.run_metrics(t.bronze, t.silver, t.feed, as_of=AS_OF)
-    tables = {"silver": t.silver, "terms": t.terms, "feed": t.feed, "source_quality": t.quality, "shadow": t.shadow, "metrics": metrics, "labels": t.labels}
+    tables = {"bronze": t.bronze, "silver": t.silver, "terms": t.terms, "feed": t.feed, "url_results": t.urls, "source_quality": t.quality, "shadow": t.shadow, "metrics": metrics, "labels": t.labels}
     return reduce(DataFrame.unionByName, (checks.column_checks(tables[n], declared).select(F.lit(n).alias("table_name"), "*") for n, declared in checks.DECLARED.items()))
 
 
 def _custom(t: Tables) -> DataFrame:
+    t.once("metrics")
     return checks.report(checks.custom_checks(t.bronze, t.silver, t.feed, t.shadow, t.quality, t.metrics, as_of=AS_OF))
 
 
@@ -234,8 +246,8 @@ def _resolved(t: Tables) -> DataFrame:
 
 
 def _country(t: Tables) -> DataFrame:
-    found = extract.country(text.filled(F.col("locations")))
-    return t.named.select("line", found["code"].alias("mentioned_country_code"), found["name"].alias("mentioned_country_name"), found["status"].alias("resolution_status"))
+    rows = t.named.select("line", extract.country(text.filled(F.col("locations"))).alias("found"))
+    return rows.select("line", F.col("found.code").alias("mentioned_country_code"), F.col("found.name").alias("mentioned_country_name"), F.col("found.status").alias("resolution_status"))
 
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -366,5 +378,20 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+#: Queries that read silver, the feed, URL results or source quality by several ways.
+SHADOWED = frozenset(
+    "v3_url v3_source v3_positivity v3_penalties v3_suitability v3_happy v3_reason v3_gate_reason v3_eligible v3_explain v3_feed agg_overlap agg_link_mix "
+    "srt_changed set_union ops_compare ops_compare_all chk_column chk_column_all chk_custom".split()
+)
+TWICE = frozenset("agg_source_quality agg_quality_tier agg_metrics agg_domain_mix agg_having ops_sample ops_report win_runs srv_status srv_stage_snapshot srv_trends srv_cleanup_trend".split())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, sf_dir, make=make: make(Tables(spark, sf_dir))) for name, make in QUERIES.items()}
+    def made(name: str, make: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            t = Tables(spark, sf_dir)
+            return make(_shadowed(t) if name in SHADOWED else t.once("silver", "feed") if name in TWICE else t)
+
+        return run
+
+    return {name: made(name, make) for name, make in QUERIES.items()}

@@ -66,8 +66,8 @@ def test_every_row_comes_out_in_each_display_order(spark):
 def test_every_declared_table_is_checked(spark):
     found = queries.queries()["chk_column_all"](spark, str(SF)).groupBy("table_name").agg(F.count("*").alias("n")).collect()
     counts = {r.table_name: r.n for r in found}
-    assert set(counts) == {"silver", "terms", "feed", "source_quality", "shadow", "metrics", "labels"}
-    assert (counts["shadow"], counts["metrics"], counts["labels"]) == (32, 8, 2)
+    assert set(counts) == {"bronze", "silver", "terms", "feed", "url_results", "source_quality", "shadow", "metrics", "labels"}
+    assert (counts["shadow"], counts["metrics"], counts["labels"], counts["bronze"], counts["url_results"]) == (32, 8, 2, 9, 5)
 
 
 def test_gate_covers_all_declared_tables(spark, tmp_path, monkeypatch):

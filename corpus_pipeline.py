@@ -1,4 +1,10 @@
-"""The corpus pipeline: toxicity, exact dedup, near dedup, packing. Each stage is written as Parquet and reread."""
+"""The corpus pipeline: toxicity, exact dedup, near dedup, packing. Each stage is written as Parquet and reread.
+
+Defined results: null and empty texts are equal and stay once, by the row with the largest doc_id; a row with a null doc_id
+is judged by its text like others, sorts below every other doc_id in exact dedup, and is a near copy of nothing; rows
+repeated outright become one; other columns, whatever their names, are kept as they are by all stages but the last; where
+the labels know one class only, no document is toxic; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 

@@ -3,12 +3,14 @@
 Splitting at ASCII white space is exact for vocabularies whose pre-tokenizer drops white space and whose normalizer lower-
 cases: no match, composition or special token reaches over it. Plain words (Latin letters, perhaps a run of ASCII
 punctuation without apostrophes after them) are two pre-tokens at most; those that a block lacks are encoded by one call,
-as one text, and cut where a token ends a word. Other pieces are encoded one by one. Frequent pieces stay in bounded
-caches, pieces of more than ``LONGEST`` bytes only while their block lasts.
+as one text, and cut where a token ends a word. Other pieces are encoded one by one. Pieces stay in a bounded cache, most
+of which is for words, as a word's punctuation costs little to add; pieces of more than ``LONGEST`` bytes stay only while
+their block lasts. A block's many small objects hold no cycles, so the cycle collector rests meanwhile.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from itertools import chain, pairwise
@@ -26,13 +28,14 @@ LONGEST = 64
 
 
 class WordEncoder:
-    """Texts (UTF-8) to ids as little-endian 32-bit integers."""
+    """Texts (UTF-8) to ids as little-endian 32-bit integers. ``words``, ``pieces``: most plain words and others that stay."""
 
-    def __init__(self, path: str, pieces: int = 300_000, words: int = 300_000):
+    def __init__(self, path: str, pieces: int = 100_000, words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.caps, self.known, self.words = Tokenizer.from_file(path), (pieces, words), {}, {}
+        self.tokenizer, self.room, self.known = Tokenizer.from_file(path), {"words": words, "pieces": pieces}, {}
+        self.passing: list[bytes] = []
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith(END_OF_WORD)
@@ -52,38 +55,53 @@ class WordEncoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in pairwise([0, *cuts])]
 
-    def _learn(self, need: list[bytes]) -> list[bytes]:
-        """Pieces to ``known``; the words that had to be encoded for them."""
-        plain, other = [], []
-        for piece, (word, mark) in zip(need, PLAIN(b"\n".join(need).lower()), strict=True):
+    def _learn(self, need: list[bytes]) -> None:
+        """Pieces to ``known``, with the words that had to be encoded for them; what is beyond the room left goes to ``passing``."""
+        known, marks = self.known, self.marks
+        rest = [p for p in need if not (p.isalpha() and p.islower())]
+        words, marked, other = set(need).difference(rest), [], []
+        for piece, (word, mark) in zip(rest, PLAIN(b"\n".join(rest).lower()), strict=True):
             if word:
-                plain.append((piece, word, mark))
+                marked.append((piece, word, mark))
+                if word not in known:
+                    words.add(word)
             else:
                 other.append(piece)
-        words = self.words
-        lack = list({w for _, w, _ in plain}.difference(words))
-        if lack:
-            words.update(zip(lack, self._plain(lack), strict=True))
-        marks = self.marks
-        self.known.update([(p, words[w] + marks[mark] if mark else words[w]) for p, w, mark in plain])
+        new = list(words)
+        if new:
+            known.update(zip(new, self._plain(new), strict=True))
+        for piece, word, mark in marked:
+            known[piece] = known[word] + marks[mark] if mark else known[word]
         if other:
-            self.known.update(zip(other, self._each(other), strict=True))
-        return lack
+            known.update(zip(other, self._each(other), strict=True))
+        self.passing = self._beyond("words", new) + self._beyond("pieces", [p for p in rest if p not in words])
+
+    def _beyond(self, kind: str, new: list[bytes]) -> list[bytes]:
+        """Those of ``new`` that don't stay: too long, or beyond the room for their kind."""
+        long = [p for p in new if len(p) > LONGEST]
+        short = [p for p in new if len(p) <= LONGEST] if long else new
+        stay = min(len(short), self.room[kind])
+        self.room[kind] -= stay
+        return short[stay:] + long
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        parts = [t.split() for t in texts]
-        known = self.known
-        need = list(set(chain.from_iterable(parts)).difference(known))
-        lack = self._learn(need) if need else []
-        out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        for cache, cap, new in ((known, self.caps[0], need), (self.words, self.caps[1], lack)):
-            for p in new:
-                if len(p) > LONGEST:
-                    del cache[p]
-            if len(cache) > cap:
-                for p in [p for p in new if len(p) <= LONGEST][-(len(cache) - cap) :]:
-                    del cache[p]
-        return out
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            known = self.known
+            parts = [t.split() for t in texts]
+            need = list(set(chain.from_iterable(parts)).difference(known))
+            if need:
+                self._learn(need)
+            out = [b"".join(map(known.__getitem__, p)) for p in parts]
+            if need:
+                for p in self.passing:
+                    del known[p]
+                self.passing = []
+            return out
+        finally:
+            if collects:
+                gc.enable()
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -94,7 +112,7 @@ def encoder(path: str) -> WordEncoder:
     return _encoders.get(path) or _encoders.setdefault(path, WordEncoder(path))
 
 
-def in_blocks(column, block: int = 4_000_000):
+def in_blocks(column, block: int = 3_000_000):
     """(first row, texts as bytes) of a string column, in blocks of about ``block`` bytes."""
     first, texts, size = 0, [], 0
     for i in range(len(column)):

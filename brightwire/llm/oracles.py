@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from brightwire.llm.license_scan import BASE, NOTICES
+
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -43,6 +45,43 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc
 from documents window w as (partition by coalesce(text, ''))
 """
 
+_NOTICES = ", ".join(f"({t}, '{label}', '{phrase}')" for t, (label, phrase) in enumerate((*BASE, *NOTICES)))
+
+OP13 = f"""
+with docs as (
+  select row_number() over () as n, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents
+), phrases(label, p) as (
+  values ('mit', ['under', 'the', 'mit', 'license']), ('apache-2', ['apache', 'license', 'version', '2']), ('cc-by-nc', ['cc', 'by', 'nc'])
+), runs as (
+  select n, doc_id, w, unnest(range(1, len(w) - 1)) as i from docs
+), grams as (
+  select n, i - 1 as pos, w[i:i + 2] as g from runs
+), places as (
+  select n, label, i - 1 as pos from runs join phrases on w[i] = p[1] and w[i:i + len(p) - 1] = p
+), base as (
+  select n, count(*) as n_base, min(pos) as first_word, max(pos) as last_word from places group by n
+), templates as (
+  select t, label, string_split(phrase, ' ') as w from (values {_NOTICES}) as v(t, label, phrase)
+), positions as (
+  select t, label, size, i - 1 as i, w[i:i + 2] as g from (select t, label, w, len(w) as size, unnest(range(1, len(w) - 1)) as i from templates)
+), hits as (
+  select n, t, label, size, pos - i as diagonal, i from grams join positions using (g)
+), covering as (
+  select a.n, a.t, a.label, a.size, a.diagonal, count(distinct b.i + k) as covered
+  from (select distinct n, t, label, size, diagonal from hits) a join hits b on a.n = b.n and a.t = b.t and b.diagonal between a.diagonal - 4 and a.diagonal + 4, (values (0), (1), (2)) as run(k)
+  group by a.n, a.t, a.label, a.size, a.diagonal
+), best as (
+  select n, max(covered / size) as score from covering group by n
+), every as (
+  select n, label, true as is_base from places union all select n, label, false from covering where covered / size >= 0.8
+), named as (
+  select n, list_sort(list_distinct(list(label))) as labels, list_sort(list_distinct(list(label) filter (where is_base))) as base_labels from every group by n
+)
+select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(array_to_string(base_labels, ','), '') as base_labels, coalesce(array_to_string(labels, ','), '') as labels, coalesce(score, 0.0) as score
+from docs left join base using (n) left join best using (n) left join named using (n)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op9_exact_dedup": OP9}
+    return {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op9_exact_dedup": OP9, "op13_license_scan": OP13}

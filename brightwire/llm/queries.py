@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, exact_dedup, line_dedup, merkle, near_dup, packing, token_count, token_files, toxicity, url_filter
+from brightwire.llm import byte_bpe, exact_dedup, license_scan, line_dedup, merkle, near_dup, packing, token_count, token_files, toxicity, url_filter
 from brightwire.llm.common import id_text, read_table, scratch_path
 
 #: Where the public vocabularies are; every executor has them there.
@@ -88,6 +88,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir), license_scan.template_grams(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op5_near_dup, op6_best_fit_packing, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe)
+    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op5_near_dup, op6_best_fit_packing, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe, op13_license_scan)
     return {f.__name__: f for f in found}

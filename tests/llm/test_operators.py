@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, common, components, exact_dedup, line_dedup, merkle, near_dup, oracles, packing, queries, token_count, token_files, toxicity, url_filter, word_ids
+from brightwire.llm import byte_bpe, common, components, exact_dedup, license_scan, line_dedup, merkle, near_dup, oracles, packing, queries, token_count, token_files, toxicity, url_filter, word_ids
 from brightwire.llm.common import scratch_path
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -711,3 +711,64 @@ def test_empty_token_files(spark):
     target = scratch_path(spark, "test-empty")
     token_files.write_token_files(docs(spark), queries.vocabulary("word_bpe_49k.json"), target)
     assert token_files.read_digests(spark, target).collect() == []
+
+
+def plain_scan(text, templates, base, covered=0.8, drift=4):
+    """Every place and every diagonal compared one by one."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = "".join(c if c.isalnum() and c.isascii() or ord(c) > 127 else " " for c in low).split(" ")
+    words = [w for w in words if w]
+    places = [(k, label) for label, p in base for k in range(len(words)) if words[k : k + len(p.split())] == p.split()]
+    labels, score = {label for _, label in places}, 0.0
+    for label, phrase in (*base, *templates):
+        p = phrase.split()
+        hits = [(k - a, a) for k in range(len(words) - 2) for a in range(len(p) - 2) if words[k : k + 3] == p[a : a + 3]]
+        for d in {d for d, _ in hits}:
+            share = len({a + j for e, a in hits for j in range(3) if abs(e - d) <= drift}) / len(p)
+            score = max(score, share)
+            if share >= covered:
+                labels.add(label)
+    starts = [k for k, _ in places]
+    return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places})), ",".join(sorted(labels)), score)
+
+
+def license_rows():
+    notice = license_scan.NOTICES[1][1].split()
+    rng = random.Random(5)
+    rows = sample(n=20) + [
+        (700, "Released under the MIT License. And CC BY-NC 4.0; cc\tby_nc"),
+        (701, "APACHE license, VERSION 2! apache license version 2.0"),
+        (701, "APACHE license, VERSION 2! apache license version 2.0"),
+        (702, "under the mit licence"),
+        (703, "cc by"),
+        (704, "CC BY NC " * 3000),
+        (705, "word " + " ".join(notice[:10] + ["new", "words"] + notice[11:])),
+        (706, " ".join(notice[:8])),
+        (707, "éunder the mit license under the mit licenseé"),
+        (None, "x cc by nc"),
+        (708, "gnu general public license, gnu lesser general public license"),
+    ]
+    return rows + [(800 + k, " ".join(w for w in rng.choice(license_scan.NOTICES)[1].split() if rng.random() < 0.93)) for k in range(60)]
+
+
+def test_license_scan(spark, monkeypatch):
+    rows = license_rows()
+    df, key = docs(spark, *rows).repartition(5), lambda r: (str(r[0]), *map(str, r[1:]))
+    want = sorted([(d, *plain_scan(t, license_scan.NOTICES, license_scan.BASE)) for d, t in rows], key=key)
+    grams = license_scan.template_grams(spark)
+    assert sorted(map(tuple, license_scan.scan(df, grams).collect()), key=key) == want
+    by_id = {r[0]: r for r in want}
+    assert by_id[704][2] == 3000 and by_id[705][6] == "mit" and by_id[706][6] == "" and by_id[701][2] == 2 and by_id[708][6] == "gpl,lgpl"
+    monkeypatch.setattr(license_scan, "BROADCAST_GRAMS", 0)
+    monkeypatch.setattr(license_scan, "BROADCAST_DOCS", 0)
+    plain = license_scan.scan(df, license_scan.template_grams(spark))
+    assert sorted(map(tuple, plain.collect()), key=key) == want
+    assert license_scan.scan(docs(spark), grams).count() == 0
+    with pytest.raises(ValueError):
+        license_scan.template_rows([("x", "two words")], [])
+
+
+def test_license_spans(spark):
+    text = "a b c this is free and unencumbered new software released into the public domain z"
+    best = license_scan.spans(docs(spark, (1, text)), license_scan.template_grams(spark)).filter("best and label = 'unlicense'").collect()
+    assert [(r["first"], r["last"], r.place) for r in best] == [(3, 14, False)] and best[0].coverage == 1.0

@@ -45,6 +45,30 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc
 from documents window w as (partition by coalesce(text, ''))
 """
 
+OP11 = f"""
+with docs as (
+  select row_number() over () as d, doc_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as term from documents
+), items as (
+  select row_number() over () as i, item_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as term from benchmark
+), asked as (
+  select i, item_id, term, count(*) as times from items group by i, item_id, term
+), lengths as (
+  select d, count(*) as n from docs group by d
+), corpus as (
+  select count(*) as nd, sum(n)::bigint as total from lengths
+), found as (
+  select d, doc_id, term, count(*) as tf from docs where term in (select term from items) group by d, doc_id, term
+), weights as (
+  select term, floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1)))::bigint as w from found, corpus group by term, nd
+), scores as (
+  select i, item_id, d, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // total))))::bigint as score
+  from asked join found using (term) join weights using (term) join lengths using (d), corpus group by i, item_id, d, doc_id
+), ranked as (
+  select item_id, row_number() over (partition by i order by score desc, doc_id) as rank, doc_id, score from scores where score > 0
+)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
+"""
+
 _NOTICES = ", ".join(f"({t}, '{label}', '{phrase}')" for t, (label, phrase) in enumerate((*BASE, *NOTICES)))
 
 OP13 = f"""
@@ -84,4 +108,4 @@ from docs left join base using (n) left join best using (n) left join named usin
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op9_exact_dedup": OP9, "op13_license_scan": OP13}
+    return {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op9_exact_dedup": OP9, "op11_lexical_search": OP11, "op13_license_scan": OP13}

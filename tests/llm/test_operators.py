@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, common, components, exact_dedup, license_scan, line_dedup, merkle, near_dup, oracles, packing, queries, token_count, token_files, toxicity, url_filter, word_ids
+from brightwire.llm import byte_bpe, common, components, exact_dedup, lexical_search, license_scan, line_dedup, merkle, near_dup, oracles, packing, queries, token_count, token_files, toxicity, url_filter, word_ids
 from brightwire.llm.common import scratch_path
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -772,3 +772,52 @@ def test_license_spans(spark):
     text = "a b c this is free and unencumbered new software released into the public domain z"
     best = license_scan.spans(docs(spark, (1, text)), license_scan.template_grams(spark)).filter("best and label = 'unlicense'").collect()
     assert [(r["first"], r["last"], r.place) for r in best] == [(3, 14, False)] and best[0].coverage == 1.0
+
+
+def plain_search(rows, items, k=10):
+    """Every item against every document, by Python's integers."""
+    import re
+
+    terms = lambda t: re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    corpus = [(d, Counter(terms(t))) for d, t in rows]
+    corpus = [(d, c, sum(c.values())) for d, c in corpus if c]
+    n, total = len(corpus), sum(s for _, _, s in corpus)
+    df = Counter(t for _, c, _ in corpus for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for d, c, size in corpus:
+            m = 25 + (75 * size * n) // total
+            score = sum(int(np.floor(1000 * np.log((2 * n + 2) / (2 * df[t] + 1)))) * ((1_000_000_000 * c[t]) // (1000 * c[t] + 8 * m)) for t in terms(text) if c[t])
+            if score > 0:
+                scored.append((-score, d is None, d or 0, d))
+        out += [(item, r, d, -s) for r, (s, _, _, d) in enumerate(sorted(scored, key=lambda x: x[:3])[:k], 1)]
+    return sorted(out, key=str)
+
+
+def test_lexical_search(spark, monkeypatch):
+    rows = sample(seed=8, n=120) + [(d, "same TEXT, twice") for d in (4000, 4001, 4002, 4002, None)] + [(4100 + k, "tie " * 3) for k in range(15)]
+    items = [(1, "alpha beta Δελτα Δελτα"), (2, "TIE"), (2, "tie same"), (3, None), (4, ""), (5, "nowhere-to be found"), (None, "été 日本 x1 text"), (7, "the " * 300 + "gamma")]
+    df = docs(spark, *rows).repartition(7)
+    asked = spark.createDataFrame([(i, t, 1, 2) for i, t in items], "item_id long, text string, doc_id long, score long")
+    got = lambda: sorted(map(tuple, lexical_search.search(df, asked).collect()), key=str)
+    want = plain_search(rows, items)
+    assert got() == want and len(want) > 40
+    assert [(r, d) for i, r, d, _ in want if i == 2 and d and 4100 <= d < 4115][:1] == [(1, 4100)]
+    monkeypatch.setattr(lexical_search, "ITEM_TERMS", 4)
+    monkeypatch.setattr(lexical_search, "TRIPLES", 5)
+    assert got() == want
+    assert lexical_search.search(docs(spark), asked).count() == 0 and lexical_search.search(df, asked.limit(0)).count() == 0
+
+
+def test_lexical_parts():
+    rng = np.random.default_rng(2)
+    keys = rng.integers(0, 1 << 50, 5000).astype(np.uint64) >> rng.integers(0, 40, 5000).astype(np.uint64)
+    assert (lexical_search.radix_order(keys) == np.argsort(keys, kind="stable")).all()
+    items, at, value = rng.integers(0, 9, 4000), rng.integers(0, 50, 4000), rng.integers(1, 10**12, 4000)
+    want = Counter()
+    for i, d, v in zip(items.tolist(), at.tolist(), value.tolist(), strict=True):
+        want[i, d] += v
+    assert list(zip(*(c.tolist() for c in lexical_search.accumulate(items, at, value, 50)), strict=True)) == sorted((i, d, v) for (i, d), v in want.items())
+    assert lexical_search.length_part(np.array([7, 10**12]), 10**9, 3 * 10**15).tolist() == [25 + 75 * 7 * 10**9 // (3 * 10**15), 25 + 75 * 10**21 // (3 * 10**15)]
+    assert lexical_search.terms_of("A-b_C é~Ω9\x7f\x00".encode()) == ["a".encode(), b"b", b"c", "é".encode(), "Ω9".encode()]

@@ -69,6 +69,86 @@ with docs as (
 select item_id, rank::int as rank, doc_id, score from ranked where rank <= 10
 """
 
+
+def _plus(state: str, cost: str, letter: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}}"
+
+
+def _least(*states: str) -> str:
+    return f"least({', '.join(states)})"
+
+
+_FAR = 1_000_000_000
+
+
+def _moved(state: str, legal: str) -> str:
+    """A row that stays, kept or reroled: far off where it may not."""
+    keep = _plus(state, f"(case when gone or ini <> '{legal}' then {_FAR} else 3 * cut end)", "K")
+    return keep if legal == "s" else f"{keep}, " + _plus(state, f"(case when gone then {_FAR} else 3 + 3 * cut end)", "R")
+
+
+#: One step of the walk: insertions at a row's place (i2 after i3), then the row.
+_PAIR = _least("s2", _plus("i3", "3", "I"))
+_STEP = f"""
+  select conv, r + 1 as r,
+    {_plus("i0", "4", "D")} as s0,
+    {_least(_plus("i1", "4", "D"), _moved("i0", "s"))} as s1,
+    {_least(_plus("i2", "4", "D"), _moved("i3", "a"))} as s2,
+    {_least(_plus("i3", "4", "D"), _moved("i0", "u"), _moved("i1", "u"), _moved("i2", "u"))} as s3
+  from (select *, {_PAIR} as i2 from (
+    select walk.*, s0 as i0, s1 as i1, {_least("s3", _plus("s0", "3", "I"), _plus("s1", "3", "I"), _plus("s2", "3", "I"))} as i3, k.ini, k.gone, k.cut
+    from walk join marked k on walk.conv = k.conv and walk.r = k.r))
+"""
+
+OP12 = f"""
+with recursive spoiled as (
+  select *, xor(4294967295, list_reduce(list_transform(range(1, length(place) + 1), lambda i: ascii(place[i])::bigint),
+    lambda c, b: list_reduce(range(8), lambda d, k: case when d & 1 = 1 then xor(d >> 1, 3988292384) else d >> 1 end, xor(c, b)), 4294967295::bigint)) % 20 as code
+  from (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as place from conversations)
+), twice as (
+  select conv_id, turn, case when code = 4 then 'user' else role end as role,
+    case when code = 1 then '' when code = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case when code = 0 then [] when code = 3 then [1, 2] else [1] end) as copy
+  from spoiled
+), convs as (
+  select conv_id, row_number() over () as conv from (select distinct conv_id from conversations)
+), placed as (
+  select conv, turn, role, text, role[1] as ini, rtrim(text, {_WHITE}) as seen, row_number() over (partition by conv order by turn nulls first, role, text) as r
+  from twice join convs on twice.conv_id is not distinct from convs.conv_id
+), faults as (
+  select *, case when seen = '' then 'blank' when row_number() over (partition by conv, role, text order by r) > 1 then 'duplicate' when seen[-1] not in ('.', '!', '?') then 'truncated' else '' end as fault from placed
+), marked as (
+  select *, fault in ('blank', 'duplicate') as gone, (fault = 'truncated')::int as cut from faults
+), walk as (
+  select conv, 1::bigint as r, {{'c': 0::bigint, 'a': ''}} as s0, {{'c': {_FAR}::bigint, 'a': ''}} as s1, {{'c': {_FAR}::bigint, 'a': ''}} as s2, {{'c': {_FAR}::bigint, 'a': ''}} as s3 from convs
+  union all
+  {_STEP}
+), ends as (
+  select conv, least(s0, {_PAIR}) as found from (
+    select walk.*, {_least("s3", _plus("s0", "3", "I"), _plus("s1", "3", "I"), _plus("s2", "3", "I"))} as i3 from walk
+    where r = 1 + (select count(*) from placed p where p.conv = walk.conv))
+), letters as (
+  select conv, found.a[i] as letter, i from (select conv, found, unnest(range(1, length(found.a) + 1)) as i from ends)
+), counted as (
+  select conv, letter, i, count(*) filter (where letter <> 'I') over w as r, count(*) filter (where letter <> 'D') over w as place, count(*) filter (where letter <> 'D') over (partition by conv) as stay
+  from letters window w as (partition by conv order by i)
+), lines as (
+  select c.conv, i, case when letter = 'K' then role || ':' || text
+    else case when (place - 1 - stay % 2) % 2 = 0 then 'user:' else 'assistant:' end || case when letter = 'R' then text else '' end end as line
+  from counted c left join placed p on c.conv = p.conv and c.r = p.r where letter <> 'D'
+), texts as (
+  select conv, string_agg(line, chr(10) order by i) as repaired from lines group by conv
+), pairs as (
+  select conv, count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal from (select conv, ini || lead(ini) over (partition by conv order by r) as pair from placed) where pair is not null group by conv
+), sums as (
+  select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where fault = 'blank') as blank,
+    count(*) filter (where fault = 'duplicate') as duplicate, count(*) filter (where fault = 'truncated') as truncated from marked group by conv
+)
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, found.c as cost, found.a as audit, sha256(coalesce(repaired, '')) as repaired_sha256
+from convs join ends using (conv) left join sums using (conv) left join pairs using (conv) left join texts using (conv)
+"""
+
 _NOTICES = ", ".join(f"({t}, '{label}', '{phrase}')" for t, (label, phrase) in enumerate((*BASE, *NOTICES)))
 
 OP13 = f"""
@@ -108,4 +188,4 @@ from docs left join base using (n) left join best using (n) left join named usin
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op9_exact_dedup": OP9, "op11_lexical_search": OP11, "op13_license_scan": OP13}
+    return {"op1_line_dedup": OP1, "op3_url_filter": OP3, "op9_exact_dedup": OP9, "op11_lexical_search": OP11, "op12_conversation_repair": OP12, "op13_license_scan": OP13}

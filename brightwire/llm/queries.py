@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, exact_dedup, lexical_search, license_scan, line_dedup, merkle, near_dup, packing, token_count, token_files, toxicity, url_filter
+from brightwire.llm import byte_bpe, conversation_repair, exact_dedup, lexical_search, license_scan, line_dedup, merkle, near_dup, packing, token_count, token_files, toxicity, url_filter
 from brightwire.llm.common import id_text, read_table, scratch_path
 
 #: Where the public vocabularies are; every executor has them there.
@@ -92,10 +92,14 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(read_table(spark, sf_dir, "conversations")), dropped=F.col("dropped"))
+
+
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir), license_scan.template_grams(spark))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op5_near_dup, op6_best_fit_packing, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe, op11_lexical_search, op13_license_scan)
+    found = (op1_line_dedup, op2_token_files, op3_url_filter, op4_token_count, op5_near_dup, op6_best_fit_packing, op7_merkle, op8_toxicity, op9_exact_dedup, op10_byte_bpe, op11_lexical_search, op12_conversation_repair, op13_license_scan)
     return {f.__name__: f for f in found}

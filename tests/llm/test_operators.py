@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brightwire.llm import byte_bpe, common, components, exact_dedup, lexical_search, license_scan, line_dedup, merkle, near_dup, oracles, packing, queries, token_count, token_files, toxicity, url_filter, word_ids
+from brightwire.llm import byte_bpe, common, components, conversation_repair, exact_dedup, lexical_search, license_scan, line_dedup, merkle, near_dup, oracles, packing, queries, token_count, token_files, toxicity, url_filter, word_ids
 from brightwire.llm.common import scratch_path
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -821,3 +821,110 @@ def test_lexical_parts():
     assert list(zip(*(c.tolist() for c in lexical_search.accumulate(items, at, value, 50)), strict=True)) == sorted((i, d, v) for (i, d), v in want.items())
     assert lexical_search.length_part(np.array([7, 10**12]), 10**9, 3 * 10**15).tolist() == [25 + 75 * 7 * 10**9 // (3 * 10**15), 25 + 75 * 10**21 // (3 * 10**15)]
     assert lexical_search.terms_of("A-b_C é~Ω9\x7f\x00".encode()) == ["a".encode(), b"b", b"c", "é".encode(), "Ω9".encode()]
+
+
+def plain_repair(rows):
+    """(counts, cost, audit, hash) of ordered (turn, role, text): the least (cost, letters) over all prefixes and states."""
+    import re
+
+    white = " \t\n\x0b\x0c\r"
+    faults, seen = [], set()
+    for _, role, text in rows:
+        seen_before, end = (role, text) in seen, text.strip(white)[-1:]
+        faults.append("blank" if not end else "duplicate" if seen_before else "" if end in ".!?" else "truncated")
+        seen.add((role, text))
+    ini = [r[:1] for _, r, _ in rows]
+    legal = lambda s: re.fullmatch("(s?(ua)+)?", s) is not None
+    start = lambda s: re.fullmatch("s?(ua)*u?", s) is not None
+    state = lambda s: (s[:1] == "s" and len(s) == 1, s[-1:] == "u", bool(s))
+    best = {(0, state("")): (0, "", "", ())}
+    queue = {0: dict(best)}
+    for i in range(len(rows) + 1):
+        now = queue.get(i, {})
+        todo = list(now.values())
+        while todo:  # insertions stay at the row
+            cost, letters, out, lines = todo.pop()
+            for x, name in (("u", "user"), ("a", "assistant")):
+                if start(out + x) and cost < 4 * len(rows) + 7:
+                    new = (cost + 3, letters + "I", out + x, (*lines, name + ":"))
+                    if new[:2] < now.get((i, state(out + x)), (9**9, ""))[:2]:
+                        now[i, state(out + x)] = new
+                        todo.append(new)
+        if i == len(rows):
+            break
+        after = queue.setdefault(i + 1, {})
+        for cost, letters, out, lines in now.values():
+            role, text = rows[i][1:]
+            late = 3 * (faults[i] == "truncated")
+            ways = [(cost + 4, letters + "D", out, lines)]
+            if faults[i] in ("", "truncated"):
+                ways += [(cost + late, letters + "K", out + ini[i], (*lines, f"{role}:{text}"))] if ini[i] in "sua" and ini[i] and start(out + ini[i]) else []
+                ways += [(cost + 3 + late, letters + "R", out + x, (*lines, f"{name}:{text}")) for x, name in (("u", "user"), ("a", "assistant")) if start(out + x)]
+            for new in ways:
+                if new[:2] < after.get((i + 1, state(new[2])), (9**9, ""))[:2]:
+                    after[i + 1, state(new[2])] = new
+    cost, letters, _, lines = min(w for w in queue[len(rows)].values() if legal(w[2]))
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    illegal = sum(x + y not in ("su", "ua", "au") for x, y in zip(ini, ini[1:], strict=False))
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, letters, sha("\n".join(lines)))
+
+
+def talks():
+    rng = random.Random(4)
+    pool = ["Fine.", "And so", "Why?", " \t", "", "No!  ", "é。", "x" * 50 + ".", "twice."]
+    rows = []
+    for c in range(60):
+        n = rng.choice([1, 2, 3, 5, 9, 14])
+        for t in range(n):
+            turn = rng.choice([None, t, t, t + rng.randint(0, 2)])
+            rows.append((c, turn, rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None, "sudo"]), rng.choice([*pool, f"text {t}.", f"text {t}", f"{c}-{t}!", None])))
+    rows += [(None, 1, "user", "a."), (None, 2, "user", "b."), (None, 5, "assistant", "c."), (200, 0, "user", "same."), (200, 0, "user", "same."), (200, None, "user", "same.")]
+    return rows + [(300, t, ("user", "assistant")[(t + t // 7) % 2], f"row {t % 50}" + ".!"[t % 2] * (t % 3 > 0)) for t in range(400)]
+
+
+def wanted_repairs(rows):
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        by[c].append((t, " " if r is None else r, " " if x is None else x))
+    order = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode())
+    return sorted(((c, *plain_repair(sorted(own, key=order))) for c, own in by.items()), key=str)
+
+
+def test_conversation_repair(spark, monkeypatch):
+    rows = talks()
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "conv_id long, turn long, role string, text string, fault int, chunk long").repartition(6)
+    got = lambda: sorted(map(tuple, conversation_repair.repair(df).collect()), key=str)
+    want = wanted_repairs(rows)
+    assert got() == want
+    assert {letter for r in want for letter in r[7]} == set("DIKR")
+    monkeypatch.setattr(conversation_repair, "LONG_ROWS", 4)  # most conversations by chunks
+    assert got() == want
+    monkeypatch.setattr(conversation_repair, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(conversation_repair, "LONG_BYTES", 20)
+    assert got() == want
+    assert conversation_repair.repair(df.limit(0)).count() == 0
+
+
+def test_conversation_dropped_rows(spark, monkeypatch):
+    rows = [(1, 0, "user", "Hm."), (2, 0, "user", "Hm."), (2, 1, "assistant", "Oh.")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for limit in (conversation_repair.LONG_ROWS, 0):
+        monkeypatch.setattr(conversation_repair, "LONG_ROWS", limit)
+        monkeypatch.setattr(conversation_repair, "LONG_BYTES", 10**9)
+        if not limit:  # chunks are sized by it
+            monkeypatch.setattr(conversation_repair, "LONG_ROWS", 0.5)
+        found = {r.conv_id: tuple(r)[1:] for r in conversation_repair.repair(df, dropped=F.col("conv_id") == 1).collect()}
+        assert found == {1: (0, 0, 0, 0, 0, 0, "", sha("")), 2: (0, 0, 0, 0, 0, 0, "KK", sha("user:Hm.\nassistant:Oh."))}
+
+
+def test_conversation_damage(spark):
+    rows = [(c, t, "assistant", "Yes. No!") for c in range(40) for t in range(4)] + [(None, None, None, None), (7, None, None, "a.b")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = sorted((r.conv_id, r.turn, r.role, r.text, r.dropped) for r in conversation_repair.damaged(df).collect() if r.conv_id is not None and r.turn is not None)
+    want = []
+    for c, t, role, text in rows[:-2]:
+        code = zlib.crc32(f"{c}:{t}".encode()) % 20
+        text = {1: "", 2: "Yes No"}.get(code, text)
+        want += [(c, t, "user" if code == 4 else role, text, code == 0)] * (1 + (code == 3))
+    assert got == sorted(want) and len(want) > 160

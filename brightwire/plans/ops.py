@@ -208,8 +208,7 @@ def archive(spark: SparkSession, bronze: Table, prefix: str, *, started: datetim
     if out.backlog_detected:
         out.status, out.error = "failed", "more rows than one run may delete"
         return out
-    kind = bronze.read().schema["ingested_at"].dataType.simpleString()
-    out.deleted_row_count = bronze.delete(f"ingested_at < cast('{moment}' as {kind})")
+    out.deleted_row_count = bronze.delete_before("ingested_at", moment) if "ingested_at" in bronze.stats else bronze.delete(f"ingested_at < cast('{moment}' as {bronze.schema['ingested_at'].dataType.simpleString()})")
     out.remaining_eligible_row_count = older_than(bronze.read(), moment).count()
     out.phase_completed = "deleted"
     if out.deleted_row_count != out.exported_row_count or out.remaining_eligible_row_count:

@@ -10,15 +10,15 @@ from brightwire.operators import feed, quality, rules, silver, url_health
 from brightwire.plans import checks
 from brightwire.sources.store import Table
 
-#: Layout: partition columns, and the order within a partition (so that Parquet's statistics prune).
+#: Layout: the timestamp or date by whose days a table is partitioned, and the order within a day (so that statistics prune).
 LAYOUT = {
-    "silver": ((), ("dedup_key", "source_domain", "language")),
-    "terms": ((), ()),
-    "feed": (("serving_date",), ("source_name",)),
-    "shadow": (("serving_date",), ("source_name", "source_domain")),
-    "url_results": ((), ("normalized_url",)),
-    "source_quality": ((), ()),
-    "metrics": ((), ("audit_run_at",)),
+    "silver": {"day_of": "ingested_at", "sort_by": ("dedup_key", "source_domain", "language")},
+    "terms": {},
+    "feed": {"partition_by": ("serving_date",), "sort_by": ("source_name",)},
+    "shadow": {"partition_by": ("serving_date",), "sort_by": ("source_name", "source_domain")},
+    "url_results": {"sort_by": ("normalized_url",)},
+    "source_quality": {},
+    "metrics": {"day_of": "audit_run_at"},
 }
 
 
@@ -30,7 +30,7 @@ def build(spark: SparkSession, bronze: DataFrame, warehouse: str, *, as_of: date
     made: dict[str, DataFrame] = {}
 
     def table(name: str, schema) -> Table:
-        return Table(spark, f"{warehouse}/{name}", schema, *LAYOUT[name])
+        return Table(spark, f"{warehouse}/{name}", schema, **LAYOUT[name])
 
     def replace(name: str, df: DataFrame) -> DataFrame:
         own = table(name, df.schema)

@@ -122,10 +122,12 @@ def _explained(t: Tables) -> DataFrame:
 
 
 def _merge(t: Tables) -> DataFrame:
-    """Half of the articles arrive again with a newer run's mark."""
+    """What a table holds after half of its articles arrived again with a newer run's mark."""
     old = t.bronze.select("source_record_id", "ingestion_id", "ingested_at")
-    new = old.filter(F.col("ingestion_id") >= "run_20240115").withColumn("ingestion_id", F.lit("again"))
-    return store.merged(old, new, ["source_record_id"], ["ingested_at"])
+    table = store.Table(t.spark, store.scratch_path(t.spark, "merge"), old.schema, sort_by=("source_record_id",), day_of="ingested_at")
+    table.replace(old)
+    table.upsert(old.filter(F.col("ingestion_id") >= "run_20240115").withColumn("ingestion_id", F.lit("again")), ["source_record_id"], ["ingested_at"])
+    return table.read()
 
 
 def _exported(t: Tables) -> DataFrame:
@@ -137,20 +139,22 @@ def _exported(t: Tables) -> DataFrame:
 
 def _deleted(t: Tables) -> DataFrame:
     """What a table holds after the rows older than the cutoff were deleted from it."""
-    table = store.Table(t.spark, store.scratch_path(t.spark, "delete"), t.bronze.schema)
+    table = store.Table(t.spark, store.scratch_path(t.spark, "delete"), t.bronze.schema, day_of="ingested_at")
     table.replace(t.bronze)
-    before = table.read().count()
-    gone = table.delete(f"ingested_at < cast('{CUTOFF}' as {t.bronze.schema['ingested_at'].dataType.simpleString()})")
-    left = table.read()
-    if left.count() != before - gone:
+    before = table.manifest().agg(F.sum("rows")).first()[0]
+    gone = table.delete_before("ingested_at", CUTOFF)
+    if table.manifest().agg(F.sum("rows")).first()[0] != before - gone:
         raise RuntimeError(f"{gone} rows were to go of {before}")
-    return left.select("source_record_id", "ingested_at")
+    return table.read().select("source_record_id", "ingested_at")
 
 
 def _url_merge(t: Tables) -> DataFrame:
-    cols = ["normalized_url", "status", "redirect_count"]
-    fresh = t.urls.filter("status = 'broken'").select("normalized_url", F.lit("valid").alias("status"), (F.col("redirect_count") + 10).alias("redirect_count"))
-    return store.merged(t.urls.select(*cols), fresh, ["normalized_url"])
+    """URL results after the broken ones were checked again."""
+    old = t.urls.select("normalized_url", "status", "redirect_count")
+    table = store.Table(t.spark, store.scratch_path(t.spark, "urls"), old.schema, sort_by=("normalized_url",))
+    table.replace(old)
+    table.upsert(table.read().filter("status = 'broken'").withColumns({"status": F.lit("valid"), "redirect_count": F.col("redirect_count") + 10}), ["normalized_url"])
+    return table.read()
 
 
 def _cached_columns(t: Tables) -> DataFrame:

@@ -52,7 +52,7 @@ def test_same_rows(spark, duck, name):
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(names, cursor.fetchall())
 
 
-@pytest.mark.parametrize("name", ["row_sorts_all", "chk_column_all", "ops_compare_all", "sink_export", "sink_delete"])
+@pytest.mark.parametrize("name", ["row_sorts_all", "chk_column_all", "ops_compare_all", "sink_export", "sink_delete", "sink_merge", "url_merge"])
 def test_same_rows_of_whole_results(spark, duck, name):
     test_same_rows(spark, duck, name)
 
@@ -90,9 +90,9 @@ def test_every_part_of_the_comparison(spark):
 
 def test_sinks_go_through_their_operators(spark, monkeypatch):
     exported, deleted = [], []
-    export, delete = store.export, store.Table.delete
+    export, delete = store.export, store.Table.delete_before
     monkeypatch.setattr(store, "export", lambda df, path: (export(df, path), exported.append(path)))
-    monkeypatch.setattr(store.Table, "delete", lambda self, condition: (deleted.append(delete(self, condition)), deleted[-1])[1])
+    monkeypatch.setattr(store.Table, "delete_before", lambda self, column, cutoff: (deleted.append(delete(self, column, cutoff)), deleted[-1])[1])
     bronze = fixtures.bronze(spark, str(SF)).count()
     out = queries.queries()["sink_export"](spark, str(SF)).count()
     left = queries.queries()["sink_delete"](spark, str(SF)).count()

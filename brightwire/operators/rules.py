@@ -2,58 +2,125 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightwire.functions.text import spaced, tokens
 
-# The vocabulary, by rule class, match scope and note, in its order.
+# The vocabulary: term, rule class, match scope, note.
 VOCABULARY = (
-    ("deny_hard", "token", "Obituary shorthand", "obit"),
-    ("deny_hard", "token", "Explicit obituary term", "obituary"),
-    ("deny_hard", "token", "Death-related title term", "death,dead,dies"),
-    ("deny_hard", "token", "Fatal violence term", "killed,kill"),
-    ("deny_hard", "token", "Severe crime term", "murder,murdered"),
-    ("deny_hard", "token", "Self-harm term", "suicide"),
-    ("deny_hard", "token", "Severe crime term", "rape"),
-    ("deny_hard", "token", "Severe violence term", "terrorist,terrorism,bombing"),
-    ("deny_hard", "token", "Severe accident term", "crash,crashed"),
-    ("deny_hard", "token", "Severe violence term", "stabbing,stabbed"),
-    ("deny_soft", "token", "Risky harm/conflict term", "attack,attacked"),
-    ("deny_soft", "token", "Risky incident term", "blast,blasts,bomb,bombs,explosion,explosions"),
-    ("deny_soft", "token", "Conflict term", "war,warfare,conflict,clashes"),
-    ("deny_soft", "token", "Civil unrest term", "riot,riots,unrest"),
-    ("deny_soft", "token", "Injury term", "injured,injury,injuries,wounded"),
-    ("deny_soft", "token", "Crisis term", "hostage"),
-    ("deny_soft", "token", "Crime or investigation term", "arrest,arrested"),
-    ("deny_soft", "token", "Investigation term", "probe"),
-    ("deny_soft", "token", "Negative topic term", "scandal,fraud,scam,corruption"),
-    ("deny_soft", "token", "Disaster term", "fire,wildfire,flood,earthquake,hurricane,cyclone,tornado,disaster"),
-    ("deny_soft", "token", "Health crisis term", "outbreak,epidemic,pandemic"),
-    ("deny_soft", "token", "Crime term", "robbery,theft"),
-    ("deny_soft", "token", "Violence term", "shooting,shootings,gunfire"),
-    ("deny_soft", "token", "Conflict term", "shelling,missile,missiles"),
-    ("deny_soft", "token", "Disruption term", "evacuation,evacuate"),
-    ("deny_soft", "token", "Hazard term", "toxic,poisoning"),
-    ("deny_soft", "token", "Crisis term", "panic"),
-    ("allow", "token", "Positive recovery term", "rescue,rescued,recovery,recovered"),
-    ("allow", "token", "Positive aid term", "relief,aid"),
-    ("allow", "token", "Positive civic term", "charity,donation,donate,fundraiser"),
-    ("allow", "token", "Positive opportunity term", "scholarship"),
-    ("allow", "token", "Positive recognition term", "award,awarded"),
-    ("allow", "token", "Positive progress term", "breakthrough"),
-    ("allow", "token", "Positive health term", "heal,healing,cure,cured"),
-    ("allow", "token", "Positive recovery term", "save,saved"),
-    ("allow", "token", "Positive diplomacy term", "peace,ceasefire"),
-    ("allow", "token", "Positive civic term", "community,volunteer,support,celebration"),
-    ("allow", "token", "Positive achievement term", "win,wins,victory"),
-    ("allow", "token", "Positive social term", "reunion"),
-    ("allow", "token", "Positive accessibility term", "free"),
-    ("allow", "phrase", "Positive community phrase", "brings community together,free family fun"),
-    ("allow", "phrase", "Positive recognition phrase", "wins award"),
-    ("allow", "phrase", "Positive diplomacy phrase", "peace talks"),
-    ("allow", "phrase", "Positive civic phrase", "relief effort,recovery effort,charity event,fundraiser for"),
-    ("allow", "phrase", "Positive recovery phrase", "rescued from,saved by"),
+    ("obit", "deny_hard", "token", "Obituary shorthand"),
+    ("obituary", "deny_hard", "token", "Explicit obituary term"),
+    ("death", "deny_hard", "token", "Death-related title term"),
+    ("dead", "deny_hard", "token", "Death-related title term"),
+    ("dies", "deny_hard", "token", "Death-related title term"),
+    ("killed", "deny_hard", "token", "Fatal violence term"),
+    ("kill", "deny_hard", "token", "Fatal violence term"),
+    ("murder", "deny_hard", "token", "Severe crime term"),
+    ("murdered", "deny_hard", "token", "Severe crime term"),
+    ("suicide", "deny_hard", "token", "Self-harm term"),
+    ("rape", "deny_hard", "token", "Severe crime term"),
+    ("terrorist", "deny_hard", "token", "Severe violence term"),
+    ("terrorism", "deny_hard", "token", "Severe violence term"),
+    ("bombing", "deny_hard", "token", "Severe violence term"),
+    ("crash", "deny_hard", "token", "Severe accident term"),
+    ("crashed", "deny_hard", "token", "Severe accident term"),
+    ("stabbing", "deny_hard", "token", "Severe violence term"),
+    ("stabbed", "deny_hard", "token", "Severe violence term"),
+    ("attack", "deny_soft", "token", "Risky harm/conflict term"),
+    ("attacked", "deny_soft", "token", "Risky harm/conflict term"),
+    ("blast", "deny_soft", "token", "Risky incident term"),
+    ("blasts", "deny_soft", "token", "Risky incident term"),
+    ("bomb", "deny_soft", "token", "Risky incident term"),
+    ("bombs", "deny_soft", "token", "Risky incident term"),
+    ("explosion", "deny_soft", "token", "Risky incident term"),
+    ("explosions", "deny_soft", "token", "Risky incident term"),
+    ("war", "deny_soft", "token", "Conflict term"),
+    ("warfare", "deny_soft", "token", "Conflict term"),
+    ("conflict", "deny_soft", "token", "Conflict term"),
+    ("clashes", "deny_soft", "token", "Conflict term"),
+    ("riot", "deny_soft", "token", "Civil unrest term"),
+    ("riots", "deny_soft", "token", "Civil unrest term"),
+    ("unrest", "deny_soft", "token", "Civil unrest term"),
+    ("injured", "deny_soft", "token", "Injury term"),
+    ("injury", "deny_soft", "token", "Injury term"),
+    ("injuries", "deny_soft", "token", "Injury term"),
+    ("wounded", "deny_soft", "token", "Injury term"),
+    ("hostage", "deny_soft", "token", "Crisis term"),
+    ("arrest", "deny_soft", "token", "Crime or investigation term"),
+    ("arrested", "deny_soft", "token", "Crime or investigation term"),
+    ("probe", "deny_soft", "token", "Investigation term"),
+    ("scandal", "deny_soft", "token", "Negative topic term"),
+    ("fraud", "deny_soft", "token", "Negative topic term"),
+    ("scam", "deny_soft", "token", "Negative topic term"),
+    ("corruption", "deny_soft", "token", "Negative topic term"),
+    ("fire", "deny_soft", "token", "Disaster term"),
+    ("wildfire", "deny_soft", "token", "Disaster term"),
+    ("flood", "deny_soft", "token", "Disaster term"),
+    ("earthquake", "deny_soft", "token", "Disaster term"),
+    ("hurricane", "deny_soft", "token", "Disaster term"),
+    ("cyclone", "deny_soft", "token", "Disaster term"),
+    ("tornado", "deny_soft", "token", "Disaster term"),
+    ("disaster", "deny_soft", "token", "Disaster term"),
+    ("outbreak", "deny_soft", "token", "Health crisis term"),
+    ("epidemic", "deny_soft", "token", "Health crisis term"),
+    ("pandemic", "deny_soft", "token", "Health crisis term"),
+    ("robbery", "deny_soft", "token", "Crime term"),
+    ("theft", "deny_soft", "token", "Crime term"),
+    ("shooting", "deny_soft", "token", "Violence term"),
+    ("shootings", "deny_soft", "token", "Violence term"),
+    ("gunfire", "deny_soft", "token", "Violence term"),
+    ("shelling", "deny_soft", "token", "Conflict term"),
+    ("missile", "deny_soft", "token", "Conflict term"),
+    ("missiles", "deny_soft", "token", "Conflict term"),
+    ("evacuation", "deny_soft", "token", "Disruption term"),
+    ("evacuate", "deny_soft", "token", "Disruption term"),
+    ("toxic", "deny_soft", "token", "Hazard term"),
+    ("poisoning", "deny_soft", "token", "Hazard term"),
+    ("panic", "deny_soft", "token", "Crisis term"),
+    ("rescue", "allow", "token", "Positive recovery term"),
+    ("rescued", "allow", "token", "Positive recovery term"),
+    ("recovery", "allow", "token", "Positive recovery term"),
+    ("recovered", "allow", "token", "Positive recovery term"),
+    ("relief", "allow", "token", "Positive aid term"),
+    ("aid", "allow", "token", "Positive aid term"),
+    ("charity", "allow", "token", "Positive civic term"),
+    ("donation", "allow", "token", "Positive civic term"),
+    ("donate", "allow", "token", "Positive civic term"),
+    ("fundraiser", "allow", "token", "Positive civic term"),
+    ("scholarship", "allow", "token", "Positive opportunity term"),
+    ("award", "allow", "token", "Positive recognition term"),
+    ("awarded", "allow", "token", "Positive recognition term"),
+    ("breakthrough", "allow", "token", "Positive progress term"),
+    ("heal", "allow", "token", "Positive health term"),
+    ("healing", "allow", "token", "Positive health term"),
+    ("cure", "allow", "token", "Positive health term"),
+    ("cured", "allow", "token", "Positive health term"),
+    ("save", "allow", "token", "Positive recovery term"),
+    ("saved", "allow", "token", "Positive recovery term"),
+    ("peace", "allow", "token", "Positive diplomacy term"),
+    ("ceasefire", "allow", "token", "Positive diplomacy term"),
+    ("community", "allow", "token", "Positive civic term"),
+    ("volunteer", "allow", "token", "Positive civic term"),
+    ("support", "allow", "token", "Positive civic term"),
+    ("celebration", "allow", "token", "Positive civic term"),
+    ("win", "allow", "token", "Positive achievement term"),
+    ("wins", "allow", "token", "Positive achievement term"),
+    ("victory", "allow", "token", "Positive achievement term"),
+    ("reunion", "allow", "token", "Positive social term"),
+    ("free", "allow", "token", "Positive accessibility term"),
+    ("brings community together", "allow", "phrase", "Positive community phrase"),
+    ("free family fun", "allow", "phrase", "Positive community phrase"),
+    ("wins award", "allow", "phrase", "Positive recognition phrase"),
+    ("peace talks", "allow", "phrase", "Positive diplomacy phrase"),
+    ("relief effort", "allow", "phrase", "Positive civic phrase"),
+    ("recovery effort", "allow", "phrase", "Positive civic phrase"),
+    ("charity event", "allow", "phrase", "Positive civic phrase"),
+    ("fundraiser for", "allow", "phrase", "Positive civic phrase"),
+    ("rescued from", "allow", "phrase", "Positive recovery phrase"),
+    ("saved by", "allow", "phrase", "Positive recovery phrase"),
 )
 TERM_SCHEMA = "term string, rule_class string, match_scope string, is_active boolean, notes string"
 CLASSES = {"allow": "allow", "deny_soft": "soft_deny", "deny_hard": "hard_deny"}
@@ -62,7 +129,7 @@ MAX_LITERALS = 2_000
 
 
 def vocabulary_rows() -> list[tuple]:
-    return [(term, kind, scope, True, note) for kind, scope, note, terms in VOCABULARY for term in terms.split(",")]
+    return [(term, kind, scope, True, note) for term, kind, scope, note in VOCABULARY]
 
 
 def guardrail_terms(spark: SparkSession) -> DataFrame:
@@ -73,6 +140,13 @@ def active_terms(terms: DataFrame) -> DataFrame:
     return terms.filter("is_active").select("term", "rule_class", "match_scope")
 
 
+def term_use(terms: DataFrame, hits: DataFrame) -> DataFrame:
+    """``terms`` with ``title_count``, the titles of ``hits`` (as made by ``with_hits``) that have each, none included."""
+    found = reduce(DataFrame.unionByName, (hits.select(F.lit(kind).alias("rule_class"), F.explode(f"{name}_terms").alias("term")) for kind, name in CLASSES.items()))
+    counts = found.groupBy("rule_class", "term").agg(F.count("*").alias("title_count"))
+    return terms.join(counts, ["rule_class", "term"], "left").select(*terms.columns, F.coalesce("title_count", F.lit(0).cast("long")).alias("title_count"))
+
+
 def _count(c: Column) -> Column:
     return c.cast("long")
 

@@ -1,7 +1,8 @@
 """Bronze to silver: cleaning, normal forms, deterministic dedup.
 
-The two windows partition by different keys, so there are two exchanges; null titles, which can't be near duplicates, are
-dealt by article in the second, so that they don't meet in one task.
+A row is compared with others of its dedup key and of its title and day by what those have in common (``groups.beside``),
+so neither a frequent key nor a title that a third of all rows share fills a task. A record that bronze holds twice outright,
+which its key rules out, is no duplicate of itself.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from brightwire.functions.text import collapse, filled, normal_url
 from brightwire.functions.times import instant, seen_at
+from brightwire.operators.groups import beside
 
 RETENTION_DAYS = 90
 COLUMNS = (
@@ -66,24 +68,35 @@ def key(normalized: DataFrame) -> DataFrame:
     return normalized.withColumn("dedup_key", F.when(F.col("normalized_url").isNotNull(), by_url).otherwise(by_title)).withColumn("dedup_date", F.to_date(seen_at()))
 
 
-def rank(keyed: DataFrame) -> DataFrame:
-    first = Window.partitionBy("dedup_key").orderBy(F.desc_nulls_last("published_at"), F.desc("ingested_at"), F.desc("article_id"))
-    title = F.coalesce("normalized_title", F.concat(F.lit("\0"), "article_id"))
-    same_title = Window.partitionBy("_title", "dedup_date")
-    return (
-        keyed.withColumn("dedup_rank", F.row_number().over(first))
-        .withColumn("_title", title)
-        .withColumn("normalized_title_day_count", F.count("*").over(same_title))
-        .drop("_title")
-        .withColumn("is_duplicate", F.col("dedup_rank") > 1)
-        .withColumn("is_near_duplicate_candidate", F.col("normalized_title").isNotNull() & (F.col("normalized_title_day_count") > 1))
-    )
+def _order() -> list:
+    return ["published_at", "ingested_at", "article_id"]
+
+
+def with_duplicates(keyed: DataFrame) -> DataFrame:
+    """``is_duplicate``: another row of the same key comes before it. The first of a key is a maximum, so no key is sorted."""
+    first = F.struct(*_order())
+    rows = beside(keyed, F.col("dedup_key"), "article_id", _first=F.max(first))
+    return rows.withColumn("is_duplicate", F.coalesce(first < F.col("_first"), F.lit(False))).drop("_first")
+
+
+def with_title_counts(keyed: DataFrame) -> DataFrame:
+    """``normalized_title_day_count``: rows with the same title on the same day; null titles are near duplicates of nothing."""
+    title = F.concat(F.col("dedup_date").cast("string"), F.lit(" "), F.col("normalized_title"))
+    rows = beside(keyed, title, "article_id", _titles=F.count("*"))
+    rows = rows.withColumn("normalized_title_day_count", F.coalesce("_titles", F.lit(1).cast("long"))).drop("_titles")
+    return rows.withColumn("is_near_duplicate_candidate", F.col("normalized_title_day_count") > 1)
+
+
+def with_ranks(keyed: DataFrame) -> DataFrame:
+    """``dedup_rank``: the place of each row among those of its key. Only where ranks are asked for: this sorts every key."""
+    first = Window.partitionBy("dedup_key").orderBy(*(F.desc_nulls_last(c) for c in _order()))
+    return keyed.withColumn("dedup_rank", F.row_number().over(first))
 
 
 def retain(ranked: DataFrame, as_of: datetime, days: int = RETENTION_DAYS) -> DataFrame:
-    """After the windows: rows that are too old still count in them."""
+    """After the comparisons: rows that are too old still count in them."""
     return ranked.filter(seen_at() >= instant(as_of, ranked, "ingested_at") - F.expr(f"INTERVAL {days} DAYS"))
 
 
 def refine(bronze: DataFrame, *, as_of: datetime) -> DataFrame:
-    return bronze.transform(clean).transform(normalize).transform(key).transform(rank).transform(retain, as_of).select(*COLUMNS)
+    return bronze.transform(clean).transform(normalize).transform(key).transform(with_duplicates).transform(with_title_counts).transform(retain, as_of).select(*COLUMNS)

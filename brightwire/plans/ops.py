@@ -19,6 +19,7 @@ from brightwire.sources.store import Table, export, exported_count, older_than
 TOP, CHANGED = 10, 20
 ARCHIVE_DAYS, DELETE_CAP = 45, 20_000
 STALE_HOURS, TOP_EXCLUSIONS = 18, 3
+WEAK_ROWS, WEAK_RATE = 5, 0.35
 SUSPICIOUS_HOST = r"^https?://(127\.|10\.|192\.168\.|169\.254\.|metadata(\.|/|:)|metadata\.google\.internal)"
 SUSPICIOUS_ADDRESS = r"^https?://[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
 
@@ -100,11 +101,20 @@ def compare_summary(overlap_row, current: float | None, shadow: float | None) ->
 # A stratified sample for review.
 
 
-def sample_buckets(feed: DataFrame, silver: DataFrame, *, as_of: datetime, days: int) -> DataFrame:
+def with_domains(feed: DataFrame, silver: DataFrame, *, as_of: datetime, days: int) -> DataFrame:
     rows = feed.filter(F.col("serving_date") >= day(as_of, days)).join(silver.select("article_id", F.col("source_domain").alias("_domain")), "article_id", "left")
-    rows = rows.withColumn("source_domain", F.coalesce("_domain", F.lit("unknown-source"))).drop("_domain")
-    weak = rows.groupBy("source_domain").agg(F.count("*").alias("n"), share(F.col("is_positive_feed_eligible")).alias("rate")).filter("n >= 5 and rate < 0.35")
-    rows = rows.join(weak.select("source_domain", F.lit(True).alias("weak")), "source_domain", "left")
+    return rows.withColumn("source_domain", F.coalesce("_domain", F.lit("unknown-source"))).drop("_domain")
+
+
+def weak_domains(rows: DataFrame) -> DataFrame:
+    """source_domain, row_count, eligible_rate of the domains with enough rows, few of them eligible."""
+    rates = rows.groupBy("source_domain").agg(F.count("*").alias("row_count"), share(F.col("is_positive_feed_eligible")).alias("rate"))
+    return rates.filter((F.col("row_count") >= WEAK_ROWS) & (F.col("rate") < WEAK_RATE)).select("source_domain", "row_count", F.round("rate", 4).alias("eligible_rate"))
+
+
+def sample_buckets(feed: DataFrame, silver: DataFrame, *, as_of: datetime, days: int) -> DataFrame:
+    rows = with_domains(feed, silver, as_of=as_of, days=days)
+    rows = rows.join(weak_domains(rows).select("source_domain", F.lit(True).alias("weak")), "source_domain", "left")
     c, reason = F.col, F.col("exclusion_reason")
     bucket = (
         F.when(c("is_positive_feed_eligible") & c("weak"), "eligible_weak_domain")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightwire.functions import text
-from brightwire.functions.times import day, instant, seen_at
+from brightwire.functions.times import instant, seen_at
 from brightwire.operators import feed, quality, rules, silver, url_health
 from brightwire.plans import checks, ops, serving
 from brightwire.sources import extract, fixtures, guard, store, window
@@ -21,11 +22,16 @@ SCOPE = serving.Scope(30, ("EN", "DE", "FR"), ("United States", "France", "Germa
 CUTOFF = "2024-01-16 00:00:00"
 
 
+#: Models that a session has written, by application, folder and name.
+_written: dict[tuple[str, str, str], DataFrame] = {}
+
+
 @dataclass
 class Tables:
     """The models over one set of tables, planned when asked for.
 
-    A model that several others read is written once (``once``), as in a run of the models, so that no plan derives it twice.
+    A model that a query reads, but isn't about, is written once a session and folder (``once``), as a run of the models
+    would have; queries read that table. What a query is about is always derived.
     """
 
     spark: SparkSession
@@ -33,7 +39,10 @@ class Tables:
 
     def once(self, *names: str) -> Tables:
         for name in names:
-            setattr(self, name, store.cut(getattr(self, name), name))
+            key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+            if key not in _written:
+                _written[key] = store.cut(getattr(self, name), name)
+            setattr(self, name, _written[key])
         return self
 
     @cached_property
@@ -98,11 +107,6 @@ class Tables:
         return fixtures.metrics_history(self.silver, self.feed)
 
 
-def _shadowed(t: Tables) -> Tables:
-    """What the dual-score feed reads more than once is written: silver, the feed, URL results, source quality."""
-    return t.once("silver", "feed", "urls", "quality")
-
-
 def _batches(t: Tables) -> DataFrame:
     runs = t.bronze.groupBy("ingestion_id").agg(F.min("ingested_at").alias("a"), F.max("ingested_at").alias("b"))
     return runs.select("ingestion_id", F.explode(window.batch_times(F.col("a"), F.col("b"))).alias("batch_time"))
@@ -162,27 +166,32 @@ def _cached_columns(t: Tables) -> DataFrame:
 
 
 def _lang_norm(t: Tables) -> DataFrame:
-    codes = [(c,) for c in ("eng", "FRE", "fr", "de_", "zz", "por", "spa", "xyz", "e", "ger", "qq", "JPN", "hi")]
-    rows = t.spark.createDataFrame(codes, "code string")
-    return rows.select("code", extract.language_alpha2(F.col("code")).alias("language"))
+    """Each document's language, from codes of two or three letters with and without a tail, and from codes that are none."""
+    c, long = F.col("lang"), F.create_map(*map(F.lit, ("en", "eng", "fr", "fra", "de", "ger", "es", "SPA")))
+    kind = F.col("doc_id") % 4
+    code = F.when(kind == 0, c).when(kind == 1, F.concat(F.upper(c), F.lit("_"))).when(kind == 2, F.coalesce(long[c], c)).otherwise(F.concat(F.lit("zz"), c))
+    rows = fixtures.table(t.spark, t.sf_dir, "documents").select("doc_id", code.alias("code"))
+    return rows.withColumn("language", extract.language_alpha2(F.col("code")))
 
 
 def _classes(t: Tables) -> DataFrame:
-    rows = t.spark.range(100, 600).select(F.col("id").cast("int").alias("code")).unionByName(t.spark.createDataFrame([(None,)], "code int"))
-    return rows.select("code", url_health.classify_status(F.col("code")).alias("status"))
+    """The status of each page, were its HTTP code 100 to 599 by its id, or missing."""
+    code = F.when(F.col("page_id") % 50 != 49, (100 + F.col("page_id") % 500).cast("int"))
+    return fixtures.table(t.spark, t.sf_dir, "pages").select("page_id", code.alias("code")).withColumn("status", url_health.classify_status(F.col("code")))
 
 
 def _page_math(t: Tables) -> DataFrame:
-    cells = [(p, n, s, serving.clamp_page(p, n, s), serving.total_pages(n, s)) for p in range(0, 13) for n in (0, 1, 10, 11, 95) for s in (1, 7, 10)]
-    return t.spark.createDataFrame(cells, "page long, row_count long, size long, current_page long, total_pages long")
+    """Each source's stories in pages of 1 to 10, and the page that is shown of a page asked for."""
+    number = F.min(F.expr("cast(substring(source_record_id, 2) as bigint)")) % 13
+    rows = t.feed.groupBy("source_name").agg(F.count("*").alias("row_count"), number.alias("page"), (1 + F.count("*") % 10).alias("size"))
+    current, pages = serving.page_columns(F.col("page"), F.col("row_count"), F.col("size"))
+    return rows.select("source_name", "page", "row_count", "size", current.alias("current_page"), pages.alias("total_pages"))
 
 
-def _compared(t: Tables) -> DataFrame:
-    """Both feeds' precisions and the overlap, side by side."""
-    t.once("shadow")
-    a = ops.label_precision(t.feed, t.labels).select(F.col("include_precision").alias("current_precision"))
-    b = ops.label_precision(t.shadow, t.labels).select(F.col("include_precision").alias("shadow_precision"))
-    return ops.overlap(t.feed, t.shadow).crossJoin(a).crossJoin(b)  # one row each
+def _active_terms(t: Tables) -> DataFrame:
+    """The terms that are active where soft denials and phrases are switched off, and the titles that have them."""
+    some = t.terms.withColumn("is_active", F.expr("rule_class <> 'deny_soft' and match_scope = 'token'"))
+    return rules.term_use(rules.active_terms(some), t.silver.transform(feed.canonical).transform(rules.with_hits, some))
 
 
 def _fields(part: str, df: DataFrame, keyed: bool) -> DataFrame:
@@ -194,18 +203,10 @@ def _fields(part: str, df: DataFrame, keyed: bool) -> DataFrame:
 
 def _all_compared(t: Tables) -> DataFrame:
     """The ten parts of the comparison, cell by cell."""
-    t.once("shadow")  # every part reads it
     single = ("overlap", "current_precision", "shadow_precision")
     return reduce(DataFrame.unionByName, (_fields(n, df, n not in single) for n, df in ops.compare(t.feed, t.shadow, t.silver, t.labels).items()))
 
 
-def _sorts(t: Tables) -> DataFrame:
-    """The first fifty rows of each display order: a top-k."""
-    names = (serving.MOST_OPTIMISTIC, serving.MOST_RECENT, serving.OLDEST)
-    tops = [serving.sort_rows(t.feed, o).limit(50).select(F.lit(o).alias("sort_order"), "article_id", "happy_factor") for o in names]
-    return reduce(DataFrame.unionByName, tops)
-
-
 def _all_sorts(t: Tables) -> DataFrame:
     """Every row of the feed in each display order, with its place there."""
     names = (serving.MOST_OPTIMISTIC, serving.MOST_RECENT, serving.OLDEST)
@@ -214,11 +215,6 @@ def _all_sorts(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, ranked)
 
 
-def _declared(t: Tables) -> DataFrame:
-    tables = {"silver": t.silver, "terms": t.terms, "feed": t.feed, "source_quality": t.quality}
-    return reduce(DataFrame.unionByName, (checks.column_checks(df, checks.DECLARED[n]).select(F.lit(n).alias("table_name"), "*") for n, df in tables.items()))
-
-
 def _all_declared(t: Tables) -> DataFrame:
     """The checks of all nine tables that declare some; metrics as one run's row, which has all of its columns."""
     metrics = quality.run_metrics(t.bronze, t.silver, t.feed, as_of=AS_OF)
@@ -227,7 +223,6 @@ def _all_declared(t: Tables) -> DataFrame:
 
 
 def _custom(t: Tables) -> DataFrame:
-    t.once("metrics")
     return checks.report(checks.custom_checks(t.bronze, t.silver, t.feed, t.shadow, t.quality, t.metrics, as_of=AS_OF))
 
 
@@ -264,7 +259,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "sink_export": _exported,
     "sink_delete": _deleted,
     "src_columns": _cached_columns,
-    "src_literal": lambda t: t.terms,
+    "src_literal": lambda t: rules.term_use(t.terms, t.scored),
     # extraction
     "ext_nullif": lambda t: t.named.select("line", text.filled(F.col("source_record_id")).alias("source_record_id"), text.filled(F.col("source_collection_identifier")).alias("collection")),
     "ext_domain": lambda t: t.named.select("line", extract.domain(F.when(text.filled(F.col("source_collection_identifier")) == "1", text.filled(F.col("document_identifier"))), text.filled(F.col("source_name"))).alias("source_domain")),
@@ -286,14 +281,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "slv_retention": lambda t: silver.retain(t.keyed, AS_OF, 20).select("source_record_id"),
     # canonical feed
     "gld_canonical": lambda t: t.silver.transform(feed.canonical).select("article_id", "serving_date"),
-    "gld_active_terms": lambda t: rules.active_terms(t.terms),
+    "gld_active_terms": _active_terms,
     "gld_tokens": lambda t: t.silver.transform(feed.canonical).select("article_id", F.array_join(text.tokens(F.col("title")), " ").alias("title_tokens"), text.spaced(F.col("title")).alias("normalized_title")),
     "gld_rule_hits": lambda t: _hits(t.scored),
     "gld_base_score": lambda t: t.scored.select("article_id", "tone_score", "base_happy_factor"),
     "gld_happy": lambda t: t.feed.select("article_id", "base_happy_factor", "happy_factor", "happy_factor_version"),
     "gld_eligible": lambda t: t.feed.select("article_id", "is_positive_feed_eligible"),
     "gld_reason": lambda t: t.feed.select("article_id", "exclusion_reason", "positive_guardrail_version"),
-    "gld_retention": lambda t: t.feed.filter(F.col("serving_date") >= day(AS_OF, 10)).select("article_id", "serving_date"),
+    "gld_retention": lambda t: feed.feed(t.silver, t.terms, as_of=AS_OF + timedelta(days=170)).select("article_id", "serving_date"),
     "gld_feed": lambda t: t.feed,
     # dual-score feed
     "v3_features": lambda t: t.features.select("article_id", "title_token_count", "uppercase_token_count", "title_template_prefix"),
@@ -329,13 +324,13 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "agg_domain_mix": lambda t: ops.domain_mix(t.feed, t.silver),
     "agg_link_mix": lambda t: ops.link_mix(t.shadow),
     "agg_label_precision": lambda t: ops.label_precision(t.feed, t.labels),
-    "agg_having": lambda t: ops.sample_buckets(t.feed, t.silver, as_of=AS_OF, days=30).groupBy("source_domain").agg(F.count("*").alias("row_count"), F.round(quality.share(F.col("is_positive_feed_eligible")), 4).alias("eligible_rate")).filter("row_count >= 5 and eligible_rate < 0.4"),
+    "agg_having": lambda t: ops.weak_domains(ops.sample_buckets(t.feed, t.silver, as_of=AS_OF, days=30)),
     "agg_distinct": lambda t: t.silver.select("language", "mentioned_country_name").distinct(),
     "agg_array_distinct": lambda t: t.scored.groupBy("source_name").agg(F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set("allow_terms")))), ",").alias("allow_terms")),
     "agg_string_ordered": lambda t: t.silver.transform(feed.canonical).transform(feed.headline_features).select("article_id", "title_template_prefix"),
     # windows
-    "win_dedup": lambda t: silver.rank(t.keyed).select("article_id", F.col("dedup_rank").cast("long").alias("dedup_rank")),
-    "win_count": lambda t: silver.rank(t.keyed).filter("normalized_title is not null").select("article_id", "normalized_title_day_count"),
+    "win_dedup": lambda t: silver.with_ranks(t.keyed).select("article_id", F.col("dedup_rank").cast("long").alias("dedup_rank")),
+    "win_count": lambda t: silver.with_title_counts(t.keyed).filter("normalized_title is not null").select("article_id", "normalized_title_day_count"),
     "win_url": lambda t: url_health.candidates(t.silver, as_of=AS_OF, days=15),
     "win_runs": lambda t: checks.ranked(t.metrics, F.desc("audit_run_at")).select(F.col("run_rank").cast("long").alias("run_rank"), "ingestion_id", "gold_row_count"),
     # order, limit, sets, predicates
@@ -365,7 +360,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "row_summary": lambda t: serving.summarize(t.feed),
     "row_story_dedup": lambda t: serving.dedupe_stories(t.feed, F.desc("happy_factor"), F.desc(seen_at()), F.desc("article_id")).select("article_id"),
     "row_story_key": lambda t: t.feed.select("article_id", serving.story_key()["kind"].alias("kind"), serving.story_key()["key"].alias("key")),
-    "row_sorts": _sorts,
+    "row_sorts": _all_sorts,
     "row_sorts_all": _all_sorts,
     "row_timeline": lambda t: serving.timeline(t.feed),
     "row_source_rank": lambda t: serving.source_rankings(t.feed),
@@ -374,28 +369,36 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # operations and checks
     "ops_report": lambda t: ops.daily_report(t.metrics, t.feed, as_of=AS_OF),
     "ops_sample": lambda t: ops.review_sample(t.feed, t.silver, as_of=AS_OF),
-    "ops_compare": _compared,
+    "ops_compare": _all_compared,
     "ops_compare_all": _all_compared,
-    "chk_column": _declared,
+    "chk_column": _all_declared,
     "chk_column_all": _all_declared,
     "chk_custom": _custom,
 }
 
 
-#: Queries that read silver, the feed, URL results or source quality by several ways.
-SHADOWED = frozenset(
-    "v3_url v3_source v3_positivity v3_penalties v3_suitability v3_happy v3_reason v3_gate_reason v3_eligible v3_explain v3_feed agg_overlap agg_link_mix "
-    "srt_changed set_union ops_compare ops_compare_all chk_column chk_column_all chk_custom".split()
-)
-TWICE = frozenset("agg_source_quality agg_quality_tier agg_metrics agg_domain_mix agg_having ops_sample ops_report win_runs srv_status srv_stage_snapshot srv_trends srv_cleanup_trend".split())
+def _reads(name: str) -> tuple[str, ...]:
+    """The models that a query reads as written tables."""
+    about, silver_only = name.split("_")[0], ("gld", "url", "v3")
+    if name in ("url_syntax", "win_dedup", "win_count"):
+        return ()
+    if name in ("agg_overlap", "agg_link_mix", "srt_changed", "set_union", "ops_compare", "ops_compare_all"):
+        return ("silver", "feed", "urls", "quality", "shadow")
+    if about == "chk":
+        return ("bronze", "silver", "feed", "urls", "quality", "shadow", "metrics")
+    if name in ("agg_metrics", "agg_latest_run"):
+        return ("bronze", "silver", "feed")
+    if name in ("win_runs", "srv_status", "srv_stage_snapshot", "srv_trends", "srv_cleanup_trend", "ops_report"):
+        return ("silver", "feed", "metrics")
+    if about == "v3" and name not in ("v3_features", "v3_templates", "v3_rule_hits", "v3_headline"):
+        return ("silver", "feed", "urls", "quality")
+    if about in silver_only or name in ("src_literal", "agg_distinct", "agg_array_distinct", "agg_string_ordered", "win_url", "prd_suspicious"):
+        return ("silver",)
+    return ("silver", "feed") if about in ("agg", "srt", "prd", "srv", "row", "ops") else ()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def made(name: str, make: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            t = Tables(spark, sf_dir)
-            return make(_shadowed(t) if name in SHADOWED else t.once("silver", "feed") if name in TWICE else t)
-
-        return run
+        return lambda spark, sf_dir: make(Tables(spark, sf_dir).once(*_reads(name)))
 
     return {name: made(name, make) for name, make in QUERIES.items()}

@@ -15,15 +15,11 @@ from pyspark.sql import functions as F
 
 from brightwire.functions.text import filled, strip
 from brightwire.functions.times import day, seen_at
+from brightwire.operators.feed import FEED_COLUMNS
 from brightwire.sources.store import cut
 
 # Columns, sort orders, buckets and labels of the serving layer.
 OPTIONAL = ("language", "language_resolution_status", "mentioned_country_code", "mentioned_country_name", "mentioned_country_resolution_status")
-FEED_COLUMNS = (
-    "source_record_id article_id serving_date published_at source_name language language_resolution_status mentioned_country_code mentioned_country_name "
-    "mentioned_country_resolution_status title url tone_score base_happy_factor happy_factor happy_factor_version is_positive_feed_eligible "
-    "positive_guardrail_version exclusion_reason allow_hit_count soft_deny_hit_count hard_deny_hit_count ingested_at"
-).split()
 BRIEF_COLUMNS = "article_id serving_date published_at source_name language mentioned_country_name title url tone_score happy_factor ingested_at".split()
 MOST_OPTIMISTIC, LEAST_OPTIMISTIC, MOST_RECENT, OLDEST = "Most optimistic first", "Least optimistic first", "Most recent news", "Oldest news"
 BUCKETS = (("Below 65", None, 65.0), ("65-70", 65.0, 70.0), ("70-75", 70.0, 75.0), ("75-80", 75.0, 80.0), ("80-85", 80.0, 85.0), ("85+", 85.0, None))
@@ -329,6 +325,18 @@ def geography_label(c: Column) -> Column:
     return F.coalesce(filled(c), F.lit("Unknown"))
 
 
+def time_label(c: Column) -> Column:
+    """A timestamp of the session's zone (UTC) as ``Apr 2, 2026 (UTC)``."""
+    return F.coalesce(F.concat(F.date_format(c, "MMM d, yyyy"), F.lit(" (UTC)")), F.lit("Unknown"))
+
+
+def relative_day(c: Column, as_of: datetime) -> Column:
+    """Today, Yesterday, else the day, with its year where that isn't this one."""
+    at, today = F.to_date(c), day(as_of)
+    older = F.when(F.year(at) == F.year(today), F.date_format(at, "MMM d")).otherwise(F.date_format(at, "MMM d, yyyy"))
+    return F.when(at.isNull(), "Unknown").when(at == today, "Today").when(at == F.date_sub(today, 1), "Yesterday").otherwise(older)
+
+
 # The driver's side of a page: paging, facets, cache.
 
 
@@ -338,6 +346,12 @@ def total_pages(rows: int, size: int) -> int:
     return max(1, -(-rows // size))
 
 
+def page_columns(number: Column, rows: Column, size: Column) -> tuple[Column, Column]:
+    """(current page, pages) of many tables at once, as ``clamp_page`` and ``total_pages`` give them."""
+    pages = F.greatest(F.lit(1), F.ceil(rows / size)).cast("long")
+    return F.greatest(F.lit(1).cast("long"), F.least(number.cast("long"), pages)), pages
+
+
 def clamp_page(number: int, rows: int, size: int, scope_changed: bool = False) -> int:
     """1 after the scope has changed, else within the pages there are."""
     return 1 if scope_changed else bounded(number, 1, total_pages(rows, size))

@@ -186,3 +186,57 @@ def test_history_checks(spark):
     assert checks.row_drop(dropped).first().failures == 1 and checks.duplicate_drift(dropped).first().failures == 1
     assert checks.metrics_freshness(dropped, datetime(2026, 4, 10)).first().failures == 0
     assert checks.metrics_freshness(dropped, datetime(2026, 4, 20)).first().failures == 1
+
+
+KEYED = "article_id string, published_at timestamp, ingested_at timestamp, dedup_key string, normalized_title string, dedup_date date"
+
+
+def keyed_rows(spark, n=3000):
+    """A third of the rows share a title and a day, another third a dedup key; some have no title or time."""
+    day, times = datetime(2026, 4, 10), [None, *(datetime(2026, 4, 10, h) for h in range(5))]
+    rows = [(f"{k * 7919 % 10007:05}", times[k % 6], day, f"url:{k}" if k % 3 else "url:hot", None if k % 11 == 5 else "hot" if k % 3 == 1 else f"t{k % 200}", day.date()) for k in range(n)]
+    return spark.createDataFrame(rows, KEYED)
+
+
+def by_windows(keyed):
+    from pyspark.sql import Window
+
+    first = Window.partitionBy("dedup_key").orderBy(F.desc_nulls_last("published_at"), F.desc("ingested_at"), F.desc("article_id"))
+    same = Window.partitionBy("normalized_title", "dedup_date")
+    return keyed.select("article_id", (F.row_number().over(first) > 1).alias("d"), F.when(F.col("normalized_title").isNull(), 1).otherwise(F.count("*").over(same)).cast("long").alias("n"))
+
+
+@pytest.mark.parametrize("large", [100_000, 500, 3])
+def test_duplicates_without_windows(spark, monkeypatch, large):
+    from brightwire.operators import groups
+
+    monkeypatch.setattr(groups, "LARGE", large)
+    keyed = keyed_rows(spark)
+    got = keyed.transform(silver.with_duplicates).transform(silver.with_title_counts)
+    assert sorted(map(tuple, got.select("article_id", "is_duplicate", "normalized_title_day_count").collect())) == sorted(map(tuple, by_windows(keyed).collect()))
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    ranks = {r.article_id: r.dedup_rank for r in keyed.transform(silver.with_ranks).collect()}
+    assert {r.article_id for r in got.collect() if r.is_duplicate} == {a for a, k in ranks.items() if k > 1}
+
+
+def test_a_common_title_and_key_fill_no_task(spark, monkeypatch):
+    from brightwire.operators import groups
+
+    monkeypatch.setattr(groups, "LARGE", 100)
+    for k, v in {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "12", "spark.sql.autoBroadcastJoinThreshold": "-1"}.items():
+        spark.conf.set(k, v)
+    try:
+        for step in (silver.with_duplicates, silver.with_title_counts):
+            out = keyed_rows(spark).repartition(6).transform(step)
+            used = F.max(F.xxhash64("*")).alias("used")  # else the joins, which add no rows, are left out
+            sizes = sorted(r.n for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), used).collect())
+            assert len(sizes) == 12 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    finally:
+        for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_silver_of_a_repeated_record(spark):
+    rows = refined(spark, article(1), article(1), article(2, url="https://a.com/1", published=datetime(2026, 4, 9)))
+    assert sorted((r.source_record_id, r.is_duplicate) for r in rows.collect()) == [("r1", False), ("r1", False), ("r2", True)]

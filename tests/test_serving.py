@@ -125,3 +125,19 @@ def test_ranked_rows(spark):
         want = [(k, r.article_id) for k, r in enumerate(serving.sort_rows(df, order).collect(), 1)]
         assert sorted((r.sort_rank, r.article_id) for r in serving.ranked_rows(df, order).collect()) == want
     assert serving.ranked_rows(df.limit(0), serving.OLDEST).count() == 0
+
+
+def test_time_labels(spark):
+    as_of = datetime(2026, 4, 12, 9)
+    rows = [(datetime(2026, 4, 12, 1),), (datetime(2026, 4, 11, 23, 59),), (datetime(2026, 1, 2),), (datetime(2025, 12, 31, 5),), (None,)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    got = df.select(serving.relative_day(F.col("t"), as_of).alias("r"), serving.time_label(F.col("t")).alias("l")).collect()
+    assert [r.r for r in got] == ["Today", "Yesterday", "Jan 2", "Dec 31, 2025", "Unknown"]
+    assert [r.l for r in got] == ["Apr 12, 2026 (UTC)", "Apr 11, 2026 (UTC)", "Jan 2, 2026 (UTC)", "Dec 31, 2025 (UTC)", "Unknown"]
+
+
+def test_page_columns_equal_page_functions(spark):
+    cells = [(p, n, s) for p in range(-1, 13) for n in (0, 1, 10, 11, 95) for s in (1, 7, 10)]
+    df = spark.createDataFrame(cells, "p long, n long, s long")
+    current, pages = serving.page_columns(F.col("p"), F.col("n"), F.col("s"))
+    assert [tuple(r) for r in df.select(current, pages).collect()] == [(serving.clamp_page(p, n, s), serving.total_pages(n, s)) for p, n, s in cells]

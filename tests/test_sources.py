@@ -100,6 +100,62 @@ def test_fetch_skips_missing(spark):
     assert archive.fetch_archives(spark, "http://h.example/v2", batches, "h.example", fetch).count() == 1
 
 
+@pytest.fixture
+def server():
+    """Serves archives by stamp; the first two requests of the third file fail, the fourth file always does."""
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from threading import Thread
+
+    data, asked = zipped(row(), row(_0="record-2")), []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append(self.path)
+            known = {"1645": True, "1700": True, "1715": asked.count(self.path) > 2}
+            stamp = self.path.rpartition("/")[2][8:12]
+            code = 404 if stamp == "1730" else 200 if known.get(stamp) else 503
+            self.send_response(code)
+            self.end_headers()
+            if code == 200:
+                self.wfile.write(data)
+
+        def log_message(self, *args):
+            pass
+
+    httpd = HTTPServer(("127.0.0.1", 0), Handler)
+    Thread(target=httpd.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{httpd.server_port}/v2", asked
+    httpd.shutdown()
+
+
+def test_batches_are_a_data_source(spark, server):
+    base, asked = server
+    batches = [datetime(2026, 4, 2, 16, 45), datetime(2026, 4, 2, 17), datetime(2026, 4, 2, 17, 15), datetime(2026, 4, 2, 17, 30)]
+    spark.dataSource.register(archive.Archives)
+    stamps = ",".join(f"{b:%Y%m%d%H%M%S}" for b in batches)
+    raw = spark.read.format("news_archives").options(base_url=base, allowed_host="127.0.0.1", batches=stamps, pause_seconds="0.01").load()
+    assert raw.rdd.getNumPartitions() == 4
+    rows = raw.collect()
+    assert sum(r.line >= 0 for r in rows) == 6 and [r.source_file[-18:-12] for r in rows if r.line < 0] == ["173000"]
+    assert sum("1715" in p for p in asked) == 3 and sum("1645" in p for p in asked) == 1
+    again = archive.read_batches(spark, base, batches[:1] + batches[3:], "127.0.0.1")
+    assert archive.landed(again).count() == 2 and archive.missing_batches(again).count() == 1
+    assert {r.rows for r in archive.batches_found(again).collect()} == {2}
+    assert archive.fetch_archives(spark, base, [], "127.0.0.1").count() == 0
+
+
+def test_a_download_that_keeps_failing_stops_the_run(spark, server):
+    base, asked = server
+    with pytest.raises(Exception, match="503"):
+        archive.fetch_archives(spark, base, [datetime(2026, 4, 2, 18)], "127.0.0.1", attempts="2", pause_seconds="0.01").count()
+    assert len(asked) == 2
+    with pytest.raises(ValueError):
+        archive.read_batches(spark, "http://other.example", [datetime(2026, 4, 2)], "127.0.0.1")
+    moved = lambda url: (zipped(row()), "http://evil.example/x.zip")
+    with pytest.raises(Exception, match="evil.example"):
+        archive.fetch_archives(spark, base, [datetime(2026, 4, 2, 18)], "127.0.0.1", moved).count()
+
+
 def test_bronze_row(spark):
     (got,) = bronze(spark, row()).collect()
     assert (got.source_domain, got.title, got.language, got.language_resolution_status) == ("example.com", "Markets rally again", "en", "native")
@@ -195,6 +251,16 @@ def test_stream(spark, tmp_path):
     assert sorted(r.source_record_id for r in target.read().collect()) == ["record-1", "record-2", "record-3"]
 
 
+def test_stream_is_guarded(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.zip").write_bytes(zipped(row(), *(row(_0=" ") for _ in range(3))))
+    target = store.Table(spark, f"file://{tmp_path}/bronze", bronze(spark, row()).schema)
+    with pytest.raises(Exception, match="malformed row ratio"):
+        ingest.ingest(spark, str(source), target, str(tmp_path / "checkpoint")).awaitTermination()
+    assert target.version() is None
+
+
 GLOBAL = lambda host, port: ["93.184.216.34"]
 
 

@@ -151,7 +151,8 @@ def test_a_download_that_keeps_failing_stops_the_run(spark, server):
     assert len(asked) == 2
     with pytest.raises(ValueError):
         archive.read_batches(spark, "http://other.example", [datetime(2026, 4, 2)], "127.0.0.1")
-    moved = lambda url: (zipped(row()), "http://evil.example/x.zip")
+    data = zipped(row())
+    moved = lambda url: (data, "http://evil.example/x.zip")
     with pytest.raises(Exception, match="evil.example"):
         archive.fetch_archives(spark, base, [datetime(2026, 4, 2, 18)], "127.0.0.1", moved).count()
 

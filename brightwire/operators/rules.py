@@ -126,6 +126,8 @@ TERM_SCHEMA = "term string, rule_class string, match_scope string, is_active boo
 CLASSES = {"allow": "allow", "deny_soft": "soft_deny", "deny_hard": "hard_deny"}
 #: Terms up to this number go into the plan as literals; a larger vocabulary is joined.
 MAX_LITERALS = 2_000
+#: Characters of the runs by which phrases of a larger vocabulary are found.
+GRAM = 4
 
 
 def vocabulary_rows() -> list[tuple]:
@@ -175,14 +177,37 @@ def with_hits(articles: DataFrame, terms: DataFrame, title: str = "title") -> Da
     return out.drop("_tokens", "_spaced", *(f"{n}_{k}" for n in CLASSES.values() for k in ("tokens", "phrases")))
 
 
+def _runs(text: Column, n: int) -> Column:
+    """All runs of ``n`` characters; a shorter text itself."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(text, i, n))
+
+
+def phrase_index(phrases: DataFrame) -> DataFrame:
+    """``phrases`` with ``gram``: of the runs of ``GRAM`` characters of a phrase the one that fewest phrases have, or a shorter phrase itself."""
+    grams = phrases.select("term").distinct().select("term", F.explode(F.array_distinct(_runs(F.lower("term"), GRAM))).alias("gram"))
+    counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = grams.join(counts, "gram").groupBy("term").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    return phrases.join(rarest, "term")
+
+
+def phrase_hits(titles: DataFrame, phrases: DataFrame, key: str) -> DataFrame:
+    """(key, term, rule_class, match_scope) of the phrases that titles (key, s) contain: titles' runs of characters meet the phrases' rarest ones by equality, then the phrase is looked for."""
+    index = phrase_index(phrases)
+    sizes = sorted(r[0] for r in phrases.select(F.least(F.length("term"), F.lit(GRAM))).distinct().collect())  # ``GRAM`` and one numbers at most
+    if not sizes:
+        return titles.select(key).limit(0).join(phrases, F.lit(False))
+    runs = [F.when(F.length("s") >= n, _runs(F.col("s"), n)).otherwise(F.array()) for n in sizes]
+    met = titles.select(key, "s", F.explode(F.array_distinct(F.concat(*runs))).alias("gram")).join(index, "gram")
+    return met.filter(F.instr("s", F.lower("term")) > 0).select(key, "term", "rule_class", "match_scope")
+
+
 def with_joined_hits(articles: DataFrame, terms: DataFrame, title: str = "title", key: str = "source_record_id") -> DataFrame:
-    """The same for any vocabulary: distinct tokens are joined on equality, phrases by comparison with each title."""
+    """The same for any vocabulary: distinct tokens are joined on equality, phrases by a run of their characters. ``key`` tells articles apart."""
     terms = active_terms(terms)
     named = articles.select(key, tokens(F.col(title)).alias("t"), spaced(F.col(title)).alias("s"))
     words = named.select(key, F.explode(F.array_distinct("t")).alias("term"))
     by_word = words.join(terms.filter("match_scope = 'token'"), "term").select(key, "term", "rule_class", "match_scope")
-    phrases = terms.filter("match_scope = 'phrase'")
-    by_phrase = named.join(phrases, F.expr("instr(s, lower(term)) > 0")).select(key, "term", "rule_class", "match_scope")
+    by_phrase = phrase_hits(named.select(key, "s"), terms.filter("match_scope = 'phrase'"), key)
     hits = by_word.unionAll(by_phrase)
     when = lambda kind: F.col("rule_class") == kind
     counts = [F.count_if(when(k)).alias(f"{n}_hit_count") for k, n in CLASSES.items()]

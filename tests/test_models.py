@@ -73,6 +73,32 @@ def test_literal_hits_equal_joined_hits(spark):
     assert all(n == 2 * once[k] for k, n in twice.collect())
 
 
+def test_a_large_vocabulary(spark):
+    import random
+
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 7))) for _ in range(400)]
+    phrases = sorted({" ".join(rng.choices(words, k=rng.randint(1, 4))) for _ in range(170_000)} | {"a", "ab", "abc", "", "Ab Cd"})
+    kinds = list(rules.CLASSES)
+    terms = [(p, kinds[k % 3], "phrase", True, "") for k, p in enumerate(phrases)] + [(w, "allow", "token", True, "") for w in words[:50]]
+    titles = [" ".join(rng.choices(words, k=rng.randint(0, 9))).capitalize() for _ in range(120)] + [None, "", "xAB CDx", phrases[777] + "z", "z" + phrases[888]]
+    df = spark.createDataFrame([(f"r{n}", t) for n, t in enumerate(titles)], "source_record_id string, title string")
+    got = rules.with_hits(df, spark.createDataFrame(terms, rules.TERM_SCHEMA).repartition(4))
+    assert len(phrases) > 100_000 and "NestedLoop" not in got._jdf.queryExecution().toString()
+    by_id = {r.source_record_id: r for r in got.collect()}
+    for n, title in enumerate(titles):
+        text_form = "".join(c if c.isalnum() else " " for c in (title or "").lower())
+        text_form = " ".join(text_form.split(" ")) if "  " not in text_form else text_form
+        for kind, name in rules.CLASSES.items():
+            want = {t for t, k, scope, _, _ in terms if k == kind and (t.lower() in text_form if scope == "phrase" else t in text_form.split())}
+            assert by_id[f"r{n}"][f"{name}_terms"] == sorted(want), (title, kind)
+    few = spark.createDataFrame([t for t in terms if rng.random() < 0.01] + [("ab", "allow", "phrase", True, "")], rules.TERM_SCHEMA)
+    a, b = rules.with_hits(df, few), rules.with_joined_hits(df, few)
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.select(*a.columns).collect()), key=str)
+    none = rules.with_joined_hits(df, few.filter("match_scope = 'token'"))
+    assert none.agg(F.sum("allow_phrase_hit_count")).first()[0] == 0
+
+
 def test_silver_forms(spark):
     rows = refined(
         spark,

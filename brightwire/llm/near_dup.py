@@ -16,8 +16,9 @@ A bucket of up to ``BUCKET`` documents, and a cell of up to ``BLOCK`` documents
 whole. A larger one is first compared block by block, every block beside the same ``PIVOTS`` documents, which joins most of
 a large group of near copies in linear work. Where documents stay outside a bucket's largest component (a passage that
 many unlike documents share), the bucket is split by the keys of its members' other chunks: by 3. its pairs meet again in
-one of those smaller buckets, so the rows are linear in its members. Only what is large and unlinked even there, and cells
-of that kind, are compared block against block.
+one of those smaller buckets, so the rows are linear in its members. Only what is large and unlinked even there is compared
+block against block. Where documents stay outside a cell's largest component, prefix filtering finds the documents that
+may still be linked (``_prefix_pairs``), so documents of one template that are too unlike for links don't all meet.
 
 Defined results: null and empty texts and texts without words have an empty set and are linked with nothing; a document
 with fewer than five words has one shingle, all its words; rows with a null doc_id are linked with nothing (component
@@ -196,11 +197,14 @@ def _edges_of(per_group: Callable[[pa.Table], list[tuple[int, int]]], keys: int)
     return run
 
 
-def _known(sets: Union, own: list[int]) -> None:
-    """Join the places of equal components."""
-    first: dict[int, int] = {}
-    for i, c in enumerate(own):
-        sets.join(first.setdefault(c, i), i)
+def _merge(labels: np.ndarray, i: int, near: np.ndarray) -> list[int]:
+    """Of the places ``near`` one of each set that isn't i's, whose sets then become one with it. ``labels``: the set of each place."""
+    out = []
+    for label in np.unique(labels[near]).tolist():
+        if label != labels[i]:
+            out.append(int(near[np.argmax(labels[near] == label)]))
+            labels[labels == label] = labels[i]
+    return out
 
 
 def _signature_forest(group: pa.Table) -> list[tuple[int, int]]:
@@ -210,20 +214,21 @@ def _signature_forest(group: pa.Table) -> list[tuple[int, int]]:
     if m < 2:
         return []
     sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(m, SYMBOLS)
-    sets, out = Union(m), []
-    _known(sets, group.column("component").to_pylist() if "component" in group.column_names else doc)
+    labels, out = np.unique(group.column("component" if "component" in group.column_names else "doc").to_numpy(), return_inverse=True)[1], []
     for i in range(m - 1):
-        near = (sig[i + 1 :] != sig[i]).sum(1) <= DISTANCE
-        near &= 4 * np.minimum(n[i + 1 :], n[i]) >= 3 * np.maximum(n[i + 1 :], n[i])
-        out.extend((doc[i], doc[j]) for j in (np.flatnonzero(near) + i + 1).tolist() if sets.join(i, j))
+        if (labels == labels[0]).all():
+            break
+        others = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
+        near = (sig[others] != sig[i]).sum(1) <= DISTANCE
+        near &= 4 * np.minimum(n[others], n[i]) >= 3 * np.maximum(n[others], n[i])
+        out.extend((doc[i], doc[j]) for j in _merge(labels, i, others[near]))
     return out
 
 
 def exact_forest(sets: list[np.ndarray], own: list[int]) -> list[tuple[int, int]]:
     """Links (places i, j) that span all links of the documents: 100 * intersection >= 75 * union. ``own``: known components."""
     m = len(sets)
-    joined = Union(m)
-    _known(joined, own)
+    labels = np.unique(np.array(own), return_inverse=True)[1]
     sizes = np.array([len(s) for s in sets])
     every, at = np.unique(np.concatenate(sets), return_inverse=True)
     doc = np.repeat(np.arange(m), sizes)
@@ -232,14 +237,14 @@ def exact_forest(sets: list[np.ndarray], own: list[int]) -> list[tuple[int, int]
     ends = np.cumsum(sizes)
     out = []
     for i in range(m - 1):
+        if (labels == labels[0]).all():
+            break
         own_at = at[ends[i] - sizes[i] : ends[i]]
         counts = begin[own_at + 1] - begin[own_at]
         take = np.repeat(begin[own_at] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
         both = np.bincount(holders[take], minlength=m)[i + 1 :]
         linked = 100 * both >= 75 * (sizes[i] + sizes[i + 1 :] - both)
-        for j in (np.flatnonzero(linked) + i + 1).tolist():
-            if joined.join(i, j):
-                out.append((i, j))
+        out.extend((i, j) for j in _merge(labels, i, np.flatnonzero(linked & (labels[i + 1 :] != labels[i])) + i + 1))
     return out
 
 
@@ -274,13 +279,16 @@ def _placed(rows: DataFrame, blocks) -> DataFrame:
     return rows.withColumn("blocks", F.greatest(blocks, F.lit(1)).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
 
 
-def _linked(rows: DataFrame, data: list[str], work: Callable[[pa.Table], list[tuple[int, int]]], split: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame | None]:
+def _linked(
+    rows: DataFrame, data: list[str], work: Callable[[pa.Table], list[tuple[int, int]]],
+    split: Callable[[DataFrame, DataFrame], DataFrame] | None = None, pairs: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame | None]:
     """Stars (u, v, tag) that join all documents of each group which ``work`` links.
 
     A group of one block is done at once (tag 1). Of larger ones every block is done beside the group's pivots; then the
     groups in which some documents are outside the largest component go through ``split``, which gives smaller ones, or
-    without it those documents are done beside all blocks. The second table is that pass's stars, None where no group is
-    large.
+    through ``pairs``, which gives the pairs of blocks (a, b) that are left to do: all of those documents beside all blocks,
+    if not told otherwise. The second table is that pass's stars, None where no group is large.
     """
     plain = ["group", "block", "doc", *data]
     large = cut(rows.filter("blocks > 1"), "large-groups")
@@ -298,7 +306,7 @@ def _linked(rows: DataFrame, data: list[str], work: Callable[[pa.Table], list[tu
     main = counts.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
     main = _small(cut(main, "large-main"))
     if split is None:
-        return first, cut(_by_group(_outside(rest.join(main, "group"), data), ["group", "a", "b"], work), "late-links")
+        return first, cut(_by_group((pairs or _outside)(rest.join(main, "group"), data), ["group", "a", "b"], work), "late-links")
     smaller, late = _linked(split(rest, main), [*data, "component"], work)
     return first, smaller if late is None else smaller.unionByName(late)
 
@@ -321,6 +329,65 @@ def _outside(rest: DataFrame, data: list[str]) -> DataFrame:
     return others.unionByName(every)
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, doc, payload) to a row for each shingle, with the size of the document's set."""
+    import zstandard
+
+    hashes, expand = word_hashes(), zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            sets = [shingles(expand(p.as_buffer().to_pybytes()).split(), hashes) for p in part.column(2)]
+            sizes = np.array([len(s) for s in sets])
+            take = pa.array(np.repeat(np.arange(len(sets)), sizes), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(take), part.column(1).take(take), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(sets).view(np.int64))], ["group", "doc", "size", "shingle"]
+            )
+
+
+def _prefix_pairs(rest: DataFrame, data: list[str]) -> DataFrame:
+    """The pairs of blocks left to do in large cells, by prefix filtering on full sets.
+
+    A document's shingles are ordered by how many documents of the cell have them. Two linked sets, y not larger than x, have
+    one in common that is among the first ``|x| - ceil(3/4 |x|) + 1`` of x (x is asked by it) and the first ``|y| - ceil(6/7 |y|) + 1`` of y
+    (y is listed by it). So only documents with such a shingle meet, and of those only pairs with one document outside the
+    cell's largest component and one listed. Shingles of a single document come first and meet nothing: documents that
+    share a template, and are too unlike for a link, have their own words there, and meet nobody.
+    """
+    own = rest.select("group", "doc", "component", (F.col("component") != F.col("main")).alias("out"))
+    found = cut(rest.select("group", "doc", "payload").mapInArrow(tidied(_shingled), "group long, doc long, size long, shingle long"), "cell-shingles")
+    counts = _small(cut(found.groupBy("group", "shingle").agg(F.count("*").alias("n")).filter("n > 1"), "cell-counts"))
+    shared = found.join(counts, ["group", "shingle"]).groupBy("group", "doc", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("shared"))
+    alone, size = F.col("size") - F.size("shared"), F.col("size")
+    asked, listed = size - F.expr("(3 * size + 3) div 4") + 1 - alone, size - F.expr("(6 * size + 6) div 7") + 1 - alone
+    entries = shared.filter(asked > 0).select("group", "doc", F.posexplode(F.slice("shared", F.lit(1), asked.cast("int"))).alias("at", "s"), listed.alias("listed"))
+    entries = entries.select(F.xxhash64("group", "s.shingle").alias("key"), "group", "doc", (F.col("at") < F.col("listed")).alias("listed"))
+    entries = cut(entries.join(own, ["group", "doc"]).select("key", "doc", "component", "out", "listed"), "cell-prefixes")
+    many = lambda c: F.count_if(c)
+    out, listed = F.col("out"), F.col("listed")
+    groups = entries.groupBy("key").agg(
+        F.count("*").alias("n"), many(listed).alias("n_listed"), many(out & listed).alias("n_out_listed"), many(out & ~listed).alias("n_out_asked"),
+        F.bit_xor(F.xxhash64("doc", "listed")).alias("members"), (F.min("component") != F.max("component")).alias("open"),
+    )
+    groups = groups.filter("open and n_listed > 0 and n_out_listed + n_out_asked > 0").groupBy("n", "members").agg(F.min_by(F.struct("key", "n_listed", "n_out_listed", "n_out_asked"), "key").alias("g"))
+    groups = _small(cut(groups.select("g.*", "n"), "cell-prefix-groups"))
+    members = entries.join(groups, "key")
+    blocks = lambda n: F.greatest(F.ceil(F.col(n) / BLOCK), F.lit(1)).cast("int")
+
+    def beside(case: int, left, n_left: str, right, n_right: str) -> DataFrame:
+        """Each block of ``left`` beside each block of ``right``."""
+        own = members.filter((F.col("n") > BLOCK) & (F.col(n_left) > 0) & (F.col(n_right) > 0))
+        place = lambda n: F.pmod(F.xxhash64("doc", F.lit(case)), blocks(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+        sides = (own.filter(left).withColumn("a", place(n_left)).withColumn("b", every(n_right)), own.filter(right).withColumn("b", place(n_right)).withColumn("a", every(n_left)))
+        return sides[0].select("key", "a", "b", "doc", "component").unionByName(sides[1].select("key", "a", "b", "doc", "component")).withColumn("case", F.lit(case))
+
+    whole = members.filter(F.col("n") <= BLOCK).select("key", F.lit(0).alias("a"), F.lit(0).alias("b"), "doc", "component", F.lit(0).alias("case"))
+    dealt = whole.unionByName(beside(1, out & listed, "n_out_listed", F.lit(True), "n")).unionByName(beside(2, out & ~listed, "n_out_asked", listed, "n_listed"))
+    dealt = dealt.select(F.xxhash64("key", "case").alias("group"), "a", "b", "doc", "component")
+    return dealt.join(rest.select("doc", *data), "doc").select("group", "a", "b", "doc", *data, "component")
+
+
 def _once(keyed: DataFrame, *more) -> DataFrame:
     """Rows (row, group, ...) of buckets with several members, with their number n; of buckets with equal members one stays. ``more``: further conditions of a bucket."""
     holds = F.count("*") > 1
@@ -360,7 +427,7 @@ def links(nodes: DataFrame) -> DataFrame:
     rows = cut(rows, "cell-payloads")
     sizes = rows.groupBy("group").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
     rows = _placed(rows.join(_small(cut(sizes, "cell-sizes")), "group"), F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("s") / SHINGLES))).drop("m", "s")
-    first, late = _linked(rows, ["payload"], _confirmed)
+    first, late = _linked(rows, ["payload"], _confirmed, pairs=_prefix_pairs)
     # a cell that was one group is settled: its stars lead to its components' smallest documents
     settled = first.filter("tag = 1").select(F.col("u").alias("node"), F.col("v").alias("component"))
     if late is None:

@@ -14,7 +14,7 @@ without thresholds. The driver's input is bounded by ``max_rows``; the model (so
 reads every whole text.
 
 Defined results: empty and null texts have no terms and get the score of ``w0``; labels that are null are not used; a doc_id
-that is labelled twice is toxic if one label says so; rows that repeat a labelled doc_id are all fitted; with no labels, or
+that is labelled twice is toxic if one label says so; a labelled doc_id that several rows have is fitted once; with no labels, or
 one class only, every score is the smoothed rate of that class; repeated rows get equal scores; an empty table gives no
 rows; other columns, labels, lang, source and doc_id are never part of a score.
 """
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brightwire.llm.common import Bounded, cut, id_text, tidied
@@ -211,12 +211,20 @@ def fit_rows(at: np.ndarray, counts: np.ndarray, toxic: np.ndarray, k: int = 4)
     return Model(bias, {int(r): i for i, r in enumerate(live)}, w, v)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> Model:
-    """docs (doc_id, text); labels (doc_id, toxic): at most ``max_rows`` labelled doc_ids are used, with all their terms."""
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_terms: int = 24_000_000) -> Model:
+    """docs (doc_id, text); labels (doc_id, toxic): at most ``max_rows`` labelled doc_ids are used, with all their terms.
+
+    A doc_id is fitted once, by the text with the least hash if several rows have it. Documents are taken in the order of
+    their doc_id's hash while they have up to ``max_terms`` terms together, so the driver gets at most 4 bytes of each.
+    """
     chosen = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = cut(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows), "labels")
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", F.xxhash64("text").alias("tie"))  # max_rows rows of 12 bytes
-    held = cut(rows.mapInArrow(tidied(_found), "doc_id long, toxic int, tie long, found array<int>"), "labelled").orderBy("doc_id", "tie").toArrow()
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")  # max_rows rows of 12 bytes
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("tie"), "text")).alias("first")).select("doc_id", "first.text", "toxic", "first.tie")
+    found = cut(rows.mapInArrow(tidied(_found), "doc_id long, toxic int, tie long, found array<int>"), "labelled")
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # max_rows rows at most
+    taken = found.select("doc_id", F.sum(F.size("found")).over(before).alias("terms")).filter(F.col("terms") <= max_terms).select("doc_id")
+    held = found.join(F.broadcast(taken), "doc_id", "left_semi").orderBy("doc_id").toArrow()
     lists = held.column("found").combine_chunks()
     at, counts = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
     return fit_rows(at, counts, held.column("toxic").to_numpy())

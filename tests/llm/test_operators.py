@@ -928,3 +928,50 @@ def test_conversation_damage(spark):
         text = {1: "", 2: "Yes No"}.get(code, text)
         want += [(c, t, "user" if code == 4 else role, text, code == 0)] * (1 + (code == 3))
     assert got == sorted(want) and len(want) > 160
+
+
+def test_near_dup_of_a_template(spark, monkeypatch):
+    """Documents that share a passage, alike by half to nearly three quarters, some of them truly near: cells larger than a block."""
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    monkeypatch.setattr(near_dup, "PIVOTS", 2)
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(4000)}"
+    passage = [word() for _ in range(60)]
+    rows = []
+    for d in range(150):
+        own = [word() for _ in range(rng.choice([14, 18, 22, 40]))]
+        rows.append((d, " ".join(passage + own)))
+        if d % 9 == 0:
+            own[rng.randrange(len(own))] = word()
+            rows.append((1000 + d, " ".join(passage + own)))
+    rows += [(2000, " ".join(passage)), (2001, " ".join(passage[:50]))]
+    want = near_brute(rows)
+    prefix, used = near_dup._prefix_pairs, []
+    monkeypatch.setattr(near_dup, "_prefix_pairs", lambda rest, data: used.append(prefix(rest, data)) or used[-1])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_dup(docs(spark, *rows)).collect()}
+    assert got == want and len({c for _, c in want.values()}) > 20 and any(d != c for d, (_, c) in want.items())
+    assert used and used[0].agg(F.max("a"), F.max("b")).first() != (0, 0)  # groups of more than a block as well
+
+
+def test_forests_of_equal_sets():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 60, 400).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[k : k + 90], rng.integers(0, 1 << 60, 5).astype(np.uint64)])) for k in (0, 2, 4, 200, 203, 300)]
+    linked = {(i, j) for i in range(6) for j in range(i + 1, 6) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+    for own in (list(range(6)), [0, 0, 2, 3, 4, 5], [9] * 6):
+        forest = near_dup.exact_forest(sets, own)
+        union = near_dup.Union(6)
+        [union.join(i, own.index(own[i])) for i in range(6)]
+        assert all(pair in linked for pair in forest) and all(union.join(i, j) for i, j in forest)
+        assert all(not union.join(i, j) for i, j in linked)
+
+
+def test_a_repeated_labelled_row_is_fitted_once(spark):
+    rows = [(k, f"{'vile rude' if k % 2 else 'kind fair'} word{k} text") for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
+    once = toxicity.fit(common.id_text(docs(spark, *rows)), labels)
+    many = common.id_text(docs(spark, *rows, *rows[:3] * 400))
+    twice = toxicity.fit(many, labels)
+    assert once.terms == twice.terms and once.bias == twice.bias and (once.weights == twice.weights).all() and (once.factors == twice.factors).all()
+    few = toxicity.fit(many, labels, max_terms=150)
+    assert 0 < len(few.terms) < len(once.terms)

@@ -1,7 +1,8 @@
 """Line dedup: range-partitioned line hashes, secondary sort by document and position, keep bitmaps instead of text.
 
 1. Every document emits one row per distinct line key: 128-bit hash, document, positions. A key is the line without
-   white space at its ends, A-Z lower-cased; empty keys are never dropped.
+   white space at its ends, A-Z lower-cased; empty keys are never dropped. Rows repeated outright emit theirs once, with
+   their number.
 2. Rows are range-partitioned and sorted by (hash, document), so even a line that a third of all documents hold is dealt
    over many partitions. Each partition is streamed once: a run of equal hashes is settled as soon as it has
    ``min_docs`` documents, with at most that many rows in memory. Only a partition's first and last runs may go on
@@ -31,11 +32,13 @@ from brightwire.llm.common import cut, id_text, partitions
 WHITE = b" \t\n\x0b\x0c\r"
 #: Bitmaps are broadcast up to this size, 64 bytes a row beside their own bytes counted.
 BROADCAST_BYTES = 32_000_000
+#: Repeated rows are broadcast up to this number of different ones (24 bytes each).
+BROADCAST_REPEATS = 500_000
 _DROPPED = "doc_id long, rid long, pos binary, h1 long, h2 long, n int"
 
 
 def line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, rid, text) to a row for each distinct non-empty key of each document."""
+    """(doc_id, rid, text, times) to a row for each distinct non-empty key of each document."""
     import xxhash
 
     digest = xxhash.xxh3_128_digest
@@ -53,7 +56,7 @@ def line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
         take = pa.array(at, pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [docs.take(take), rids.take(take), pa.array(where, pa.binary()), pa.array(h[:, 0]), pa.array(h[:, 1])], ["doc_id", "rid", "pos", "h1", "h2"]
+            [docs.take(take), rids.take(take), pa.array(where, pa.binary()), pa.array(h[:, 0]), pa.array(h[:, 1]), batch.column(3).take(take)], ["doc_id", "rid", "pos", "h1", "h2", "times"]
         )
 
 
@@ -62,7 +65,7 @@ def _stream(min_docs: int, mode: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        key, pend, count, first = None, [], 0, True  # of the run that is open; pend: its rows while it isn't settled
+        key, pend, held, count, first = None, [], [], 0, True  # of the run that is open; pend: its rows while it isn't settled, held: how often each is there
 
         def rest(pos: bytes) -> bytes:
             return pos[4:]
@@ -75,7 +78,7 @@ def _stream(min_docs: int, mode: str):
             elif count >= min_docs:
                 out.append((None, None, None, *key, min_docs))
             else:
-                out.extend((*row, *key, 1) for row in pend)
+                out.extend((*row, *key, n) for row, n in zip(pend, held, strict=True))
 
         def flush() -> pa.RecordBatch:
             cols = zip(*out, strict=True) if out else [()] * 6
@@ -88,7 +91,7 @@ def _stream(min_docs: int, mode: str):
             n = batch.num_rows
             if not n:
                 continue
-            h1, h2 = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+            h1, h2, times = (batch.column(k).to_numpy() for k in (3, 4, 5))
             starts = np.flatnonzero(np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))))
             ends = np.append(starts[1:], n)
             doc, rid, pos = (batch.column(k).to_pylist() for k in range(3))
@@ -97,7 +100,7 @@ def _stream(min_docs: int, mode: str):
                 if now != key:
                     close(False)
                     first = key is None
-                    key, pend, count = now, [], 0
+                    key, pend, held, count = now, [], [], 0
                 if mode == "first":
                     if not count:
                         pend = [(doc[s], rid[s], pos[s])]
@@ -106,13 +109,14 @@ def _stream(min_docs: int, mode: str):
                     out.extend((doc[i], rid[i], pos[i], None, None, 0) for i in range(s + (not count), e))
                     count += e - s
                     continue
-                count += e - s
+                count += int(times[s:e].sum())
                 if count >= min_docs:
                     out.extend((*row, None, None, 0) for row in pend)
                     out.extend((doc[i], rid[i], pos[i], None, None, 0) for i in range(s, e))
-                    pend = []
+                    pend, held = [], []
                 else:
                     pend.extend((doc[i], rid[i], pos[i]) for i in range(s, e))
+                    held.extend(times[s:e].tolist())
             if out:
                 yield flush()
         close(True)
@@ -142,6 +146,18 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _once(docs: DataFrame, min_docs: int) -> DataFrame:
+    """``docs`` with ``times``, of rows repeated outright one; more than ``min_docs`` of them count as so many."""
+    repeated = cut(docs.groupBy("doc_id", "rid").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("d"), F.col("rid").alias("r"), "n"), "repeated-rows")
+    if repeated.isEmpty():
+        return docs.withColumn("times", F.lit(1))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("rid") == F.col("r"))
+    repeated = F.broadcast(repeated) if repeated.count() <= BROADCAST_REPEATS else repeated
+    alone = docs.join(repeated, same, "left_anti").withColumn("times", F.lit(1))
+    one = docs.join(repeated, same).groupBy("doc_id", "rid").agg(F.first("text").alias("text"), F.least(F.max("n"), F.lit(min_docs)).cast("int").alias("times"))
+    return alone.unionByName(one)
+
+
 def n_lines(text) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
 
@@ -152,7 +168,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, mode: str = "all", id_col: s
         raise ValueError("mode is 'all' or 'first', min_docs at least 1")
     docs = id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("rid"), "text")
     order = ["h1", "h2", "doc_id", "rid"]
-    keys = cut(docs.mapInArrow(line_keys, "doc_id long, rid long, pos binary, h1 long, h2 long"), "line-keys")
+    keys = cut(_once(docs, min_docs).mapInArrow(line_keys, "doc_id long, rid long, pos binary, h1 long, h2 long, times int"), "line-keys")
     dealt = keys.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
     seen = cut(dealt.mapInArrow(_stream(min_docs, mode), _DROPPED), "line-runs")
     edge, place = seen.filter("h1 is not null"), ["doc_id", "rid", "pos"]

@@ -973,5 +973,17 @@ def test_a_repeated_labelled_row_is_fitted_once(spark):
     many = common.id_text(docs(spark, *rows, *rows[:3] * 400))
     twice = toxicity.fit(many, labels)
     assert once.terms == twice.terms and once.bias == twice.bias and (once.weights == twice.weights).all() and (once.factors == twice.factors).all()
-    few = toxicity.fit(many, labels, max_terms=150)
-    assert 0 < len(few.terms) < len(once.terms)
+    assert toxicity.fit(many, labels, max_terms=300).bias != once.bias and not toxicity.fit(many, labels, max_terms=1).terms
+
+
+def test_line_dedup_of_a_repeated_row(spark, monkeypatch):
+    """One row many times, below and above the limit, beside others with its lines; repeats don't meet in a task."""
+    rows = [(1, "a\nb")] * 7 + [(2, "b\nc")] * 3 + [(3, "c\nd\nc")] * 12 + [(None, "e\nA")] * 4 + [(5, "lonely")]
+    held = Counter(x.lower() for _, t in rows for x in set(t.split("\n")))
+    want = Counter((d, len(t.split("\n")), sha("\n".join(x for x in t.split("\n") if held[x.lower()] < 10))) for d, t in rows)
+    df = docs(spark, *rows).repartition(5)
+    for limit in (line_dedup.BROADCAST_REPEATS, 0):
+        monkeypatch.setattr(line_dedup, "BROADCAST_REPEATS", limit)
+        got = Counter((r.doc_id, r.n_lines, sha(r.kept_text)) for r in line_dedup.apply_bitmaps(df, line_dedup.line_dedup(df, 10)).collect())
+        assert got == want
+    assert max(Counter(map(tuple, line_dedup._once(line_dedup.id_text(df).selectExpr("doc_id", "xxhash64(text) as rid", "text"), 10).select("doc_id", "times").collect())).values()) == 1

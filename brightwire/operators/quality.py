@@ -61,19 +61,19 @@ def source_quality(silver: DataFrame, feed: DataFrame, url_results: DataFrame, *
     )
 
 
-def _payload(field: str, kind: str) -> Column:
+def payload(field: str, kind: str) -> Column:
     return F.get_json_object("raw_payload", f"$.{field}").try_cast(kind)
 
 
 def run_counts(bronze: DataFrame) -> DataFrame:
     """One row per ingestion: accepted rows by column, else by payload, else by count."""
-    accepted = F.coalesce(F.max("bronze_run_accepted_row_count"), F.max(_payload("bronze_run_accepted_row_count", "long")), F.count("*"))
-    malformed = F.coalesce(F.max("bronze_run_malformed_ratio"), F.max(_payload("bronze_run_malformed_ratio", "double")), F.lit(0.0))
+    accepted = F.coalesce(F.max("bronze_run_accepted_row_count"), F.max(payload("bronze_run_accepted_row_count", "long")), F.count("*"))
+    malformed = F.coalesce(F.max("bronze_run_malformed_ratio"), F.max(payload("bronze_run_malformed_ratio", "double")), F.lit(0.0))
     return bronze.groupBy("ingestion_id").agg(
         F.count("*").alias("row_count"),
         accepted.alias("accepted_row_count"),
         malformed.alias("malformed_ratio"),
-        F.coalesce(F.max(_payload("bronze_run_malformed_ratio", "double")), F.lit(0.0)).alias("payload_malformed_ratio"),
+        F.coalesce(F.max(payload("bronze_run_malformed_ratio", "double")), F.lit(0.0)).alias("payload_malformed_ratio"),
         F.max("ingested_at").alias("latest_ingested_at"),
     )
 

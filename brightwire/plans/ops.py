@@ -20,6 +20,8 @@ TOP, CHANGED = 10, 20
 ARCHIVE_DAYS, DELETE_CAP = 45, 20_000
 STALE_HOURS, TOP_EXCLUSIONS = 18, 3
 WEAK_ROWS, WEAK_RATE = 5, 0.35
+#: Hex digits by which rows are counted before a sample of them is sorted.
+SLOT = 3
 SUSPICIOUS_HOST = r"^https?://(127\.|10\.|192\.168\.|169\.254\.|metadata(\.|/|:)|metadata\.google\.internal)"
 SUSPICIOUS_ADDRESS = r"^https?://[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
 
@@ -126,14 +128,26 @@ def sample_buckets(feed: DataFrame, silver: DataFrame, *, as_of: datetime, days:
     return rows.withColumn("benchmark_bucket", bucket).filter("benchmark_bucket is not null")
 
 
+def bottom(rows: DataFrame, stratum: str, order: Column, k: int, rank: str) -> DataFrame:
+    """The ``k`` rows of each stratum with the least ``order`` (hex digits of a hash), numbered by ``rank`` from 1.
+
+    Rows are counted by stratum and first ``SLOT`` digits, which merges as any count does; the slot in which a stratum's k-th
+    row lies bounds what is sorted, some k rows and a slot's worth of each stratum, never all rows.
+    """
+    rows = rows.withColumn("_order", order).withColumn("_slot", F.substring("_order", 1, SLOT))
+    counts = rows.groupBy(stratum, "_slot").agg(F.count("*").alias("_n"))  # 16 ** SLOT rows a stratum at most
+    upto = F.sum("_n").over(Window.partitionBy(stratum).orderBy("_slot"))
+    last = counts.withColumn("_before", upto - F.col("_n")).filter(F.col("_before") < k).groupBy(stratum).agg(F.max("_slot").alias("_last"))
+    near = rows.join(F.broadcast(last.withColumnRenamed(stratum, "_stratum")), (F.col(stratum) == F.col("_stratum")) & (F.col("_slot") <= F.col("_last")))
+    ranked = near.withColumn(rank, F.row_number().over(Window.partitionBy(stratum).orderBy("_order")).cast("long"))
+    return ranked.filter(F.col(rank) <= k).drop("_order", "_slot", "_stratum", "_last")
+
+
 def review_sample(feed: DataFrame, silver: DataFrame, *, as_of: datetime, days: int = 30, bucket_size: int = 20, seed: int | None = None) -> DataFrame:
-    """Up to ``bucket_size`` rows of each bucket: at random by ``seed``, or by a hash of article_id."""
-    order = F.sha2("article_id", 256) if seed is None else F.rand(seed)
-    rows = sample_buckets(feed, silver, as_of=as_of, days=days).withColumn("_order", order)
-    rows = rows.withColumn("bucket_rank", F.row_number().over(Window.partitionBy("benchmark_bucket").orderBy("_order"))).filter(F.col("bucket_rank") <= bucket_size)
-    return rows.select(
-        "benchmark_bucket", F.col("bucket_rank").cast("long").alias("bucket_rank"), "article_id", "source_record_id", "source_name", "source_domain", "serving_date", "happy_factor", "is_positive_feed_eligible", "exclusion_reason", "title", "url"
-    )
+    """Up to ``bucket_size`` rows of each of the few buckets, by a hash of article_id, with ``seed`` if given: the same rows each time."""
+    order = F.sha2("article_id" if seed is None else F.concat(F.lit(f"{seed}:"), "article_id"), 256)
+    rows = bottom(sample_buckets(feed, silver, as_of=as_of, days=days), "benchmark_bucket", order, bucket_size, "bucket_rank")
+    return rows.select("benchmark_bucket", "bucket_rank", "article_id", "source_record_id", "source_name", "source_domain", "serving_date", "happy_factor", "is_positive_feed_eligible", "exclusion_reason", "title", "url")
 
 
 # The daily report.

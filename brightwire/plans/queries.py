@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from brightwire.functions import text
 from brightwire.functions.times import instant, seen_at
 from brightwire.operators import feed, quality, rules, silver, url_health
-from brightwire.plans import checks, ops, serving
+from brightwire.plans import checks, ops, parts, serving
 from brightwire.sources import extract, fixtures, guard, store, window
 from brightwire.sources.fixtures import AS_OF
 
@@ -161,6 +161,27 @@ def _url_merge(t: Tables) -> DataFrame:
     return table.read()
 
 
+def _daily(t: Tables, *layers: str) -> parts.Parts:
+    """Parts of the layers: those of all days up to the 15th first, as earlier runs left them, then those of the days since, by a run that reads only these."""
+    found = parts.Parts(t.spark, store.scratch_path(t.spark, "parts"), t.bronze.schema["ingested_at"].dataType.simpleString())
+    for layer in layers:
+        rows, day = getattr(t, layer), parts.DAY_OF[layer]
+        layout = {"day_of": day} if day == "ingested_at" else {"partition_by": (day,)}
+        table = store.Table(t.spark, store.scratch_path(t.spark, layer), rows.schema, **layout)
+        table.replace(rows)
+        for first, last in ((date(2000, 1, 1), date(2024, 1, 14)), (date(2024, 1, 15), date(2024, 1, 15)), (date(2024, 1, 15), date(2100, 1, 1))):
+            found.refresh(layer, table, first, last)
+    return found
+
+
+def _sought(t: Tables) -> DataFrame:
+    """The third page of the brief, opened by the place where the second one ends."""
+    scope, size, order = serving.Scope(30), 10, serving.LEAST_OPTIMISTIC
+    end = serving.page_ends(t.feed, scope, size, order, as_of=AS_OF).filter("page = 2").first()
+    after = None if end is None else serving.Seek(end.happy_factor, end.seen_at, end.article_id)
+    return serving.brief_after(t.feed, scope, after, size, order, as_of=AS_OF)
+
+
 def _cached_columns(t: Tables) -> DataFrame:
     return store.introspect(t.feed)
 
@@ -315,6 +336,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "url_merge": _url_merge,
     # aggregates
     "agg_metrics": lambda t: quality.run_metrics(t.bronze, t.silver, t.feed, as_of=AS_OF),
+    "agg_metrics_parts": lambda t: parts.run_metrics(_daily(t, "bronze", "silver", "feed"), as_of=AS_OF),
     "agg_latest_run": lambda t: quality.latest_run(t.bronze),
     "agg_source_quality": lambda t: t.quality.drop("source_quality_tier", "source_quality_adjustment"),
     "agg_quality_tier": lambda t: t.quality.select("source_domain", "source_quality_tier", "source_quality_adjustment"),
@@ -336,6 +358,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     # order, limit, sets, predicates
     "srt_feed": lambda t: serving.feed_rows(t.feed, as_of=AS_OF, lookback_days=30, limit=100).select("article_id", "happy_factor", "serving_date"),
     "srt_brief": lambda t: serving.brief_rows(t.feed, serving.Scope(30), serving.Page(3, 10, serving.LEAST_OPTIMISTIC), as_of=AS_OF).select("article_id", "happy_factor"),
+    "srt_brief_seek": lambda t: _sought(t).select("article_id", "happy_factor"),
     "srt_changed": lambda t: ops.changed_rows(t.feed, t.shadow, t.silver, "newly_excluded"),
     "set_union": lambda t: serving.pulse(t.shadow),
     "prd_scope": lambda t: serving.in_scope(t.feed, SCOPE, AS_OF).select("article_id"),
@@ -349,6 +372,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "srv_geos": lambda t: serving.geography_options(t.feed, SCOPE, as_of=AS_OF),
     "srv_status": lambda t: serving.status(t.metrics),
     "srv_pulse": lambda t: serving.pulse(t.feed),
+    "srv_pulse_parts": lambda t: parts.pulse(_daily(t, "feed")),
     "srv_stage_snapshot": lambda t: serving.stage_snapshot(t.metrics, t.feed),
     "srv_trends": lambda t: serving.trends(t.metrics, serving.PIPELINE_TREND, "stage").select("audit_run_at", "run_label", "stage", "row_count"),
     "srv_cleanup_trend": lambda t: serving.trends(t.metrics, serving.CLEANUP_TREND, "bucket").select("audit_run_at", "run_label", "bucket", "row_count"),
@@ -386,7 +410,7 @@ def _reads(name: str) -> tuple[str, ...]:
         return ("silver", "feed", "urls", "quality", "shadow")
     if about == "chk":
         return ("bronze", "silver", "feed", "urls", "quality", "shadow", "metrics")
-    if name in ("agg_metrics", "agg_latest_run"):
+    if name in ("agg_metrics", "agg_metrics_parts", "agg_latest_run", "srv_pulse_parts"):
         return ("bronze", "silver", "feed")
     if name in ("win_runs", "srv_status", "srv_stage_snapshot", "srv_trends", "srv_cleanup_trend", "ops_report"):
         return ("silver", "feed", "metrics")

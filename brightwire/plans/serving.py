@@ -102,6 +102,42 @@ def brief_rows(feed: DataFrame, scope: Scope, page: Page, *, as_of: datetime) ->
     return available(in_scope(feed, scope, as_of).orderBy(*_order(happy)).offset(page.offset).limit(page.size), BRIEF_COLUMNS)
 
 
+def brief_rows_of(rows: DataFrame, page: Page) -> DataFrame:
+    """A page's worth of the first rows."""
+    happy = F.asc("happy_factor") if page.order == LEAST_OPTIMISTIC else F.desc("happy_factor")
+    return available(rows.orderBy(*_order(happy)).limit(page.size), BRIEF_COLUMNS)
+
+
+@dataclass(frozen=True)
+class Seek:
+    """The place of a row in the brief's order: what the next page begins behind."""
+
+    happy_factor: float
+    seen_at: datetime
+    article_id: str
+
+
+def brief_after(feed: DataFrame, scope: Scope, after: Seek | None, size: int = 10, order: str = MOST_OPTIMISTIC, *, as_of: datetime) -> DataFrame:
+    """The page behind ``after``, the first one without it. Rows of earlier pages are filtered in the scan, however many they are, and never sorted."""
+    page, rows = Page(1, size, order), in_scope(feed, scope, as_of)
+    if after is not None:
+        happy, seen = F.col("happy_factor"), seen_at()
+        at, kind = F.lit(after.seen_at), feed.schema["ingested_at"].dataType
+        later = (happy > after.happy_factor) if page.order == LEAST_OPTIMISTIC else (happy < after.happy_factor)
+        bound = (happy >= after.happy_factor) if page.order == LEAST_OPTIMISTIC else (happy <= after.happy_factor)
+        tied = (seen < at.cast(kind)) | ((seen == at.cast(kind)) & (F.col("article_id") < after.article_id))
+        rows = rows.filter(bound).filter(later | tied)
+    return brief_rows_of(rows, page)
+
+
+def page_ends(feed: DataFrame, scope: Scope, size: int = 10, order: str = MOST_OPTIMISTIC, *, as_of: datetime) -> DataFrame:
+    """page and the place (happy_factor, seen_at, article_id) of its last row, of every page: what ``brief_after`` needs to open any page directly."""
+    rows = in_scope(feed, scope, as_of).select("happy_factor", seen_at().alias("seen_at"), "article_id")
+    happy = F.asc("happy_factor") if order == LEAST_OPTIMISTIC else F.desc("happy_factor")
+    ranked = numbered(rows, [happy, F.desc("seen_at"), F.desc("article_id")], "place").filter(F.col("place") % size == 0)
+    return ranked.select((F.col("place") / size).cast("long").alias("page"), "happy_factor", "seen_at", "article_id")
+
+
 def scope_summary(feed: DataFrame, scope: Scope, *, as_of: datetime) -> DataFrame:
     return in_scope(feed, scope, as_of).agg(
         F.count("*").alias("row_count"),
@@ -146,7 +182,11 @@ def pulse(feed: DataFrame) -> DataFrame:
     The rows are first counted by (eligible, reason, bucket), which a handful of groups hold; the sections are made of those.
     """
     label, order = bucket_of(F.col("happy_factor"))
-    counts = feed.groupBy(F.col("is_positive_feed_eligible").alias("eligible"), F.col("exclusion_reason").alias("reason"), label.alias("label"), order.alias("place")).agg(F.count("*").alias("n"))
+    return pulse_of(feed.groupBy(F.col("is_positive_feed_eligible").alias("eligible"), F.col("exclusion_reason").alias("reason"), label.alias("label"), order.alias("place")).agg(F.count("*").alias("n")))
+
+
+def pulse_of(counts: DataFrame) -> DataFrame:
+    """The sections, of counts n by (eligible, reason, label, place)."""
     total = lambda kind, bucket, place: F.struct(F.lit(kind).alias("section"), bucket.cast("string").alias("bucket"), place.cast("int").alias("bucket_order"))
     none = F.lit(0)
     tags = F.array(
@@ -156,7 +196,7 @@ def pulse(feed: DataFrame) -> DataFrame:
     )
     tagged = counts.select(F.explode(tags).alias("t"), "n", "eligible").filter("t.section != 'exclusion' or not eligible").filter("t.section != 'summary' or t.bucket is not null")
     found = tagged.groupBy("t.section", "t.bucket", "t.bucket_order").agg(F.sum("n").alias("row_count"))
-    both = feed.sparkSession.createDataFrame([("summary", b, 0, 0) for b in ("eligible_row_count", "ineligible_row_count")], "section string, bucket string, bucket_order int, row_count long")
+    both = counts.sparkSession.createDataFrame([("summary", b, 0, 0) for b in ("eligible_row_count", "ineligible_row_count")], "section string, bucket string, bucket_order int, row_count long")
     return found.unionByName(both).groupBy("section", "bucket", "bucket_order").agg(F.sum("row_count").alias("row_count"))
 
 
@@ -244,12 +284,17 @@ def sort_rows(rows: DataFrame, order: str) -> DataFrame:
 
 
 def ranked_rows(rows: DataFrame, order: str) -> DataFrame:
-    """Every row with its place in a display order, ``sort_rank``, from 1.
+    """Every row with its place in a display order, ``sort_rank``, from 1."""
+    return numbered(rows, display_order(order), "sort_rank")
+
+
+def numbered(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """Every row with its place in the order, from 1.
 
     Rows are dealt by ranges of the order and numbered within their range; a range begins after the rows of those before it,
     so no task sees all rows. The ranges are written once, since dealing the same rows again may set other bounds.
     """
-    by, bits = display_order(order), 33  # the lower bits of Spark's increasing number count within a partition
+    bits = 33  # the lower bits of Spark's increasing number count within a partition
     dealt = cut(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "ranked")
     dealt = dealt.withColumn("_range", F.shiftright("_at", bits))
     starts, n = [], 0
@@ -258,7 +303,7 @@ def ranked_rows(rows: DataFrame, order: str) -> DataFrame:
         n += r[1]
     starts = rows.sparkSession.createDataFrame(starts, "_range long, _start long")
     within = F.col("_at").bitwiseAND((1 << bits) - 1)
-    return dealt.join(F.broadcast(starts), "_range").withColumn("sort_rank", F.col("_start") + within + 1).drop("_at", "_range", "_start")
+    return dealt.join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + within + 1).drop("_at", "_range", "_start")
 
 
 def visible_stories(rows: DataFrame, order: str, *keep_first: Column) -> DataFrame:

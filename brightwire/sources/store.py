@@ -251,6 +251,19 @@ class Table:
         whole, part = [r.file for r in old if r.whole], [r.file for r in old if not r.whole]
         return sum(r.rows for r in old) - self._rewrite(now, part, lambda rows: rows.filter(~F.coalesce(F.col(column) < at, F.lit(False))), gone=whole)
 
+    def replace_range(self, column: str, low, high, df: DataFrame) -> list[str]:
+        """``df`` takes the place of the rows whose ``column``, one of ``stats``, is from ``low`` to ``high``, in one change; the files rewritten for it."""
+        found, now, kind = self._add(df)[1], self.manifest(), self.schema[column].dataType
+        if now is None:
+            self._commit(found)
+            return []
+        least, most = F.lit(low).cast(kind), F.lit(high).cast(kind)
+        inside = (F.col(f"low_{column}") >= least) & (F.col(f"high_{column}") <= most) & (F.col(f"nulls_{column}") == 0)
+        old = now.filter((F.col(f"high_{column}") >= least) & (F.col(f"low_{column}") <= most)).select("file", inside.alias("inside")).collect()
+        part = [r.file for r in old if not r.inside]
+        self._rewrite(now, part, lambda rows: rows.filter(~F.coalesce(F.col(column).between(least, most), F.lit(False))), found, [r.file for r in old if r.inside])
+        return part
+
     def compact(self, below: int = 32_000_000) -> int:
         """Files of fewer bytes than ``below`` are written anew together; how many they were. Appends leave such files."""
         now = self.manifest()

@@ -6,7 +6,7 @@ Everything is a column expression but HTML unescaping and, if a detector is give
 from __future__ import annotations
 
 import html
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
@@ -154,19 +154,20 @@ def infer_language(title: Column, detector: Detector | None) -> Column:
     if detector is None:
         return F.lit(None).cast("string")
 
+    def one(text: str | None) -> str | None:
+        words = " ".join((text or "").split())
+        if len(words) < MIN_TITLE:
+            return None
+        try:
+            found = detector(words)
+        except Exception:  # a detector's failure is no finding
+            return None
+        return found[0] if found and found[1] >= MIN_CONFIDENCE else None
+
     @F.pandas_udf("string")
-    def infer(titles: pd.Series) -> pd.Series:
-        def one(text: str | None) -> str | None:
-            words = " ".join((text or "").split())
-            if len(words) < MIN_TITLE:
-                return None
-            try:
-                found = detector(words)
-            except Exception:  # a detector's failure is no finding
-                return None
-            return found[0] if found and found[1] >= MIN_CONFIDENCE else None
-
-        return titles.map(one)
+    def infer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for titles in batches:
+            yield titles.map(one)
 
     return language_alpha2(infer(title))
 

@@ -24,7 +24,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from brightwire.llm.common import Bounded, id_text
 
@@ -259,6 +259,38 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(_decoded(path), "doc_id long, data binary")
 
 
+def _ranges(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = coder(path)
+        for batch in batches:
+            rows = []
+            for ids, offsets, counts, first, last in zip(*(batch.column(k).to_pylist() for k in range(1, 6)), strict=True):
+                first, last = max(0, min(first, len(ids))), max(0, min(last, len(ids)))
+                if first >= last:
+                    rows.append((b"", None, None))
+                    continue
+                ends = np.cumsum(counts)  # ids up to the end of each pre-token
+                a, b = np.searchsorted(ends, [first, last - 1], "right").tolist()
+                before = int(ends[a] - counts[a])
+                head = own.decode(ids[before:first])  # of the first pre-token, what lies before the range
+                begin = offsets[a] + len(head.decode(errors="ignore"))
+                rows.append((own.decode(ids[first:last]), begin, offsets[b + 1] if b + 1 < len(offsets) else None))
+            data, begin, end = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary()), pa.array(begin, pa.int64()), pa.array(end, pa.int64())], ["doc_id", "data", "begin", "upto"])
+
+    return run
+
+
+def decode_range(encoded: DataFrame, path: str, first: Column, last: Column) -> DataFrame:
+    """doc_id, data, begin, upto of the ids from ``first`` up to before ``last`` (columns of ``encoded``) of each document.
+
+    data: the bytes of these ids only. begin: the character in which they begin, by the offset of its pre-token; upto: where the last pre-token
+    that they reach ends (null at the text's end). Ids beyond the ends are left out; an empty range has no bytes and null places.
+    """
+    rows = encoded.select("doc_id", "ids", "offsets", "piece_ids", first.cast("int").alias("first"), last.cast("int").alias("last"))
+    return rows.mapInArrow(_ranges(path), "doc_id long, data binary, begin long, upto long")
+
+
 def _digested(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)

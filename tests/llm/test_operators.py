@@ -987,3 +987,22 @@ def test_line_dedup_of_a_repeated_row(spark, monkeypatch):
         got = Counter((r.doc_id, r.n_lines, sha(r.kept_text)) for r in line_dedup.apply_bitmaps(df, line_dedup.line_dedup(df, 10)).collect())
         assert got == want
     assert max(Counter(map(tuple, line_dedup._once(line_dedup.id_text(df).selectExpr("doc_id", "xxhash64(text) as rid", "text"), 10).select("doc_id", "times").collect())).values()) == 1
+
+
+def test_a_range_of_ids_is_decoded_by_offsets(spark):
+    path = queries.vocabulary("byte_bpe_50k.tiktoken")
+    rows = [r for r in sample(seed=9, n=30) if r[0] is not None]
+    encoded = byte_bpe.encode_texts(docs(spark, *rows), path)
+    text, ids = dict(texts(rows)), {r.doc_id: r.ids for r in encoded.collect()}
+    own = byte_bpe.coder(path)
+    for first, last in ((0, 5), (3, 9), (2, 3), (5, 10**6), (10**6, 10**7), (4, 4), (-3, 2)):
+        for r in byte_bpe.decode_range(encoded, path, F.lit(first), F.lit(last)).collect():
+            a, b = max(0, first), max(0, last)
+            assert bytes(r.data) == own.decode(ids[r.doc_id][a:b])
+            if not ids[r.doc_id][a:b]:
+                assert (r.begin, r.upto) == (None, None)
+                continue
+            before = len(own.decode(ids[r.doc_id][:a]).decode(errors="ignore"))
+            assert r.begin == before and text[r.doc_id][r.begin : r.upto].encode().find(bytes(r.data)) in (0, *range(-1, 4))
+            if bytes(r.data).decode(errors="ignore").encode() == bytes(r.data):
+                assert text[r.doc_id][r.begin :].encode().startswith(bytes(r.data))

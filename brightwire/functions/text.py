@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns that must match what the feed's scores are defined by.
 VALID_URL = r"(?d)^[a-z0-9.-]+(?::[0-9]+)?(/.*)?\z"
 PUNCTUATION_BAIT = r"([!?]{2,}|\.{3,})"
 GALLERY_BAIT = r"\b(photo gallery|gallery|slideshow|photos|watch|live updates?|live blog)\b"

@@ -241,9 +241,13 @@ def summarize(rows: DataFrame) -> DataFrame:
     )
 
 
+# What a story's title loses before it is compared, in order.
+STORY_TITLE = ((r"\s+\|\s+[^|]+\z", ""), (r"(?U)\b\d{4,}\b", " "), (r"(?U)[^\w\s]", " "), (r"(?U)\s+", " "))
+
+
 def story_title(title: Column) -> Column:
     out = F.lower(strip(F.coalesce(title, F.lit(""))))
-    for pattern, other in ((r"\s+\|\s+[^|]+\z", ""), (r"(?U)\b\d{4,}\b", " "), (r"(?U)[^\w\s]", " "), (r"(?U)\s+", " ")):
+    for pattern, other in STORY_TITLE:
         out = F.regexp_replace(out, pattern, other)
     return strip(out)
 

@@ -14,11 +14,10 @@
 
 A bucket of up to ``BUCKET`` documents, and a cell of up to ``BLOCK`` documents and ``SHINGLES`` shingles, is compared
 whole. A larger one is first compared block by block, every block beside the same ``PIVOTS`` documents, which joins most of
-a large group of near copies in linear work. Where documents stay outside a bucket's largest component (a passage that
-many unlike documents share), the bucket is split by the keys of its members' other chunks: by 3. its pairs meet again in
-one of those smaller buckets, so the rows are linear in its members. Only what is large and unlinked even there is compared
-block against block. Where documents stay outside a cell's largest component, prefix filtering finds the documents that
-may still be linked (``_prefix_pairs``), so documents of one template that are too unlike for links don't all meet.
+a large group of near copies in linear work. Where documents stay outside the largest component (a passage or a template
+that many unlike documents share), prefix filtering on full sets finds the documents that may still be linked
+(``_prefix_pairs``): those of a bucket are then joined by their signatures, those of a cell by their sets. So nothing large
+is compared block against block but documents that share their rare shingles.
 
 Defined results: null and empty texts and texts without words have an empty set and are linked with nothing; a document
 with fewer than five words has one shingle, all its words; rows with a null doc_id are linked with nothing (component
@@ -281,14 +280,13 @@ def _placed(rows: DataFrame, blocks) -> DataFrame:
 
 def _linked(
     rows: DataFrame, data: list[str], work: Callable[[pa.Table], list[tuple[int, int]]],
-    split: Callable[[DataFrame, DataFrame], DataFrame] | None = None, pairs: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+    pairs: Callable[[DataFrame, list[str]], DataFrame],
 ) -> tuple[DataFrame, DataFrame | None]:
     """Stars (u, v, tag) that join all documents of each group which ``work`` links.
 
     A group of one block is done at once (tag 1). Of larger ones every block is done beside the group's pivots; then the
-    groups in which some documents are outside the largest component go through ``split``, which gives smaller ones, or
-    through ``pairs``, which gives the pairs of blocks (a, b) that are left to do: all of those documents beside all blocks,
-    if not told otherwise. The second table is that pass's stars, None where no group is large.
+    groups in which some documents are ``out``side the largest component go through ``pairs``, which gives the pairs of
+    blocks (a, b) that are left to do. The second table is that pass's stars, None where no group is large.
     """
     plain = ["group", "block", "doc", *data]
     large = cut(rows.filter("blocks > 1"), "large-groups")
@@ -305,10 +303,8 @@ def _linked(
     counts = rest.groupBy("group", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("group").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1").drop("parts")
     main = _small(cut(main, "large-main"))
-    if split is None:
-        return first, cut(_by_group((pairs or _outside)(rest.join(main, "group"), data), ["group", "a", "b"], work), "late-links")
-    smaller, late = _linked(split(rest, main), [*data, "component"], work)
-    return first, smaller if late is None else smaller.unionByName(late)
+    rest = rest.join(main, "group").withColumn("out", F.col("component") != F.col("main")).drop("main")
+    return first, cut(_by_group(pairs(rest, data), ["group", "a", "b"], work), "late-links")
 
 
 def _pivots(large: DataFrame, data: list[str]) -> DataFrame:
@@ -319,16 +315,6 @@ def _pivots(large: DataFrame, data: list[str]) -> DataFrame:
     return others.select("group", F.col("other").alias("block"), "blocks", "doc", *data)
 
 
-def _outside(rest: DataFrame, data: list[str]) -> DataFrame:
-    """Pairs of blocks: those outside the largest component (block a) beside all of each block b."""
-    out = F.col("component") != F.col("main")
-    columns = ["group", "a", "b", "doc", *(c for c in data if c != "component"), "component"]
-    others = rest.filter(out).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("a", F.col("block")).select(*columns)
-    homes = rest.filter(out).select("group", F.col("block").alias("a")).distinct()
-    every = rest.join(homes, "group").withColumn("b", F.col("block")).filter((F.col("a") != F.col("b")) | ~out).select(*columns)
-    return others.unionByName(every)
-
-
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(group, doc, payload) to a row for each shingle, with the size of the document's set."""
     import zstandard
@@ -346,23 +332,23 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefix_pairs(rest: DataFrame, data: list[str]) -> DataFrame:
-    """The pairs of blocks left to do in large cells, by prefix filtering on full sets.
+    """The pairs of blocks left to do in large groups, by prefix filtering on full sets (``payload``).
 
-    A document's shingles are ordered by how many documents of the cell have them. Two linked sets, y not larger than x, have
+    A document's shingles are ordered by how many documents of the group have them. Two linked sets, y not larger than x, have
     one in common that is among the first ``|x| - ceil(3/4 |x|) + 1`` of x (x is asked by it) and the first ``|y| - ceil(6/7 |y|) + 1`` of y
     (y is listed by it). So only documents with such a shingle meet, and of those only pairs with one document outside the
-    cell's largest component and one listed. Shingles of a single document come first and meet nothing: documents that
+    group's largest component and one listed. Shingles of a single document come first and meet nothing: documents that
     share a template, and are too unlike for a link, have their own words there, and meet nobody.
     """
-    own = rest.select("group", "doc", "component", (F.col("component") != F.col("main")).alias("out"))
-    found = cut(rest.select("group", "doc", "payload").mapInArrow(tidied(_shingled), "group long, doc long, size long, shingle long"), "cell-shingles")
-    counts = _small(cut(found.groupBy("group", "shingle").agg(F.count("*").alias("n")).filter("n > 1"), "cell-counts"))
+    own = rest.groupBy("group", "doc").agg(F.first("component").alias("component"), F.max("out").alias("out"))
+    found = cut(rest.select("group", "doc", "payload").mapInArrow(tidied(_shingled), "group long, doc long, size long, shingle long"), "rest-shingles")
+    counts = _small(cut(found.groupBy("group", "shingle").agg(F.count("*").alias("n")).filter("n > 1"), "rest-counts"))
     shared = found.join(counts, ["group", "shingle"]).groupBy("group", "doc", "size").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("shared"))
     alone, size = F.col("size") - F.size("shared"), F.col("size")
     asked, listed = size - F.expr("(3 * size + 3) div 4") + 1 - alone, size - F.expr("(6 * size + 6) div 7") + 1 - alone
     entries = shared.filter(asked > 0).select("group", "doc", F.posexplode(F.slice("shared", F.lit(1), asked.cast("int"))).alias("at", "s"), listed.alias("listed"))
     entries = entries.select(F.xxhash64("group", "s.shingle").alias("key"), "group", "doc", (F.col("at") < F.col("listed")).alias("listed"))
-    entries = cut(entries.join(own, ["group", "doc"]).select("key", "doc", "component", "out", "listed"), "cell-prefixes")
+    entries = cut(entries.join(own, ["group", "doc"]).select("key", "doc", "component", "out", "listed"), "prefixes")
     many = lambda c: F.count_if(c)
     out, listed = F.col("out"), F.col("listed")
     groups = entries.groupBy("key").agg(
@@ -370,7 +356,7 @@ def _prefix_pairs(rest: DataFrame, data: list[str]) -> DataFrame:
         F.bit_xor(F.xxhash64("doc", "listed")).alias("members"), (F.min("component") != F.max("component")).alias("open"),
     )
     groups = groups.filter("open and n_listed > 0 and n_out_listed + n_out_asked > 0").groupBy("n", "members").agg(F.min_by(F.struct("key", "n_listed", "n_out_listed", "n_out_asked"), "key").alias("g"))
-    groups = _small(cut(groups.select("g.*", "n"), "cell-prefix-groups"))
+    groups = _small(cut(groups.select("g.*", "n"), "prefix-groups"))
     members = entries.join(groups, "key")
     blocks = lambda n: F.greatest(F.ceil(F.col(n) / BLOCK), F.lit(1)).cast("int")
 
@@ -388,35 +374,28 @@ def _prefix_pairs(rest: DataFrame, data: list[str]) -> DataFrame:
     return dealt.join(rest.select("doc", *data), "doc").select("group", "a", "b", "doc", *data, "component")
 
 
-def _once(keyed: DataFrame, *more) -> DataFrame:
-    """Rows (row, group, ...) of buckets with several members, with their number n; of buckets with equal members one stays. ``more``: further conditions of a bucket."""
-    holds = F.count("*") > 1
-    for condition in more:
-        holds = holds & condition
-    buckets = keyed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("rows"), holds.alias("holds")).filter("holds")
+def _once(keyed: DataFrame) -> DataFrame:
+    """(group, n) of the buckets (row, group) with several members; of buckets with equal members one stays."""
+    buckets = keyed.groupBy("group").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("rows")).filter("n > 1")
     return _small(cut(buckets.groupBy("n", "rows").agg(F.min("group").alias("group")).select("group", "n"), "buckets"))
 
 
 def cells(nodes: DataFrame) -> DataFrame:
-    """(doc, cell) of the nodes (doc, row, n_shingles, sig, keys) that may have links: components of near signatures."""
-    chunk_of = F.array(*map(F.lit, CHUNK_OF.tolist()))
-    chunk = F.get(chunk_of, F.col("at")).alias("chunk")
-    keyed = nodes.select("doc", "row", F.posexplode("keys").alias("at", "group"))
-    members = cut(keyed.join(_once(keyed), "group").select("group", "doc", "row", "n", chunk), "bucket-members")
+    """(doc, cell) of the nodes (doc, row, n_shingles, sig, keys, payload) that may have links: components of near signatures."""
+    keyed = nodes.select("doc", "row", F.explode("keys").alias("group"))
+    members = cut(keyed.join(_once(keyed), "group").select("group", "doc", "row", "n"), "bucket-members")
     near = nodes.join(_small(cut(members.select("row").distinct(), "bucket-rows")), "row", "left_semi")
-    near = cut(near.select("row", "n_shingles", "sig", "keys"), "bucket-nodes")
-
-    def split(rest: DataFrame, main: DataFrame) -> DataFrame:
-        """Smaller buckets, by the keys of other chunks; those of one component are done."""
-        own = cut(rest.join(main.select("group"), "group", "left_semi"), "split-rows")
-        keys = near.select("row", "keys").join(_small(cut(own.select("row").distinct(), "split-nodes")), "row", "left_semi")
-        own = own.join(keys, "row")
-        own = own.withColumnRenamed("group", "outer").select("*", F.posexplode("keys").alias("at", "key")).filter(chunk != F.col("chunk")).drop("keys", "at", "blocks", "block")
-        own = own.withColumn("group", F.xxhash64("outer", "key")).drop("outer", "key")
-        return _placed(own.join(_once(own, F.min("component") != F.max("component")), "group"), F.ceil(F.col("n") / BUCKET)).drop("n")
-
-    rows = _placed(members, F.ceil(F.col("n") / BUCKET)).drop("n").join(near.drop("keys"), "row")
-    first, late = _linked(rows, ["row", "chunk", "n_shingles", "sig"], _signature_forest, split)
+    near = cut(near.select("row", "n_shingles", "sig"), "bucket-nodes")
+
+    def left(rest: DataFrame, data: list[str]) -> DataFrame:
+        """Documents of all buckets left open as one group: each is in many buckets, and is looked at once."""
+        same = [F.first(c).alias(c) for c in ("doc", "component", "n_shingles", "sig")]
+        own = cut(rest.groupBy("row").agg(*same, F.max("out").alias("out")), "open-nodes")
+        sets = nodes.select("row", "payload").join(_small(own), "row").withColumn("group", F.lit(0).cast("long"))
+        return _prefix_pairs(cut(sets, "open-sets"), data)
+
+    rows = _placed(members, F.ceil(F.col("n") / BUCKET)).drop("n").join(near, "row")
+    first, late = _linked(rows, ["row", "n_shingles", "sig"], _signature_forest, left)
     forest = first if late is None else first.unionByName(late)
     return _with_roots(connected_components(forest)).select(F.col("node").alias("doc"), F.col("component").alias("cell"))
 
@@ -427,7 +406,7 @@ def links(nodes: DataFrame) -> DataFrame:
     rows = cut(rows, "cell-payloads")
     sizes = rows.groupBy("group").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("s"))
     rows = _placed(rows.join(_small(cut(sizes, "cell-sizes")), "group"), F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("s") / SHINGLES))).drop("m", "s")
-    first, late = _linked(rows, ["payload"], _confirmed, pairs=_prefix_pairs)
+    first, late = _linked(rows, ["payload"], _confirmed, _prefix_pairs)
     # a cell that was one group is settled: its stars lead to its components' smallest documents
     settled = first.filter("tag = 1").select(F.col("u").alias("node"), F.col("v").alias("component"))
     if late is None:

@@ -386,8 +386,8 @@ def test_near_dup_joins_the_texts_of_a_document(spark):
     assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (5, 1), (6, 1), (8, 8)}
 
 
-def test_near_dup_splits_buckets_of_unlike_documents(spark, monkeypatch):
-    """A passage that unlike documents share fills large buckets, whose near copies are found in the split ones."""
+def test_near_dup_of_large_buckets_of_unlike_documents(spark, monkeypatch):
+    """A passage that unlike documents share fills large buckets, whose near copies are found by their rare shingles."""
     monkeypatch.setattr(near_dup, "BUCKET", 8)
     monkeypatch.setattr(near_dup, "PIVOTS", 1)
     rng = random.Random(12)
@@ -399,10 +399,14 @@ def test_near_dup_splits_buckets_of_unlike_documents(spark, monkeypatch):
         if k % 9 == 0:
             own[70] = "changed"
             rows += [(3 * k + 1, " ".join(own))]
-    split = []
-    monkeypatch.setattr(near_dup, "_outside", lambda *a, own=near_dup._outside: (split.append(1), own(*a))[1])
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_dup(docs(spark, *rows)).collect()}
-    assert got == near_brute(rows) and any(d != c for d, (_, c) in got.items())
+    rows += [(1001, "own words of a text with two texts"), (1001, rows[0][1])]
+    prefix, used = near_dup._prefix_pairs, []
+    monkeypatch.setattr(near_dup, "_prefix_pairs", lambda rest, data: used.append(data) or prefix(rest, data))
+    for broadcast in (near_dup.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(near_dup, "BROADCAST_ROWS", broadcast)
+        got = {r.doc_id: r.component_id for r in near_dup.near_dup(docs(spark, *rows)).collect()}
+        assert got == {d: c for d, (_, c) in near_brute(rows[:-2]).items()} | {1001: 0} and any(d != c for d, c in got.items())
+    assert any("sig" in data for data in used)
 
 
 def test_keys_meet_within_the_distance():

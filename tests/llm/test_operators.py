@@ -211,6 +211,18 @@ def test_url_filter_repeated_rows_and_long_urls(spark):
     assert got == Counter((n, *brute_url(u, rules)) for n, u in rows)
 
 
+def test_url_filter_by_the_rules_of_its_contract(spark, tmp_path):
+    """The verdicts by hand, of the query's own rules: .net's German pages are allowed, example.net's eighth ones blocked."""
+    want = {
+        "http://a.com/en/1": ("com/en/", "block"), "http://example.com/en/7": ("example.com/en/7", "allow"), "http://example.com/en/6": ("com/en/", "block"),
+        "http://a.net/de/8": ("net/de/", "allow"), "http://x.example.net/de/85": ("example.net/de/8", "block"), "http://example.net/de/7": ("net/de/", "allow"),
+        "http://a.org/es/1": ("org/es/", "block"), "http://a.org/en/1": (None, "allow"),
+    }
+    spark.createDataFrame(list(enumerate(want)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: (r.rule, r.verdict) for r in queries.op3_url_filter(spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(want.values()))
+
+
 def test_rule_syntax():
     with pytest.raises(ValueError):
         url_filter.parse_rule("deny", "a.com")

@@ -8,6 +8,9 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: HotSpot's own limit; beyond it a method is never compiled.
+METHOD_BYTES = 8_000
+
 _shipped: set[str] = set()
 
 
@@ -25,6 +28,12 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(str(target))
 
 
+def limit_methods(spark: SparkSession) -> None:
+    """Stages whose generated method is larger than what HotSpot compiles run as the operators' own, smaller methods instead of being interpreted."""
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) > METHOD_BYTES:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(METHOD_BYTES))
+
+
 def build_session(app: str = "brightwire", **conf: str) -> SparkSession:
     """Shuffle partitions, memory and master are left to the cluster's own settings; ``conf`` adds to them."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")

@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 SIZES = (1, 2, 3)
 #: Most texts of each language that are learnt from, and most n-grams that a profile keeps.
 TEXTS, GRAMS = 2_000, 3_000
+#: Bits of the hash by which texts are counted before any is moved.
+SLOT_BITS = 12
 
 
 def letters(text: Column) -> Column:
@@ -55,14 +57,27 @@ def _runs(n: int) -> Column:
     return F.when(F.length("t") >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substring("t", i, n))).otherwise(F.array())
 
 
+def least_texts(rows: DataFrame, texts: int) -> DataFrame:
+    """(language, hash, copies, text) that hold each language's ``texts`` least hashes: each text once, with the number of its copies.
+
+    Rows are counted by language and slot, the hash's first bits; up to the slot of a language's last text there are some
+    ``texts`` texts and a slot's worth, so only these are grouped and sorted, whatever the size of the table is.
+    """
+    rows = rows.withColumn("hash", F.xxhash64("text")).withColumn("slot", F.shiftright("hash", 64 - SLOT_BITS))
+    counts = rows.groupBy("language", "slot").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("language").orderBy("slot"))  # 2 ** SLOT_BITS rows a language at most
+    last = counts.withColumn("before", upto - F.col("n")).filter(F.col("before") < texts).groupBy("language").agg(F.max("slot").alias("last"))
+    return rows.join(last, "language").filter("slot <= last").groupBy("language", "hash").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
+
+
 def gram_counts(rows: DataFrame, text: str, language: str, texts: int = TEXTS) -> DataFrame:
     """(language, gram, n) over up to ``texts`` texts of each language, those with the least hashes, whole."""
     rows = rows.select(F.col(language).alias("language"), F.col(text).alias("text")).filter("language is not null and text is not null")
-    order = F.xxhash64("text")
-    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("language").orderBy(order))).filter(F.col("k") <= texts)
-    rows = rows.select("language", letters(F.col("text")).alias("t")).filter("trim(t) <> ''")
+    before = F.sum("copies").over(Window.partitionBy("language").orderBy("hash")) - F.col("copies")
+    rows = least_texts(rows, texts).withColumn("times", F.least("copies", F.lit(texts) - before)).filter("times > 0")
+    rows = rows.select("language", "times", letters(F.col("text")).alias("t")).filter("trim(t) <> ''")
     runs = [_runs(n) for n in SIZES]
-    return rows.select("language", F.explode(F.concat(*runs)).alias("gram")).groupBy("language", "gram").agg(F.count("*").alias("n"))
+    return rows.select("language", "times", F.explode(F.concat(*runs)).alias("gram")).groupBy("language", "gram").agg(F.sum("times").alias("n"))
 
 
 def fit(rows: DataFrame, text: str = "text", language: str = "lang", texts: int = TEXTS, grams: int = GRAMS) -> Profiles:

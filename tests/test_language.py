@@ -40,6 +40,20 @@ def test_profiles_detect(spark):
     assert [r.x for r in titles.select(extract.infer_language(F.col("t"), profiles).alias("x")).collect()] == ["en", None, None, None]
 
 
+def test_least_texts_are_few_rows_and_the_same_texts(spark):
+    """Of 3,000 texts and 20,000 copies of one, some more than those learnt from are grouped and sorted; they are those with the least hashes, copies counted."""
+    df = spark.range(23_000).select(F.lit("en").alias("language"), F.when(F.col("id") < 3_000, F.concat(F.lit("text x"), F.conv("id", 10, 26))).otherwise("the same").alias("text"))
+    hashed = sorted((r.h, r.text) for r in df.select(F.xxhash64("text").alias("h"), "text").collect())
+    same = next(k for k, (_, text) in enumerate(hashed) if text == "the same")
+    for texts in (1, 50, same + 100):
+        want = Counter()
+        for _, text in hashed[:texts]:
+            want.update(language.grams_of(text))
+        assert language.least_texts(df, texts).count() <= texts + 50
+        got = {r.gram: r.n for r in language.gram_counts(df.withColumnRenamed("language", "lang"), "text", "lang", texts).collect()}
+        assert {g: n for g, n in got.items() if g.isascii() and not any(c.isdigit() for c in g)} == want
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="needs the driver's tables")
 def test_held_out_documents(spark):
     rows = queries.queries()["ext_lang_infer"](spark, "/root/testdata/sf0.001").collect()

@@ -1,6 +1,7 @@
 """Plans that stay in proportion at size: what is made once a row, and what stays small."""
 
 import __spark_entry__
+from brightwire.operators import silver
 from brightwire.session import METHOD_BYTES
 from brightwire.sources import fixtures
 
@@ -18,3 +19,13 @@ def test_raw_rows_are_made_once_and_methods_stay_compilable(spark):
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "4000"
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     assert fixtures.raw(spark, SF).count() == fixtures.table(spark, SF, "events").count()
+
+
+def test_silver_makes_bronze_once(spark):
+    bronze = fixtures.bronze(spark, SF)
+    refined = silver.refine(bronze, as_of=fixtures.AS_OF)
+    plan = refined._jdf.queryExecution().optimizedPlan().toString()
+    assert refined.inputFiles() and all("/cleaned-" in str(f) for f in refined.inputFiles()) and "events.parquet" not in plan
+    read = [line.split("[", 1)[1] for line in plan.splitlines() if "Relation" in line]
+    assert read and not any("article_id" in line or "dedup_key" in line for line in read)  # made of what was read
+    assert refined.count() == bronze.count()

@@ -71,6 +71,12 @@ def feed_parts(feed: DataFrame) -> DataFrame:
 
 
 MAKERS = {"bronze": bronze_parts, "silver": silver_parts, "feed": feed_parts}
+#: The columns of a layer that its parts are made of.
+READS = {
+    "bronze": ("ingested_at", "ingestion_id", "bronze_run_accepted_row_count", "bronze_run_malformed_ratio", "raw_payload"),
+    "silver": ("ingested_at", "is_duplicate"),
+    "feed": ("serving_date", "is_positive_feed_eligible", "exclusion_reason", "happy_factor", "ingested_at", "published_at"),
+}
 #: The column by whose days a layer's table is laid out.
 DAY_OF = {"bronze": "ingested_at", "silver": "ingested_at", "feed": "serving_date"}
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from brightwire.operators import quality
-from brightwire.plans import ops, parts, serving
+from brightwire.plans import ops, parts, queries, serving
 from brightwire.sources import store
 
 AS_OF = datetime(2026, 4, 12)
@@ -73,6 +73,16 @@ def test_parts_of_a_day_that_changed(spark, tmp_path):
     assert got[("summary", "ineligible_row_count")] == 2 * 26
 
 
+def test_layers_are_laid_out_by_day_with_the_columns_of_their_parts(spark, monkeypatch):
+    made, replace = [], store.Table.replace
+    monkeypatch.setattr(store.Table, "replace", lambda self, df: (made.append((tuple(df.columns), df.count())), replace(self, df))[1])
+    t = queries.Tables(spark, "/root/testdata/sf0.001").once("bronze", "silver", "feed")
+    found = queries._daily(t, "bronze", "silver", "feed")
+    assert made == [(parts.READS[layer], getattr(t, layer).count()) for layer in ("bronze", "silver", "feed")]
+    want = quality.run_metrics(t.bronze, t.silver, t.feed, as_of=queries.AS_OF).first().asDict()
+    assert parts.run_metrics(found, as_of=queries.AS_OF).first().asDict() == want
+
+
 def test_empty_parts(spark, tmp_path):
     kept = parts.Parts(spark, f"file://{tmp_path}/parts", "timestamp")
     assert {r.row_count for r in parts.pulse(kept).collect()} == {0}

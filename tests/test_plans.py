@@ -2,6 +2,7 @@
 
 import __spark_entry__
 from brightwire.operators import silver
+from brightwire.plans import checks, queries
 from brightwire.session import METHOD_BYTES
 from brightwire.sources import fixtures
 
@@ -29,3 +30,13 @@ def test_silver_makes_bronze_once(spark):
     read = [line.split("[", 1)[1] for line in plan.splitlines() if "Relation" in line]
     assert read and not any("article_id" in line or "dedup_key" in line for line in read)  # made of what was read
     assert refined.count() == bronze.count()
+
+
+def test_unique_values_are_shuffled_without_other_checks(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", None), (None, 300), ("b", -200)], "id string, n long")
+    found = checks.column_checks(rows, {"id": {"not_null": True, "unique": True}, "n": {"not_null": True, "min": -100, "max": 100}})
+    assert sorted(map(tuple, found.collect())) == [("id", "not_null", 1), ("id", "unique", 1), ("n", "max", 1), ("n", "min", 1), ("n", "not_null", 1)]
+    assert [tuple(r) for r in checks.column_checks(rows, {"id": {"unique": True}}).collect()] == [("id", "unique", 1)]
+    by_id = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "HashAggregate(keys=[id" in line]
+    assert by_id and not any("if (" in line for line in by_id)  # conditional counts
+    assert "metrics" not in queries._reads("chk_column") and "metrics" in queries._reads("chk_custom")

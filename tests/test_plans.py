@@ -1,7 +1,10 @@
 """Plans that stay in proportion at size: what is made once a row, and what stays small."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__
-from brightwire.operators import silver
+from brightwire.functions import text
+from brightwire.operators import rules, silver
 from brightwire.plans import checks, queries
 from brightwire.session import METHOD_BYTES
 from brightwire.sources import fixtures
@@ -40,3 +43,28 @@ def test_unique_values_are_shuffled_without_other_checks(spark):
     by_id = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "HashAggregate(keys=[id" in line]
     assert by_id and not any("if (" in line for line in by_id)  # conditional counts
     assert "metrics" not in queries._reads("chk_column") and "metrics" in queries._reads("chk_custom")
+
+
+def test_plain_texts_need_no_patterns(spark):
+    rows = spark.createDataFrame([("t", "u", 1.0)], "title string, url string, tone_score double")
+    cleaned = rows.select(text.filled(F.col("url")), text.collapse(F.col("title")), text.normal_url(F.col("url")), text.is_blank(F.col("title")))
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert "^\\s+" not in plan and "^https?://" not in plan and plan.lower().count("contains(") >= 7  # what is left of patterns is behind a plain search
+    hits = rules.with_hits(rows, rules.guardrail_terms(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in hits and "instr(" not in hits and "INSET" in hits
+
+
+def test_text_columns_mean_what_their_patterns_mean(spark):
+    texts = (None, "", " \t\n\x0b\f\r", " a  b\tc\u00a0", "https://http://A.b/?x#y", "http://a/b\n?c\n#d", "HTTP://a//", "/", "a#b?c", "NASA bcD", "X\u212a \u0130Q", "a\u00e9AB_CD EF")
+    c, rows = F.col("s"), spark.createDataFrame([(s,) for s in texts], "s string")
+    strip = F.regexp_replace(c, r"^\s+|\s+\z", "")
+    url = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(c), r"^https?://", ""), r"(?d)[?#].*\z", ""), r"/\z", "")
+    pairs = [
+        (text.strip(c), strip),
+        (text.collapse(c), F.nullif(F.regexp_replace(strip, r"\s+", " "), F.lit(""))),
+        (text.normal_url(c), F.nullif(url, F.lit(""))),
+        (text.uppercase_count(c), text.count_matches(c, "(?<![A-Za-z0-9_])[A-Z]{2,}(?![A-Za-z0-9_])")),
+        (text.token_count(c, text.tokens(c)), text.count_matches(c, "[A-Za-z0-9]+")),
+    ]
+    for row in rows.select("s", *(a.eqNullSafe(b).alias(f"same{k}") for k, (a, b) in enumerate(pairs))).collect():
+        assert all(row[1:]), row

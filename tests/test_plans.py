@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from brightwire.functions import text
-from brightwire.operators import rules, silver
+from brightwire.operators import feed, rules, silver
 from brightwire.plans import checks, queries
 from brightwire.session import METHOD_BYTES
 from brightwire.sources import fixtures
@@ -52,6 +52,8 @@ def test_plain_texts_need_no_patterns(spark):
     assert "^\\s+" not in plan and "^https?://" not in plan and plan.lower().count("contains(") >= 7  # what is left of patterns is behind a plain search
     hits = rules.with_hits(rows, rules.guardrail_terms(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert "array_intersect" not in hits and "instr(" not in hits and "INSET" in hits
+    stages = feed.with_urls(rows.withColumn("normalized_url", text.normal_url(F.col("url"))), spark.createDataFrame([], "normalized_url string, status string, checked_at timestamp, http_status_code long"))
+    assert "_own_hash" in stages._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_text_columns_mean_what_their_patterns_mean(spark):

@@ -1,7 +1,7 @@
 """The language of a text by profiles of character n-grams, learnt from texts whose language is known.
 
-``fit`` counts the n-grams of a bounded number of labelled texts in Spark and keeps each language's most frequent ones, so a
-profile has a bounded size whatever it is learnt from. A ``Profiles`` is a detector for ``extract.infer_language``: it
+``fit`` counts the n-grams of all labelled texts in Spark and keeps each language's most frequent ones, so a profile has a
+bounded size whatever it is learnt from. A ``Profiles`` is a detector for ``extract.infer_language``: it
 gives the language under which the text's n-grams are likeliest, and how sure that is.
 
 Defined results: case, digits and punctuation don't count; a text without letters, and profiles of no language, give None;
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 #: Lengths of the n-grams.
 SIZES = (1, 2, 3)
-#: Most texts of each language that are learnt from, and most n-grams that a profile keeps.
-TEXTS, GRAMS = 2_000, 3_000
+#: Most n-grams that a profile keeps; their shares are of all n-grams.
+GRAMS = 3_000
 #: Bits of the hash by which texts are counted before any is moved.
 SLOT_BITS = 12
 
@@ -53,8 +53,20 @@ class Profiles:
         return best, 1 / sum(math.exp(max(s - sums[best], -700)) for s in sums.values())
 
 
-def _runs(n: int) -> Column:
-    return F.when(F.length("t") >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substring("t", i, n))).otherwise(F.array())
+def pieces(t: Column) -> Column:
+    """The words of ``letters``, and what lies between them: each space with its two neighbours, the last one alone."""
+    words = F.split(F.trim(t), " ")
+    between = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda w, x: F.coalesce(F.concat(F.substring(w, -1, 1), F.lit(" "), F.substring(x, 1, 1)), F.lit(" ")))
+    return F.concat(words, between)
+
+
+def piece_grams(piece: Column, chars: Column) -> Column:
+    """Of a word, whose ``chars`` have a space at both ends, the n-grams that hold a letter of it or are its first space; of others the piece itself."""
+
+    def of(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(chars) - max(n, 2)), lambda i: F.concat(*(F.get(chars, i + k) for k in range(n))))
+
+    return F.when(F.contains(piece, F.lit(" ")), F.array(piece)).otherwise(F.concat(*map(of, SIZES)))
 
 
 def least_texts(rows: DataFrame, texts: int) -> DataFrame:
@@ -70,21 +82,28 @@ def least_texts(rows: DataFrame, texts: int) -> DataFrame:
     return rows.join(last, "language").filter("slot <= last").groupBy("language", "hash").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
 
 
-def gram_counts(rows: DataFrame, text: str, language: str, texts: int = TEXTS) -> DataFrame:
-    """(language, gram, n) over up to ``texts`` texts of each language, those with the least hashes, whole."""
+def gram_counts(rows: DataFrame, text: str, language: str, texts: int | None = None) -> DataFrame:
+    """(language, gram, n) over all texts, whole; with ``texts``, over so many of each language, those with the least hashes.
+
+    Words are counted first, so that only different ones are taken apart.
+    """
     rows = rows.select(F.col(language).alias("language"), F.col(text).alias("text")).filter("language is not null and text is not null")
-    before = F.sum("copies").over(Window.partitionBy("language").orderBy("hash")) - F.col("copies")
-    rows = least_texts(rows, texts).withColumn("times", F.least("copies", F.lit(texts) - before)).filter("times > 0")
+    if texts is None:
+        rows = rows.withColumn("times", F.lit(1).cast("bigint"))
+    else:
+        before = F.sum("copies").over(Window.partitionBy("language").orderBy("hash")) - F.col("copies")
+        rows = least_texts(rows, texts).withColumn("times", F.least("copies", F.lit(texts) - before)).filter("times > 0")
     rows = rows.select("language", "times", letters(F.col("text")).alias("t")).filter("trim(t) <> ''")
-    runs = [_runs(n) for n in SIZES]
-    return rows.select("language", "times", F.explode(F.concat(*runs)).alias("gram")).groupBy("language", "gram").agg(F.sum("times").alias("n"))
+    rows = rows.select("language", "times", F.explode(pieces(F.col("t"))).alias("piece")).groupBy("language", "piece").agg(F.sum("times").alias("times"))
+    rows = rows.withColumn("chars", F.split(F.concat(F.lit(" "), "piece", F.lit(" ")), ""))
+    return rows.select("language", "times", F.explode(piece_grams(F.col("piece"), F.col("chars"))).alias("gram")).groupBy("language", "gram").agg(F.sum("times").alias("n"))
 
 
-def fit(rows: DataFrame, text: str = "text", language: str = "lang", texts: int = TEXTS, grams: int = GRAMS) -> Profiles:
+def fit(rows: DataFrame, text: str = "text", language: str = "lang", texts: int | None = None, grams: int = GRAMS) -> Profiles:
     counts = gram_counts(rows, text, language, texts)
+    totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
     order = Window.partitionBy("language").orderBy(F.desc("n"), "gram")
-    total = F.sum("n").over(Window.partitionBy("language"))
-    top = counts.withColumns({"total": total, "k": F.row_number().over(order)}).filter(F.col("k") <= grams)
+    top = counts.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= grams).join(F.broadcast(totals), "language")
     known: dict[str, dict[str, float]] = {}
     other: dict[str, float] = {}
     for r in top.collect():  # ``grams`` rows a language

@@ -54,6 +54,21 @@ def test_least_texts_are_few_rows_and_the_same_texts(spark):
         assert {g: n for g, n in got.items() if g.isascii() and not any(c.isdigit() for c in g)} == want
 
 
+def test_all_texts_are_learnt_from(spark):
+    """3,000 different texts of one language, each with a word of its own, beside two of another: none is left out."""
+    own = lambda k: "".join(chr(ord("a") + int(d)) for d in f"{k:04d}")
+    rows = [("en", f"the x{own(k)} \U0001d49c \u00e9{own(k)}") for k in range(3_000)] + [("fr", "a b c"), ("fr", "z")]
+    want = {lang: Counter() for lang in ("en", "fr")}
+    for lang, text in rows:
+        want[lang].update(language.grams_of(text))
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    got = {(r.language, r.gram): r.n for r in language.gram_counts(df, "text", "lang").collect()}
+    assert got == {(lang, g): n for lang, c in want.items() for g, n in c.items()}
+    profiles = language.fit(df)
+    for lang, c in want.items():
+        assert len(c) <= language.GRAMS and profiles.known[lang] == pytest.approx({g: math.log(n / c.total()) for g, n in c.items()})
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="needs the driver's tables")
 def test_held_out_documents(spark):
     rows = queries.queries()["ext_lang_infer"](spark, "/root/testdata/sf0.001").collect()

@@ -14,7 +14,9 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,17 +28,22 @@ GRAMS = 3_000
 SLOT_BITS = 12
 
 
-def letters(text: Column) -> Column:
-    """Words of letters in lower case, with a space before, between and behind them."""
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")), F.lit(" "))
+def _plain(text: str) -> str:
+    return f" {' '.join(re.findall(r'[^\W\d_]+', text.lower()))} "
 
 
 def grams_of(text: str) -> Counter:
     """The n-grams of a text, as ``fit`` counts them."""
-    plain = f" {' '.join(re.findall(r'[^\W\d_]+', text.lower()))} "
+    plain = _plain(text)
     return Counter(plain[i : i + n] for n in SIZES for i in range(len(plain) - n + 1)) if plain.strip() else Counter()
 
 
+def _keys(plain: str) -> np.ndarray:
+    """A number for each n-gram at each place: its code points, 21 bits each, the first one lowest."""
+    codes = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    return np.concatenate([sum(codes[k : len(codes) - n + 1 + k] << (21 * k) for k in range(n)) for n in SIZES])
+
+
 @dataclass(frozen=True)
 class Profiles:
     """For each language the logarithms of its n-grams' shares, and that of a share which stands for all others."""
@@ -44,13 +51,30 @@ class Profiles:
     known: dict[str, dict[str, float]]
     other: dict[str, float]
 
+    @cached_property
+    def _table(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages by name, all profiles' n-grams as ascending numbers, and a row of logarithms for each; the last row is that of all others."""
+        langs = sorted(self.known)
+        grams = sorted((sum(ord(c) << (21 * k) for k, c in enumerate(g)), g) for g in set().union(*self.known.values()))
+        rows = [[self.known[lang].get(g, self.other[lang]) for lang in langs] for _, g in grams]
+        return langs, np.array([key for key, _ in grams], dtype=np.int64), np.array([*rows, [self.other[lang] for lang in langs]])
+
     def __call__(self, text: str) -> tuple[str, float] | None:
-        found = grams_of(text)
-        if not found or not self.known:
+        plain = _plain(text)
+        if not plain.strip() or not self.known:
             return None
-        sums = {lang: sum(n * own.get(g, self.other[lang]) for g, n in found.items()) for lang, own in sorted(self.known.items())}
-        best = max(sums, key=sums.get)
-        return best, 1 / sum(math.exp(max(s - sums[best], -700)) for s in sums.values())
+        langs, grams, logs = self._table
+        found, times = np.unique(_keys(plain), return_counts=True)
+        at = np.searchsorted(grams, found)
+        at[grams[np.minimum(at, len(grams) - 1)] != found] = len(grams)
+        sums = (logs[at] * times[:, None]).sum(axis=0)  # each language's in the same order, so that equal ones stay equal
+        best = int(sums.argmax())
+        return langs[best], float(1 / np.exp(np.maximum(sums - sums[best], -700)).sum())
+
+
+def letters(text: Column) -> Column:
+    """Words of letters in lower case, with a space before, between and behind them."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")), F.lit(" "))
 
 
 def pieces(t: Column) -> Column:

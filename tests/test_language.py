@@ -69,6 +69,18 @@ def test_all_texts_are_learnt_from(spark):
         assert len(c) <= language.GRAMS and profiles.known[lang] == pytest.approx({g: math.log(n / c.total()) for g, n in c.items()})
 
 
+def test_likelihoods_equal_a_plain_sum():
+    known = {"en": {"a": -1.0, "ab": -2.5, " ab": -3.0, "\U0001d49c": -4.0}, "de": {"b": -0.5, "ab ": -1.5, " ": -2.0}}
+    known["aa"] = dict(known["en"])  # equal to another one: the first by name is taken
+    other = {"en": -7.0, "aa": -7.0, "de": -6.0}
+    profiles = language.Profiles(known, other)
+    for text in ("ab", "AB ab, b1b", "\U0001d49c\U0001d49c a", "zzz", "b b b b", "abab " * 50):
+        sums = {lang: sum(n * own.get(g, other[lang]) for g, n in language.grams_of(text).items()) for lang, own in sorted(known.items())}
+        best = max(sums, key=sums.get)
+        found = profiles(text)
+        assert found[0] == best != "en" and found[1] == pytest.approx(1 / sum(math.exp(x - sums[best]) for x in sums.values()))
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="needs the driver's tables")
 def test_held_out_documents(spark):
     rows = queries.queries()["ext_lang_infer"](spark, "/root/testdata/sf0.001").collect()
